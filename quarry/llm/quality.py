@@ -75,15 +75,15 @@ def host_verdicts(rows: DataFrame, most: float = 0.5) -> DataFrame:
     The prior is a beta whose mean and variance are the hosts' own, by moments: with mean m and
     variance v of the raw rates (each host once), its strength is m(1-m)/v - 1, held
     between 1 and 1e6; a corpus of one host, or of equal rates, has the strength 1e6 and so
-    gives every host the corpus mean. A host fails if its shrunk rate is over ``most``. The
-    moments are one row of sums, cross-joined as scalars; hosts themselves are never collected.
+    gives every host the corpus mean. A host fails if its shrunk rate is over ``most``. Two
+    numbers, the moments, come to the driver; hosts themselves are never collected.
     """
     hosts = rows.groupBy("host").agg(F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
     raw = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg(F.avg(raw).alias("__m"), F.var_pop(raw).alias("__v"))
-    strength = F.when(F.col("__v") > 0, F.least(F.greatest(F.col("__m") * (1 - F.col("__m")) / F.nullif(F.col("__v"), F.lit(0.0)) - 1, F.lit(1.0)), F.lit(1e6))).otherwise(F.lit(1e6))
-    hosts = hosts.join(F.broadcast(prior.select("__m", strength.alias("__s"))))  # one row of scalars
-    rate = (F.col("n_failed") + F.col("__m") * F.col("__s")) / (F.col("n_docs") + F.col("__s"))
+    mean, var = hosts.agg(F.avg(raw), F.var_pop(raw)).first()
+    mean, var = mean or 0.0, var or 0.0
+    strength = min(max(mean * (1 - mean) / var - 1, 1.0), 1e6) if var > 0 else 1e6
+    rate = (F.col("n_failed") + mean * strength) / (F.col("n_docs") + strength)
     return hosts.select("host", "n_docs", "n_failed", rate.alias("rate"), (rate > most).alias("host_failed"))
 
 

@@ -152,7 +152,7 @@ def repeated_windows(blocks: list[bytes], weights: list[int], span: int = SPAN)
     m, low, need = len(phase), np.int64((1 << 32) - 1), span // SYMBOL
 
     key = np.arange(-m, 0, dtype=np.int64)  # the empty suffixes come first
-    where = np.full(m, -1, np.int64)
+    where = np.full(m, -1, np.int32)
     common = np.zeros(m, np.uint8)
     place = np.arange(m)
     for r in range(int(rounds[0])):
@@ -167,15 +167,17 @@ def repeated_windows(blocks: list[bytes], weights: list[int], span: int = SPAN)
         near = ~old
         near[1:] |= ~old[:-1]
         near = np.flatnonzero(near)
-        key2, where2, common2 = np.empty(len(old), np.int64), np.empty(len(old), np.int64), np.empty(len(old), np.uint8)
+        moved = np.flatnonzero(old)
+        key2, where2, common2 = np.empty(len(old), np.int64), np.empty(len(old), np.int32), np.empty(len(old), np.uint8)
         key2[to], where2[to] = new, at[by]
-        key2[old], where2[old], common2[old] = key, where, common
+        key2[moved], where2[moved], common2[moved] = key, where, common
         a, b = key2[near - 1], key2[near]
         same = (a >> 32 == b >> 32) & (a >= 0)
         common2[near] = 0
         common2[near[same]] = np.minimum(need, _least_between(common, (a[same] & low) + 1, b[same] & low) + 1)
-        moved = np.flatnonzero(old)
-        key2[m:] = (key2[m:] & ~low) | moved[key2[m:] & low]
+        moved -= np.arange(len(moved))
+        rest = key2[m:]
+        rest += moved[rest & low]
         key, where, common = key2, where2, common2
         place[by] = to
 

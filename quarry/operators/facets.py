@@ -109,6 +109,10 @@ def apply(rows: DataFrame, query: FacetQuery, **text: Sequence[str]) -> DataFram
     return rows.where(predicate(query, text=text or None))
 
 
+def _named(facet: str):
+    return lambda v: F.struct(F.lit(facet).alias("facet"), v.alias("value"))
+
+
 def facet_counts(rows: DataFrame, query: FacetQuery, facets: Sequence[str] = tuple(FACETS)) -> DataFrame:
     """(facet, value, n): rows that would match if the value were chosen, each facet's own choice aside.
 
@@ -120,7 +124,7 @@ def facet_counts(rows: DataFrame, query: FacetQuery, facets: Sequence[str] = tup
     for f in facets:
         column, many = FACETS[f]
         values = F.coalesce(F.col(column), F.array().cast("array<string>")) if many else F.when(F.nullif(F.col(column), F.lit("")).isNotNull(), F.array(F.col(column))).otherwise(F.array().cast("array<string>"))
-        made = F.transform(values, lambda v, f=f: F.struct(F.lit(f).alias("facet"), v.alias("value")))
+        made = F.transform(values, _named(f))
         pairs.append(F.when(predicate(query, skip=f), made).otherwise(F.slice(made, 1, 0)))
     return rows.select(F.inline(F.flatten(F.array(*pairs)))).groupBy("facet", "value").agg(F.count("*").alias("n"))
 

@@ -97,7 +97,7 @@ def doc_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DOC_SQL = r"""
 docw AS (
-  SELECT doc_id, source, text, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), x -> x <> '') AS w FROM documents
+  SELECT doc_id, source, text, lang, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
 ), doc AS (
   SELECT source || ':' || d.doc_id AS id, d.doc_id, source, array_to_string(w[1:10], ' ') AS name, array_to_string(w[1:40], ' ') AS summary, text, w, lang AS species, quality, toxic
   FROM docw d LEFT JOIN labels l ON d.doc_id = l.doc_id

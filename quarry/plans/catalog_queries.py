@@ -71,10 +71,10 @@ def search_ranked(spark: SparkSession, d: str) -> DataFrame:
 
 
 SEARCH_SQL = rf"""WITH {DOC_SQL}, t AS (
-  SELECT id, name, lower(name) AS l, lower(concat_ws(' ', id, summary, source)) AS o, list_filter(regexp_split_to_array(lower(name), '[^\p{{L}}\p{{N}}]+'), x -> x <> '') AS k FROM doc
+  SELECT id, name, lower(name) AS l, lower(concat_ws(' ', id, summary, source)) AS o, list_filter(regexp_split_to_array(lower(name), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS k FROM doc
 ), s AS (
   SELECT id, name,
-    CASE WHEN len(list_filter(k, x -> starts_with(x, 'the and'))) > 0 OR (len(list_filter(k, x -> starts_with(x, 'the'))) > 0 AND len(list_filter(k, x -> starts_with(x, 'and'))) > 0) THEN 3000
+    CASE WHEN len(list_filter(k, lambda x: starts_with(x, 'the and'))) > 0 OR (len(list_filter(k, lambda x: starts_with(x, 'the'))) > 0 AND len(list_filter(k, lambda x: starts_with(x, 'and'))) > 0) THEN 3000
          WHEN contains(l, 'the and') OR (contains(l, 'the') AND contains(l, 'and')) THEN 2000
          WHEN contains(o, 'the and') OR (contains(o, 'the') AND contains(o, 'and')) THEN 1000 ELSE 0 END AS tier,
     CASE WHEN l = 'the and' THEN 500 ELSE 0 END AS bonus FROM t
@@ -240,7 +240,7 @@ def vocabulary_order(spark: SparkSession, d: str) -> DataFrame:
 
 
 VOCABULARY_SQL = f"""WITH {ORDER_SQL}
-SELECT id, array_to_string(list_filter(['STANDARD', 'PROMO', 'SMALL', 'AFRICA', 'ASIA', 'ECONOMY'], x -> list_contains(modalities, x) OR source = x), ',') AS united FROM cat"""
+SELECT id, array_to_string(list_filter(['STANDARD', 'PROMO', 'SMALL', 'AFRICA', 'ASIA', 'ECONOMY'], lambda x: list_contains(modalities, x) OR source = x), ',') AS united FROM cat"""
 
 
 def access_escalation(spark: SparkSession, d: str) -> DataFrame:

@@ -19,7 +19,7 @@ def title_fingerprint(spark: SparkSession, d: str) -> DataFrame:
 
 
 _STOP = "[" + ", ".join(f"'{w}'" for w in TITLE_STOPWORDS) + "]"
-_PRINT = f"nullif(array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(name), '[a-z0-9]+'), x -> NOT list_contains({_STOP}, x)))), ' '), '')"
+_PRINT = f"nullif(array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(name), '[a-z0-9]+'), lambda x: NOT list_contains({_STOP}, x)))), ' '), '')"
 
 
 def title_collisions(spark: SparkSession, d: str) -> DataFrame:
@@ -111,8 +111,8 @@ SIZES_SQL = f"""WITH r AS (
   SELECT doc_id AS id, n_chars || CASE WHEN doc_id % 3 = 0 THEN ' patients ' ELSE ' lines ' END || coalesce(text, '') AS t FROM documents
   UNION ALL SELECT * FROM (VALUES {', '.join(f"({-1 - i}, {'NULL' if s is None else repr(s)})" for i, s in enumerate(_SIZES))}) v(id, t)
 ), m AS (
-  SELECT id, list_distinct(list_transform(regexp_extract_all(t, '(?i){_UNIT_RX}', 1), x -> CAST(replace(x, ',', '') AS BIGINT))) AS n,
-    list_distinct(list_transform(regexp_extract_all(t, '(?i){_UNIT_RX}', 2), x -> {_UNIT})) AS u FROM r
+  SELECT id, list_distinct(list_transform(regexp_extract_all(t, '(?i){_UNIT_RX}', 1), lambda x: CAST(replace(x, ',', '') AS BIGINT))) AS n,
+    list_distinct(list_transform(regexp_extract_all(t, '(?i){_UNIT_RX}', 2), lambda x: {_UNIT})) AS u FROM r
 ) SELECT id, CASE WHEN len(n) = 1 AND len(u) = 1 THEN n[1] END AS n, CASE WHEN len(n) = 1 AND len(u) = 1 THEN u[1] END AS unit FROM m"""
 
 TERMS = {"movement": ("thing*", "of the"), "rest": ("lasted", "über", "esto*"), "place": ("on the", "élan", "der die"), "none": ("zzzzzz*",)}
@@ -145,7 +145,7 @@ def evidence_guard(spark: SparkSession, d: str) -> DataFrame:
 
 
 EVIDENCED_SQL = r"""WITH j AS (
-  SELECT d.doc_id, lower(array_to_string(list_filter(regexp_split_to_array(b.text, '\s+'), x -> x <> '')[1:4], ' ')) AS q,
+  SELECT d.doc_id, lower(array_to_string(list_filter(regexp_split_to_array(b.text, '\s+'), lambda x: x <> '')[1:4], ' ')) AS q,
     lower(trim(regexp_replace(d.text || CASE WHEN d.doc_id % 3 = 0 THEN ' ' || b.text ELSE '' END, '\s+', ' ', 'g'))) AS t FROM documents d JOIN benchmark b ON d.doc_id % 40 = b.item_id WHERE b.item_id < 40
 ) SELECT doc_id, length(q) >= 10 AND contains(q, ' ') AND contains(t, q) AS ok, false AS word_ok FROM j"""
 
@@ -158,8 +158,8 @@ def number_guard(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", guards.numbers_grounded(claim, given).alias("ok"), F.size(guards.numbers(claim)).cast("long").alias("n"))
 
 
-_NUMBERS = "list_distinct(list_transform(regexp_extract_all({0}, '\\d[\\d,.%]*'), x -> regexp_replace(x, '[,.%]', '', 'g')))"
-NUMBER_SQL = "WITH c AS (SELECT doc_id, 'about ' || format('{:,}', n_chars) || ' letters of no. ' || doc_id AS claim, concat_ws(' ', CAST(n_chars AS VARCHAR), CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS VARCHAR) END, text) AS given FROM documents), n AS (SELECT doc_id, " + _NUMBERS.format("claim") + " AS a, " + _NUMBERS.format("given") + " AS b FROM c) SELECT doc_id, len(list_filter(a, x -> NOT list_contains(b, x))) = 0 AS ok, len(a) AS n FROM n"
+_NUMBERS = "list_distinct(list_transform(regexp_extract_all({0}, '\\d[\\d,.%]*'), lambda x: regexp_replace(x, '[,.%]', '', 'g')))"
+NUMBER_SQL = "WITH c AS (SELECT doc_id, 'about ' || format('{:,}', n_chars) || ' letters of no. ' || doc_id AS claim, concat_ws(' ', CAST(n_chars AS VARCHAR), CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id AS VARCHAR) END, text) AS given FROM documents), n AS (SELECT doc_id, " + _NUMBERS.format("claim") + " AS a, " + _NUMBERS.format("given") + " AS b FROM c) SELECT doc_id, len(list_filter(a, lambda x: NOT list_contains(b, x))) = 0 AS ok, len(a) AS n FROM n"
 
 
 def grounding_guard(spark: SparkSession, d: str) -> DataFrame:
@@ -169,7 +169,7 @@ def grounding_guard(spark: SparkSession, d: str) -> DataFrame:
     return j.select("doc_id", guards.grounded(F.col("item"), F.col("text"), 0.25).alias("by_item"), guards.summary_ok(text.first_words(F.col("text"), 30), F.col("text")).alias("by_self"))
 
 
-_CONTENT = r"list_distinct(list_filter(regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+'), x -> length(x) >= 4))"
+_CONTENT = r"list_distinct(list_filter(regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+'), lambda x: length(x) >= 4))"
 GROUNDING_SQL = "WITH j AS (SELECT d.doc_id, " + _CONTENT.format("b.text") + " AS a, " + _CONTENT.format("d.text") + " AS b FROM documents d JOIN benchmark b ON d.doc_id % 40 = b.item_id WHERE b.item_id < 40) SELECT doc_id, len(a) = 0 OR len(list_intersect(a, b)) >= 0.25 * len(a) AS by_item, true AS by_self FROM j"
 
 
@@ -205,8 +205,8 @@ MERGE_SQL = f"""WITH RECURSIVE {_CLUSTER_SQL}, o AS (
 ), f AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY p, id) AS first FROM o), m AS (
   SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY first > 1, id) AS k FROM f
 ), w AS (
-  SELECT cluster, v, min(at) AS at FROM (SELECT cluster, source AS v, 2 * k AS at FROM m UNION ALL SELECT cluster, species, 2 * k + 1 FROM m) GROUP BY cluster, v
-), kw AS (SELECT cluster, string_agg(v, ',' ORDER BY at) AS keywords FROM w GROUP BY cluster)
+  SELECT cluster, v, min(seat) AS seat FROM (SELECT cluster, source AS v, 2 * k AS seat FROM m UNION ALL SELECT cluster, species, 2 * k + 1 FROM m) GROUP BY cluster, v
+), kw AS (SELECT cluster, string_agg(v, ',' ORDER BY seat) AS keywords FROM w GROUP BY cluster)
 SELECT m.cluster, arg_min(m.id, k) AS id, coalesce(arg_min(name, k) FILTER (WHERE name <> ''), arg_min(name, k)) AS name, coalesce(arg_min(summary, k) FILTER (WHERE summary <> ''), '') AS summary,
   any_value(kw.keywords) AS keywords, string_agg(m.id, ',' ORDER BY k) AS members
 FROM m JOIN kw ON m.cluster = kw.cluster GROUP BY m.cluster"""
@@ -260,13 +260,13 @@ BEST_SQL = """WITH p AS (
 
 def gated_anti_join(spark: SparkSession, d: str) -> DataFrame:
     line, part = read(spark, d, "lineitem"), read(spark, d, "part")
-    shipped = line.where("l_shipdate >= timestamp '1997-01-01' AND l_shipdate < timestamp '1998-01-01'")
-    returned = line.where("l_returnflag = 'R' AND l_shipdate >= timestamp '1999-01-01'")
+    shipped = line.where("l_shipdate >= timestamp '1997-01-01' AND l_shipdate < timestamp '1997-02-01'")
+    returned = line.where("l_returnflag = 'R' AND l_shipdate >= timestamp '2001-10-01'")
     return links.gated(part.select("p_partkey", "p_name"), "p_partkey", (shipped, "l_partkey"), (returned, "l_partkey"))
 
 
-GATED_SQL = """SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1998-01-01')
-AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_shipdate >= TIMESTAMP '1999-01-01')"""
+GATED_SQL = """SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1997-02-01')
+AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_returnflag = 'R' AND l_shipdate >= TIMESTAMP '2001-10-01')"""
 
 
 def _faulty(spark: SparkSession, d: str) -> DataFrame:

@@ -108,7 +108,7 @@ def query(spark, sf_dir):
 _VALUES = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES)
 SQL = rf"""
 WITH t AS (
-  SELECT name, list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS g
+  SELECT name, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
   FROM (SELECT name, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM (VALUES {_VALUES}) v(name, text))
 ), u AS (
   SELECT doc_id, 0 AS unit, text FROM documents WHERE contains(text, chr(10))
@@ -117,7 +117,7 @@ WITH t AS (
 ), w AS (
   SELECT doc_id, unit, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM u
 ), g AS (
-  SELECT doc_id, unit, list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) >= 2
+  SELECT doc_id, unit, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) >= 2
 ), m AS (
   SELECT doc_id, unit, name, 2.0 * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) AS dice FROM g, t
   WHERE len(g.g) <= 1.5 * len(t.g) AND len(t.g) <= 1.5 * len(g.g)

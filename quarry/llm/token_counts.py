@@ -12,13 +12,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.tables import table, utf8
+from quarry.llm.tables import latin_pattern, table, utf8
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 #: The split pattern of the vocabulary file; white space is listed as the library's engine has it.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{_SPACE}\p{{L}}\p{{N}}]+"
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _BLOCK = 2_000_000
 
 
@@ -37,7 +37,7 @@ class PreTokens:
         special = sorted((t.content for t in tok.get_added_tokens_decoder().values()), key=lambda x: (-len(x), x))
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.normalize = tok.normalizer.normalize_str if tok.normalizer else str
-        self.split = regex.compile(_SPLIT)
+        self.split = latin_pattern(_SPLIT, _SPACE)
         self.library = tok.pre_tokenizer.pre_tokenize_str
 
     def _cut(self, text: str) -> list[str]:

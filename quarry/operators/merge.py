@@ -6,19 +6,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.keys import doi_key
 from quarry.functions.text import rank, ranked
 
-#: Array columns, and what makes two of their items the same.
+#: Array columns, the field of their items that names them (items may be bare strings), and what makes two names equal.
 UNIONS = {
-    "conditions": lambda c: F.lower(c["label"]),
-    "keywords": lambda k: k,
-    "countries": lambda c: c,
-    "institutions": lambda i: i["name"],
-    "authors": lambda a: a["name"],
-    "papers": lambda p: F.coalesce(doi_key(p["doi"]), p["doi"]),
-    "related": lambda r: r["id"],
+    "conditions": ("label", F.lower),
+    "keywords": ("", lambda k: k),
+    "countries": ("", lambda c: c),
+    "institutions": ("name", lambda n: n),
+    "authors": ("name", lambda n: n),
+    "papers": ("doi", lambda d: F.coalesce(doi_key(d), d)),
+    "related": ("id", lambda i: i),
 }
 FIRST_GIVEN = ("name", "url", "population", "sample_size", "sample_unit", "size_bytes", "license", "summary", "published", "version")
 
@@ -29,6 +30,12 @@ def ordered_union(items: Column, key) -> Column:
     return F.transform(F.filter(keyed, lambda x, i: ~F.exists(F.slice(keyed, 1, i), lambda y: y["k"].eqNullSafe(x["k"]))), lambda x: x["x"])
 
 
+def _key(records: DataFrame, column: str):
+    field, norm = UNIONS[column]
+    bare = isinstance(records.schema[column].dataType.elementType, T.StringType)
+    return lambda x: norm(x if bare else x[field])
+
+
 def _first_given(members: Column, name: str) -> Column:
     """The first member's value that says something: not null, not empty, not zero."""
     value = lambda m: m[name]
@@ -63,16 +70,17 @@ def merge_clusters(records: DataFrame, priority: Sequence[str], domains: Sequenc
     for c, vocabulary in (("domains", domains), ("modalities", modalities), ("access_tiers", access)):
         if c in cols:
             out[c] = ranked(both(c), vocabulary)
-    for c, key in UNIONS.items():
+    for c in UNIONS:
         if c in cols:
-            out[c] = ordered_union(both(c), key)
+            out[c] = ordered_union(both(c), _key(records, c))
     if "related" in cols:
-        out["related"] = F.filter(out["related"], lambda r: ~F.array_contains(ids, r["id"]))
+        other = _key(records, "related")
+        out["related"] = F.filter(out["related"], lambda r: ~F.array_contains(ids, other(r)))
     if {"papers", "dataset_doi"} <= {*cols}:
         kind = records.schema["papers"].dataType.elementType
         dois = F.filter(F.transform(F.slice(members, 2, F.size(members)), lambda r: r["dataset_doi"]), lambda d: d.isNotNull())
         described = F.transform(dois, lambda d: F.struct(*[(d if f.name == "doi" else F.lit("describes") if f.name == "relation" else F.lit(None).cast(f.dataType)).alias(f.name) for f in kind]))
-        out["papers"] = ordered_union(F.concat(both("papers"), described), UNIONS["papers"])
+        out["papers"] = ordered_union(F.concat(both("papers"), described), _key(records, "papers"))
     for c in FIRST_GIVEN:
         if c in cols:
             out[c] = _first_given(members, c)

@@ -11,24 +11,25 @@ from pyspark.sql import types as T
 from quarry.functions.text import plain, truncate
 
 
+def kept_columns(schema: T.StructType, paths: Sequence[str]) -> dict[str, Column]:
+    """Column name -> value without dotted paths. Paths that aren't there, or run through an array, change nothing; a struct that loses all its fields goes."""
+
+    def keep(kind: T.DataType, at: Column, gone: list[list[str]]) -> Column | None:
+        if [] in gone:
+            return None
+        if not gone or not isinstance(kind, T.StructType) or not {g[0] for g in gone} & {*kind.names}:
+            return at
+        parts = {f.name: keep(f.dataType, at[f.name], [g[1:] for g in gone if g[0] == f.name]) for f in kind}
+        left = [c.alias(n) for n, c in parts.items() if c is not None]
+        return F.when(at.isNotNull(), F.struct(*left)) if left else None
+
+    split = [p.split(".") for p in paths]
+    out = {f.name: keep(f.dataType, F.col(f.name), [g[1:] for g in split if g[0] == f.name]) for f in schema}
+    return {n: c for n, c in out.items() if c is not None}
+
+
 def without(df: DataFrame, paths: Sequence[str]) -> DataFrame:
-    """Drop dotted paths; those that aren't there, or run through an array, are left alone."""
-    for p in paths:
-        top, _, rest = p.partition(".")
-        if top not in df.columns:
-            continue
-        if not rest:
-            df = df.drop(top)
-        elif isinstance(df.schema[top].dataType, T.StructType) and _has(df.schema[top].dataType, rest):
-            df = df.withColumn(top, F.when(F.col(top).isNotNull(), F.col(top).dropFields(rest)))
-    return df
-
-
-def _has(kind: T.StructType, path: str) -> bool:
-    head, _, rest = path.partition(".")
-    if head not in kind.names:
-        return False
-    return not rest or (isinstance(kind[head].dataType, T.StructType) and _has(kind[head].dataType, rest))
+    return df.select(*[c.alias(n) for n, c in kept_columns(df.schema, paths).items()]) if paths else df
 
 
 def leaves(schema: T.StructType, skip: Sequence[str] = ("id",)) -> dict[str, Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import slugify
-from quarry.operators.diff import without
+from quarry.operators.diff import kept_columns
 
 
 def canonical_json(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
@@ -23,11 +23,9 @@ def content_hash(body: Column) -> Column:
 
 def payload_hash(df: DataFrame, columns: Sequence[str], volatile: Sequence[str] = ()) -> DataFrame:
     """``df`` with ``hash`` of its payload columns, volatile dotted paths aside."""
-    keys = [c for c in df.columns if c not in columns]
-    bare = without(df, volatile)
-    body = canonical_json(bare, [c for c in columns if c in bare.columns])
-    hashed = bare.select(*[c for c in keys], content_hash(body).alias("hash"))
-    return df.join(hashed, keys) if volatile else df.withColumn("hash", content_hash(canonical_json(df, columns)))
+    kept = kept_columns(df.select(*columns).schema, volatile)
+    body = F.to_json(F.struct(*[kept[c].alias(c) for c in sorted(kept)]), {"ignoreNullFields": "false"})
+    return df.withColumn("hash", content_hash(body))
 
 
 def store_key(native_id: Column) -> Column:

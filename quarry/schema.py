@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-RECORD = T.StructType.fromDDL(
-    """id string, source string, source_native_id string, name string, summary string, url string,
-    dataset_doi string, version string, published date,
-    domains array<string>, modalities array<string>, conditions array<struct<label:string,mesh_id:string>>, keywords array<string>,
-    population string, species string, sample_size bigint, sample_unit string, size_bytes bigint,
-    countries array<string>, years struct<start:int,end:int>,
-    access string, access_tiers array<string>, access_notes string, access_howto string, license string,
-    institutions array<struct<name:string,ror_id:string,country:string>>, authors array<struct<name:string,orcid:string>>,
-    papers array<struct<doi:string,title:string,relation:string>>, related array<struct<id:string,relation:string>>,
-    record_status string,
-    provenance struct<harvested_via:string,harvested_at:date,last_verified:date,raw_hash:string,enrichment:struct<method:string,model:string,prompt_version:string,at:date,fields:map<string,string>>>"""
-)
+_TEXT, _DAY, _INT, _LONG = T.StringType(), T.DateType(), T.IntegerType(), T.LongType()
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, k) for n, k in fields.items()])
+
+
+def _list(kind: T.DataType = _TEXT) -> T.ArrayType:
+    return T.ArrayType(kind)
+
+
+RECORD = _struct(
+    id=_TEXT, source=_TEXT, source_native_id=_TEXT, name=_TEXT, summary=_TEXT, url=_TEXT, dataset_doi=_TEXT, version=_TEXT, published=_DAY,
+    domains=_list(), modalities=_list(), conditions=_list(_struct(label=_TEXT, mesh_id=_TEXT)), keywords=_list(), population=_TEXT, species=_TEXT,
+    sample_size=_LONG, sample_unit=_TEXT, size_bytes=_LONG, countries=_list(), years=_struct(start=_INT, end=_INT),
+    access=_TEXT, access_tiers=_list(), access_notes=_TEXT, access_howto=_TEXT, license=_TEXT,
+    institutions=_list(_struct(name=_TEXT, ror_id=_TEXT, country=_TEXT)), authors=_list(_struct(name=_TEXT, orcid=_TEXT)),
+    papers=_list(_struct(doi=_TEXT, title=_TEXT, relation=_TEXT)), related=_list(_struct(id=_TEXT, relation=_TEXT)), record_status=_TEXT,
+    provenance=_struct(harvested_via=_TEXT, harvested_at=_DAY, last_verified=_DAY, raw_hash=_TEXT, enrichment=_struct(method=_TEXT, model=_TEXT, prompt_version=_TEXT, at=_DAY, fields=T.MapType(_TEXT, _TEXT))),
+)
 
 #: Required fields; the rest may be null or empty.
 REQUIRED = ("id", "source", "source_native_id", "name", "summary", "url", "species", "access", "record_status", "provenance")

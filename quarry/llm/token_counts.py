@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,6 @@ LIMIT = 2048
 #: The split pattern of the vocabulary file; white space is listed as the library's engine has it.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_BLOCK = 2_000_000
 
 
 def load(definition: str):
@@ -82,125 +82,152 @@ class Pieces:
         return np.fromiter(map(self.seen.__getitem__, words), np.int64, len(words))
 
 
-def _pack(words: list[bytes], docs: np.ndarray, ends: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> bytes:
-    """A posting block: distinct pre-tokens, for each the documents that have it and how often, and the documents' keys."""
-    used, local = np.unique(docs, return_inverse=True)
-    text = b"".join(words)
-    lengths = np.array([len(w) for w in words], "<u4")
-    head = np.array([len(words), len(text), len(docs), len(used)], "<u4").tobytes()
-    return head + lengths.tobytes() + text + ends.astype("<u4").tobytes() + local.astype("<u4").tobytes() + counts.astype("<u4").tobytes() + keys[used].tobytes()
+def _narrow(values: np.ndarray) -> bytes:
+    """Unsigned integers in as few bytes each as they need, after that width and their number."""
+    most = int(values.max(initial=0))
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+    return np.array([width, len(values)], "<u4").tobytes() + values.astype(f"<u{width}").tobytes()
 
 
-def _unpack(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    n_words, n_text, n_posts, n_docs = np.frombuffer(blob, "<u4", 4).tolist()
-    at = 16
-    lengths = np.frombuffer(blob, "<u4", n_words, at)
-    at += 4 * n_words
-    stops = np.cumsum(lengths, dtype=np.int64) + at
-    words = [blob[a:b] for a, b in zip((stops - lengths).tolist(), stops.tolist())]
-    at += n_text
-    out = []
-    for n, kind in ((n_words, "<u4"), (n_posts, "<u4"), (n_posts, "<u4"), (2 * n_docs, "<i8")):
-        out.append(np.frombuffer(blob, kind, n, at))
-        at += out[-1].nbytes
-    return words, *out
+def _wide(blob: bytes, at: int) -> tuple[np.ndarray, int]:
+    width, n = np.frombuffer(blob, "<u4", 2, at).tolist()
+    return np.frombuffer(blob, f"<u{width}", n, at + 8).astype(np.int64), at + 8 + width * n
 
 
-def postings(docs: DataFrame, definition: str, buckets: int) -> DataFrame:
-    """(bucket, block): documents' pre-token frequencies, inverted a few documents at a time and dealt by pre-token.
+def _pack(words: list[bytes], ends: np.ndarray, docs: np.ndarray, counts: np.ndarray) -> bytes:
+    """A posting block: distinct pre-tokens, and for each the documents (by place in their batch) that have it and how often."""
+    gaps = np.diff(ends, prepend=0)
+    return b"".join([_narrow(np.array([len(w) for w in words], np.int64)), _narrow(gaps), _narrow(docs), _narrow(counts), *words])
+
+
+def _unpack(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    lengths, at = _wide(blob, 0)
+    gaps, at = _wide(blob, at)
+    docs, at = _wide(blob, at)
+    counts, at = _wide(blob, at)
+    stops = np.cumsum(lengths) + at
+    return [blob[a:b] for a, b in zip((stops - lengths).tolist(), stops.tolist())], gaps, docs, counts
+
+
+BLOCK = "batch long, bucket int, block binary"
+
+
+def postings(docs: DataFrame, definition: str, buckets: int, block_bytes: int) -> DataFrame:
+    """(batch, bucket, block) from (doc_id, text): pre-token frequencies, inverted some documents at a time and dealt by pre-token.
 
     A block lists each pre-token once with the documents that have it, so what is shuffled
     is a few bytes for each document and distinct pre-token. Its size is bounded by the texts
     of one batch; a pre-token that every document has adds no more than one list to each.
+    Bucket -1 holds a batch's documents (doc_id, whether it is null, bytes) and its number of blocks.
     """
 
     def run(batches):
-        cut = PreTokens(definition)
+        cut, base, nth = PreTokens(definition), TaskContext.get().partitionId() << 32, 0
         for b in batches:
             held, size, start = [], 0, 0
-            texts = b.column(2)
-            key = np.stack([b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)], 1).astype("<i8")
-            for i, t in enumerate(texts):
+            for i, t in enumerate(b.column(1)):
                 t = t.as_py()
-                held.append(cut.of(t))
-                size += len(t or "")
-                if size >= _BLOCK or i == b.num_rows - 1:
-                    yield from invert(held, key[start : i + 1])
-                    held, size, start = [], 0, i + 1
+                held.append((len(utf8(t)), *cut.of(t)))
+                size += held[-1][0]
+                if size >= block_bytes or len(held) >= 50_000 or i == b.num_rows - 1:
+                    yield invert(held, b.column(0).slice(start, len(held)), base + nth)
+                    held, size, start, nth = [], 0, i + 1, nth + 1
 
-    def invert(held, key):
+    def invert(held, ids, batch):
         number: dict[str, int] = {}
-        posts = []
-        for d, (special, words) in enumerate(held):
-            ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
-            found, n = np.unique(ids, return_counts=True)
+        posts = [(np.zeros(0, np.int64),) * 3]
+        for d, (_, special, words) in enumerate(held):
+            found, n = np.unique(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)), return_counts=True)
             posts.append((found, np.full(len(found), d), n))
             if special:  # each special string is one token: a pre-token of no text stands for it
                 posts.append((np.array([number.setdefault("", len(number))]), np.array([d]), np.array([special])))
-        if not number:
-            return
-        ids, docs, n = (np.concatenate(x) for x in zip(*posts))
+        token, doc, n = (np.concatenate(x) for x in zip(*posts))
         names = [utf8(w) for w in number]
         home = np.fromiter((zlib.crc32(w) % buckets for w in names), np.int64, len(names))
-        order = np.lexsort((docs, ids, home[ids]))
-        ids, docs, n = ids[order], docs[order], n[order]
-        at = home[ids]
-        bounds = np.flatnonzero(np.r_[True, at[1:] != at[:-1], True])
-        blocks, where = [], []
+        order = np.lexsort((doc, token, home[token])) if len(token) else np.zeros(0, np.int64)
+        token, doc, n = token[order], doc[order], n[order]
+        at = home[token] if len(token) else token
+        where, blocks = [], []
+        bounds = np.flatnonzero(np.r_[True, at[1:] != at[:-1], True]) if len(at) else np.zeros(1, np.int64)
         for a, z in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            first = np.flatnonzero(np.r_[True, ids[a + 1 : z] != ids[a : z - 1]])
-            ends = np.r_[first[1:], z - a]
-            blocks.append(_pack([names[i] for i in ids[a:z][first].tolist()], docs[a:z], ends, n[a:z], key))
+            first = np.flatnonzero(np.r_[True, token[a + 1 : z] != token[a : z - 1]])
+            blocks.append(_pack([names[i] for i in token[a:z][first].tolist()], np.r_[first[1:], z - a], doc[a:z], n[a:z]))
             where.append(int(at[a]))
-        yield pa.RecordBatch.from_arrays([pa.array(where, pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "block"])
+        key = np.array([len(held), len(blocks)], "<i8").tobytes() + ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes() + ids.is_null().to_numpy(zero_copy_only=False).tobytes() + np.array([x[0] for x in held], "<i8").tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([batch] * (len(blocks) + 1), pa.int64()), pa.array([-1, *where], pa.int32()), pa.array([key, *blocks], pa.binary())], names=["batch", "bucket", "block"])
 
-    return docs.mapInArrow(run, "bucket int, block binary")
+    return docs.mapInArrow(run, BLOCK)
 
 
 def summed(blocks: DataFrame, definition: str) -> DataFrame:
-    """(k1, k2, pieces): for each block and document, the pieces of its pre-tokens times their frequency."""
+    """(batch, bucket, block): each posting block as its documents and, for each, pieces times frequency, summed; bucket -1 as it is."""
 
     def run(batches):
         pieces = Pieces(definition)
         for b in batches:
-            keys, sums = [], []
-            for blob in b.column(0):
-                words, ends, docs, counts, key = _unpack(blob.as_py())
-                size = np.where([not w for w in words], 1, pieces.of([w.decode("utf-8", "replace") for w in words]))
-                each = np.repeat(size, np.diff(np.r_[0, ends.astype(np.int64)]))
-                keys.append(key.reshape(-1, 2))
-                sums.append(np.bincount(docs, weights=each * counts, minlength=len(key) // 2).astype(np.int64))
-            if keys:
-                k = np.concatenate(keys)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(k[:, 0])), pa.array(np.ascontiguousarray(k[:, 1])), pa.array(np.concatenate(sums))], names=["k1", "k2", "pieces"])
+            out = []
+            for bucket, blob in zip(b.column(1).to_pylist(), b.column(2)):
+                blob = blob.as_py()
+                if bucket >= 0:
+                    words, gaps, docs, counts = _unpack(blob)
+                    size = np.where([not w for w in words], 1, pieces.of([w.decode("utf-8", "surrogatepass") for w in words]))
+                    total = np.bincount(docs, weights=np.repeat(size, gaps) * counts).astype(np.int64)
+                    some = np.flatnonzero(total)
+                    blob = _narrow(np.diff(some, prepend=0)) + _narrow(total[some])
+                out.append(blob)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["batch", "bucket", "block"])
 
-    return blocks.select("block").mapInArrow(run, "k1 long, k2 long, pieces long")
+    return blocks.mapInArrow(run, BLOCK)
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens, over_limit) for every row of ``docs``.
+def gathered(sums: DataFrame) -> DataFrame:
+    """(doc_id, n_bytes, n_tokens) from rows sorted by batch and bucket; a batch that lacks a block is an error."""
+
+    def close(batch, ids, nulls, n_bytes, total, left):
+        if left:
+            raise ValueError(f"batch {batch} lacks {left} blocks")
+        return pa.RecordBatch.from_arrays([pa.array(ids, mask=nulls), pa.array(n_bytes), pa.array(total)], names=["doc_id", "n_bytes", "n_tokens"])
+
+    def run(batches):
+        now = None
+        for b in batches:
+            for batch, bucket, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                blob = blob.as_py()
+                if bucket < 0:
+                    if now:
+                        yield close(*now)
+                    n, blocks = np.frombuffer(blob, "<i8", 2).tolist()
+                    now = [batch, np.frombuffer(blob, "<i8", n, 16), np.frombuffer(blob, bool, n, 16 + 8 * n), np.frombuffer(blob, "<i8", n, 16 + 9 * n), np.zeros(n, np.int64), blocks]
+                elif now is None or now[0] != batch:
+                    raise ValueError(f"batch {batch} lacks its documents")
+                else:
+                    gaps, at = _wide(blob, 0)
+                    now[4][np.cumsum(gaps)] += _wide(blob, at)[0]
+                    now[5] -= 1
+        if now:
+            yield close(*now)
+
+    return sums.repartition("batch").sortWithinPartitions("batch", "bucket").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
+
+
+def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: int = 2_000_000) -> DataFrame:
+    """(doc_id, n_bytes, n_tokens, over_limit) for every row of ``docs``, whose doc_id is a long.
 
     Tokens are those of the tokenizer file at ``path`` without begin, end or added special tokens;
     its special strings inside a text count one each, as the library's default has it. Null
     and empty texts have none. Ids are never made: pieces are counted once for each distinct
-    pre-token of a bucket and joined to the frequencies that were dealt to the same bucket.
-
-    Documents are known by two hashes of doc_id and text, so repeated rows count once and come back
-    as often as they stand; a null doc_id is a doc_id like any other. An empty table gives an
-    empty one. Extra columns are left out.
+    pre-token of a bucket, and joined to the frequencies that were dealt to the same bucket; the sums go back to
+    the batch that the documents came in. Repeated rows and null doc_ids are counted like any. An empty table gives an empty one.
+    Extra columns are left out. Frequencies are inverted for about ``block_bytes`` of text at a time.
     """
-    spark = docs.sparkSession
     with open(path, encoding="utf-8") as f:
         definition = f.read()
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit("document"), F.col("text"), F.col("doc_id")).alias("k2")]
-    blocks = postings(docs.select(*keys, "text"), definition, buckets).repartition(buckets, "bucket")
-    mine = summed(blocks, definition).groupBy("k1", "k2").agg(F.sum("pieces").alias("pieces"))
-    rows = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), *keys)
-    copies = rows.groupBy("k1", "k2").agg(F.first("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"), F.count("*").alias("copies"))
-    one = copies.join(mine, ["k1", "k2"], "left").withColumn("n_tokens", (F.coalesce("pieces", F.lit(0)) / F.col("copies")).cast("long"))
-    back = one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return back.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = postings(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), definition, buckets, block_bytes)
+    # the documents' own rows go to any task, pre-tokens to the one of their bucket
+    dealt = blocks.repartition(buckets, F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("batch"), F.lit(buckets))).otherwise(F.col("bucket")).cast("int"))
+    counted = gathered(summed(dealt, definition))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def query(spark, sf_dir):

@@ -81,10 +81,16 @@ def test_counts_are_the_librarys(spark, docs, texts, tables):
 
 
 def test_posting_blocks_round_trip():
-    words, docs, ends = [b"a", b"", "é".encode()], np.array([0, 2, 2, 0]), np.array([2, 3, 4])
-    keys = np.arange(6).reshape(3, 2).astype("<i8")
-    w, e, d, c, k = token_counts._unpack(token_counts._pack(words, docs, ends, np.array([1, 2, 3, 4]), keys))
-    assert (w, e.tolist(), d.tolist(), c.tolist(), k.tolist()) == (words, [2, 3, 4], [0, 1, 1, 0], [1, 2, 3, 4], [0, 1, 4, 5])
+    words, ends, docs, counts = [b"a", b"", "é".encode()], np.array([2, 3, 4]), np.array([0, 2, 70_000, 0]), np.array([1, 2, 300, 4])
+    w, gaps, d, c = token_counts._unpack(token_counts._pack(words, ends, docs, counts))
+    assert (w, gaps.tolist(), d.tolist(), c.tolist()) == (words, [2, 1, 1], docs.tolist(), counts.tolist())
+
+
+@pytest.mark.parametrize("block", [1, 500])
+def test_counts_do_not_depend_on_batches(docs, block):
+    path = public_tokenizers.path(token_counts.VOCABULARY)
+    want = Counter(tuple(r) for r in token_counts.count_tokens(docs, path).collect())
+    assert Counter(tuple(r) for r in token_counts.count_tokens(docs.repartition(7), path, block_bytes=block).collect()) == want
 
 
 def test_empty_and_odd_tables(odd, none):

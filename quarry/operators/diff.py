@@ -81,9 +81,10 @@ def diff(old: DataFrame, new: DataFrame, ignore: Sequence[str] = ()) -> DataFram
 
 def diff_counts(old: DataFrame, new: DataFrame, found: DataFrame) -> DataFrame:
     """One row: added, removed, changed, unchanged."""
-    ids = found.select("id", "kind").distinct().groupBy().agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in ("added", "removed", "changed")])
-    common = old.select("id").join(new.select("id"), "id", "left_semi").agg(F.count("*").alias("common"))
-    return ids.join(F.broadcast(common)).select("added", "removed", "changed", (F.col("common") - F.col("changed")).alias("unchanged"))
+    common = old.select("id").join(new.select("id"), "id", "left_semi").select(F.lit("common").alias("kind"))
+    kinds = found.select("id", "kind").distinct().select("kind").unionByName(common)
+    n = {k: F.count(F.when(F.col("kind") == k, 1)) for k in ("added", "removed", "changed", "common")}
+    return kinds.agg(*[n[k].alias(k) for k in ("added", "removed", "changed")], (n["common"] - n["changed"]).alias("unchanged"))
 
 
 def changelog(found: DataFrame, records: int = 200, paths: int = 10, width: int = 120) -> DataFrame:

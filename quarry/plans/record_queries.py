@@ -141,7 +141,7 @@ def evidence_guard(spark: SparkSession, d: str) -> DataFrame:
     n = 40
     j = docs.join(items.where(F.col("item_id") < n).select("item_id", F.col("text").alias("item")), F.col("doc_id") % n == F.col("item_id"))
     quote = text.first_words(F.col("item"), 4)
-    return j.select("doc_id", guards.evidenced(quote, F.concat_ws(" ", "text", F.when(F.col("doc_id") % 3 == 0, F.col("item")))).alias("ok"), guards.evidenced(F.split(F.col("item"), " ")[0], F.col("item")).alias("word_ok"))
+    return j.select("doc_id", guards.evidenced(quote, F.concat_ws(" ", "text", F.when(F.col("doc_id") % 3 == 0, F.col("item")))).alias("ok"), guards.evidenced(text.first_words(F.col("item"), 1), F.col("item")).alias("word_ok"))
 
 
 EVIDENCED_SQL = r"""WITH j AS (

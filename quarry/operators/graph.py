@@ -18,25 +18,30 @@ def institution_key(ror: Column, name: Column) -> Column:
     return F.coalesce(F.nullif(F.element_at(F.split(F.regexp_replace(ror, "/+$", ""), "/"), -1), F.lit("")), slugify(name))
 
 
-def _attributes(records: DataFrame, domains: Sequence[str], institutions: int) -> DataFrame:
-    """(id, domains, type, key, label, pos): every attribute value of every record that isn't removed.
+def _own(records: DataFrame, domains: Sequence[str], institutions: int) -> DataFrame:
+    """(id, name, domains, attributes): each live record with its attribute nodes, each node once with the label it has first.
 
-    ``records`` has id, name, source, access, record_status, domains, modalities, conditions and
+    ``records`` has id, name, source, record_status, domains, modalities, conditions and
     institutions, the last two arrays of labels and of struct(name, ror_id). Only the first ``institutions``
-    of a record count, before equal ones are joined.
+    of a record count, before equal ones are joined. All of it is done within the row: nothing is shuffled.
     """
     live = records.where(F.coalesce(F.col("record_status"), F.lit("active")) != "removed")
     empty = F.array().cast("array<string>")
-    entry = lambda kind, key, label: F.struct(F.lit(kind).alias("type"), key.alias("key"), label.alias("label"))
+    entry = lambda kind, key, label: F.struct(F.concat_ws(":", F.lit(kind), key).alias("node"), F.lit(kind).alias("type"), label.alias("label"))
     values = F.concat(
         F.array(entry("source", F.col("source"), F.col("source"))),
         F.transform(F.coalesce("modalities", empty), lambda m: entry("modality", m, m)),
         F.transform(F.coalesce("conditions", empty), lambda c: entry("condition", slugify(c), c)),
         F.transform(F.slice(F.coalesce(F.col("institutions"), F.array().cast(records.schema["institutions"].dataType)), 1, institutions), lambda i: entry("institution", institution_key(i["ror_id"], i["name"]), i["name"])),
     )
-    return live.select("id", ranked(F.col("domains"), domains).alias("domains"), F.posexplode(values).alias("pos", "v")).select(
-        "id", "domains", F.col("v.type").alias("type"), F.concat_ws(":", "v.type", "v.key").alias("node"), F.col("v.label").alias("label"), "pos"
-    )
+    placed = F.array_sort(F.transform(values, lambda v, i: F.struct(v["node"].alias("node"), i.alias("pos"), v["type"].alias("type"), v["label"].alias("label"))))
+    rows = live.select("id", "name", ranked(F.col("domains"), domains).alias("domains"), placed.alias("placed"))
+    return rows.select("id", "name", "domains", F.filter("placed", lambda v, i: (i == 0) | (F.get("placed", i - 1)["node"] != v["node"])).alias("attributes"))
+
+
+def _attributes(records: DataFrame, domains: Sequence[str], institutions: int) -> DataFrame:
+    """(id, domains, node, pos, type, label): one row for each record and attribute node."""
+    return _own(records, domains, institutions).select("id", "domains", F.inline("attributes"))
 
 
 def related_pairs(records: DataFrame) -> DataFrame:
@@ -49,8 +54,8 @@ def related_pairs(records: DataFrame) -> DataFrame:
 
 
 def links(records: DataFrame, domains: Sequence[str], institutions: int = 3) -> DataFrame:
-    """(source, target, type): has_<attribute> from records to their attribute nodes, and related pairs; each once."""
-    own = _attributes(records, domains, institutions).select(F.col("id").alias("source"), F.col("node").alias("target"), F.concat(F.lit("has_"), "type").alias("type")).distinct()
+    """(source, target, type): has_<attribute> from records to their attribute nodes, and related pairs; each once (ids being unique)."""
+    own = _attributes(records, domains, institutions).select(F.col("id").alias("source"), F.col("node").alias("target"), F.concat(F.lit("has_"), "type").alias("type"))
     return own.unionByName(related_pairs(records)) if "related" in records.columns else own
 
 
@@ -60,11 +65,23 @@ def degrees(edges: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.count("*").alias("degree"))
 
 
-def dominant_domain(attributes: DataFrame, domains: Sequence[str]) -> DataFrame:
-    """(node, domain): the domain that most of a node's records have, the earlier in the vocabulary of equals."""
-    pairs = attributes.select("id", "node", "domains").distinct().select("node", F.explode("domains").alias("domain"))
-    n = pairs.groupBy("node", "domain").agg(F.count("*").alias("n"))
-    return n.groupBy("node").agg(F.max_by("domain", F.struct("n", -rank(F.col("domain"), domains))).alias("domain"))
+def _hubs(own: DataFrame, domains: Sequence[str]) -> DataFrame:
+    """(node, type, label, domain, degree) of attribute nodes, by two aggregates of which both combine before they shuffle.
+
+    Records are counted by node and domain, then by node: most common domain, the earlier in
+    the vocabulary of equals; the label of the first record, by id and place; links counted at a record's first domain.
+    """
+    rows = own.select("id", F.posexplode_outer("domains").alias("nth", "domain"), "attributes").select("id", "nth", "domain", F.inline("attributes"))
+    n = rows.groupBy("node", "type", "domain").agg(
+        F.count("*").alias("n"), F.count(F.when(F.coalesce("nth", F.lit(0)) == 0, 1)).alias("links"), F.min(F.struct("id", "pos", "label")).alias("first")
+    )
+    best = F.when(F.col("domain").isNotNull(), F.struct("n", -rank(F.col("domain"), domains)))
+    return n.groupBy("node", "type").agg(F.min("first")["label"].alias("label"), F.max_by("domain", best).alias("domain"), F.sum("links").alias("degree"))
+
+
+def dominant_domain(records: DataFrame, domains: Sequence[str], institutions: int = 3) -> DataFrame:
+    """(node, domain): the domain that most of a node's records have; nodes without any are left out."""
+    return _hubs(_own(records, domains, institutions), domains).where("domain IS NOT NULL").select("node", "domain")
 
 
 def nodes(records: DataFrame, domains: Sequence[str], institutions: int = 3, min_degree: int = 2) -> DataFrame:
@@ -72,16 +89,16 @@ def nodes(records: DataFrame, domains: Sequence[str], institutions: int = 3, min
 
     An attribute's label is the one that its first record has, by id and place. Sources and modalities
     are always backbone, conditions and institutions from ``min_degree`` links on; records never.
+    Degrees count related pairs too. Ids are unique.
     """
-    found = _attributes(records, domains, institutions)
-    hubs = found.groupBy("node", "type").agg(F.min_by("label", F.struct("id", "pos")).alias("label"))
-    main = dominant_domain(found, domains)
-    hubs = hubs.join(main, "node", "left").select(F.col("node").alias("id"), "type", "label", F.when(F.col("domain").isNull(), F.array().cast("array<string>")).otherwise(F.array("domain")).alias("domains"))
-    live = records.where(F.coalesce(F.col("record_status"), F.lit("active")) != "removed")
-    own = live.select("id", F.lit("dataset").alias("type"), F.col("name").alias("label"), ranked(F.col("domains"), domains).alias("domains"))
-    every = own.unionByName(hubs).join(degrees(links(records, domains, institutions)), "id", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    own = _own(records, domains, institutions)
+    hubs = _hubs(own, domains).select(F.col("node").alias("id"), "type", "label", F.when(F.col("domain").isNull(), F.array().cast("array<string>")).otherwise(F.array("domain")).alias("domains"), "degree")
+    mine = own.select("id", F.lit("dataset").alias("type"), F.col("name").alias("label"), "domains", F.size("attributes").cast("long").alias("degree"))
+    if "related" in records.columns:
+        more = degrees(related_pairs(records)).withColumnRenamed("degree", "more")
+        mine = mine.join(more, "id", "left").withColumn("degree", F.col("degree") + F.coalesce("more", F.lit(0))).drop("more")
     backbone = F.col("type").isin(*ALWAYS) | (F.col("type").isin(*BY_DEGREE) & (F.col("degree") >= min_degree))
-    return every.withColumn("backbone", backbone)
+    return mine.unionByName(hubs).withColumn("backbone", backbone)
 
 
 def backbone_links(edges: DataFrame, hubs: DataFrame, min_weight: int = 2, keep: int = 3) -> DataFrame:

@@ -148,7 +148,7 @@ FROM hubs JOIN deg ON hubs.id = deg.id JOIN dom ON hubs.id = dom.id LEFT JOIN la
 
 
 def dominant_domain(spark: SparkSession, d: str) -> DataFrame:
-    return graph.dominant_domain(graph._attributes(order_catalog(spark, d), DOMAINS, 3), DOMAINS)
+    return graph.dominant_domain(order_catalog(spark, d), DOMAINS)
 
 
 DOMINANT_SQL = f"""WITH {ORDER_SQL}, {_LINKS}

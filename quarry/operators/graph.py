@@ -193,3 +193,22 @@ def contract_errors(found: DataFrame, edges: DataFrame, catalog: DataFrame) -> D
     live = catalog.where(F.coalesce(F.col("record_status"), F.lit("active")) != "removed").select("id").distinct()
     own = found.where("type = 'dataset'").select("id").distinct()
     return twice.unionByName(loose).unionByName(live.join(own, "id", "left_anti").select(F.lit("missing_node").alias("kind"), "id")).unionByName(own.join(live, "id", "left_anti").select(F.lit("unknown_record").alias("kind"), "id"))
+
+
+INDEX = ("id", "name", "summary", "source", "domains", "modalities", "conditions", "countries", "access", "year_start", "year_end", "sample_size", "sample_unit", "url", "species")
+
+
+def search_index(records: DataFrame, domains: Sequence[str], modalities: Sequence[str]) -> DataFrame:
+    """Live records as flat rows for searching, with vocabulary fields in vocabulary order; columns that aren't there are null."""
+    live = records.where(F.coalesce(F.col("record_status"), F.lit("active")) != "removed")
+    cells = {c: F.col(c) if c in records.columns else F.lit(None).cast("string") for c in INDEX}
+    cells |= {c: ranked(F.col(c), v) for c, v in (("domains", domains), ("modalities", modalities)) if c in records.columns}
+    return live.select(*[cells[c].alias(c) for c in INDEX])
+
+
+def panel(found: DataFrame, index: DataFrame, records: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """What is shown of a node: each field from its record, else from its index row, else from the node itself."""
+    j = found.alias("n").join(index.alias("i"), F.col("n.id") == F.col("i.id"), "left").join(records.alias("r"), F.col("n.id") == F.col("r.id"), "left")
+    sides = (("r", records), ("i", index), ("n", found))
+    cells = [F.coalesce(*[F.col(f"{a}.{f}") for a, df in sides if f in df.columns]).alias(f) for f in fields]
+    return j.select(F.col("n.id").alias("id"), F.col("r.id").isNotNull().alias("full"), *cells)

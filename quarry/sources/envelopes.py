@@ -6,6 +6,7 @@ import json
 import os
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import urlencode
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,3 +136,26 @@ def probe(urls: DataFrame, head: Callable[[str], tuple[int, str]]) -> DataFrame:
 
 def status_histogram(probed: DataFrame) -> DataFrame:
     return probed.groupBy("status").agg(F.count("*").alias("n"))
+
+
+def query_string(params: dict[str, object]) -> str:
+    """Parameters of a request, those without a value left out."""
+    return urlencode([(k, v) for k, v in params.items() if v is not None])
+
+
+def listing_errors(listing: DataFrame, total: int, key: str = "native_id") -> DataFrame:
+    """(kind, key, n): identifiers that a listing repeats, and a number of rows that isn't what the endpoint announced."""
+    twice = listing.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n")).where("n > 1").select(F.lit("repeated").alias("kind"), "key", "n")
+    short = listing.agg(F.count("*").alias("n")).where(F.col("n") != total).select(F.lit("total").alias("kind"), F.lit(str(total)).alias("key"), "n")
+    return twice.unionByName(short)
+
+
+def write_changelog(folder: str, day: str, text: str, keep: int = 12) -> list[str]:
+    """Write the day's changelog and the same bytes as latest.md, each by rename; return the newest ``keep`` days' names."""
+    os.makedirs(folder, exist_ok=True)
+    for name in (f"{day}.md", "latest.md"):
+        staged = os.path.join(folder, f".{name}.{uuid.uuid4().hex}")
+        with open(staged, "w", encoding="utf-8") as f:
+            f.write(text.rstrip("\n") + "\n")
+        os.replace(staged, os.path.join(folder, name))
+    return sorted((n for n in os.listdir(folder) if n[:1].isdigit() and n.endswith(".md")), reverse=True)[:keep]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from quarry.llm.tables import table, utf8
+from quarry.operators.state import cut
 
 #: Bytes of a word stay, A-Z are lower-cased, every other ASCII byte parts words.
 _FOLD = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -112,7 +113,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, b
     Words are runs of bytes that are ASCII digits, ASCII letters (A-Z lower-cased) or not
     ASCII. A pattern is ``width`` consecutive words of an item, or all words of an item that
     has fewer but some. Whole documents are searched, in one narrow pass without a shuffle for
-    each block of at most ``block_bytes`` of benchmark text; only one block is sent at a time.
+    each block of at most ``block_bytes`` of benchmark text; blocks after the first are searched
+    one after another, with a checkpoint between.
 
     Null and wordless texts have no words and no hits; equal items are each reported;
     repeated rows are searched each. Empty tables give what they hold: no rows, or no hits.
@@ -124,6 +126,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, b
     found = docs
     for k, block in enumerate(item_blocks(benchmark, block_bytes)):
         patterns = spark.sparkContext.broadcast(windows(block, width))
+        if k:  # one block at a time in a worker's memory
+            found = cut(found)
 
         def search(batches, patterns=patterns, first=k == 0):
             engines = [WuManber(p, m) for m, p in sorted(patterns.value.items())]

@@ -36,7 +36,11 @@ def _own(records: DataFrame, domains: Sequence[str], institutions: int) -> DataF
     )
     placed = F.array_sort(F.transform(values, lambda v, i: F.struct(v["node"].alias("node"), i.alias("pos"), v["type"].alias("type"), v["label"].alias("label"))))
     rows = live.select("id", "name", ranked(F.col("domains"), domains).alias("domains"), placed.alias("placed"))
-    return rows.select("id", "name", "domains", F.filter("placed", lambda v, i: (i == 0) | (F.get("placed", i - 1)["node"] != v["node"])).alias("attributes"))
+    # each beside the node before it, so that no lambda looks back into the array
+    before = F.concat(F.array(F.lit("")), F.transform("placed", lambda v: v["node"]))
+    pairs = F.arrays_zip("placed", before.alias("before"))
+    first = F.filter(pairs, lambda z: z["placed"].isNotNull() & (z["placed"]["node"] != z["before"]))
+    return rows.select("id", "name", "domains", F.transform(first, lambda z: z["placed"]).alias("attributes"))
 
 
 def _attributes(records: DataFrame, domains: Sequence[str], institutions: int) -> DataFrame:

@@ -8,6 +8,7 @@ The README says with figures why the query takes the second.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
 import unicodedata
@@ -23,12 +24,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.tables import table, utf8
+from quarry.llm.tables import latin_pattern, table, utf8
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Code points with the property White_Space, which is what \s means to the library.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _NONE = 1 << 30
+_BLOCK = 200_000  # words that are folded together
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -53,6 +55,7 @@ class Splitter:
 
     def __init__(self, pattern: str, newer: str):
         self.pattern = _compile(pattern)
+        self.latin = latin_pattern(pattern, _SPACE)
         self.newer = regex.compile(f"[{newer}]") if newer else None
 
     def findall(self, text: str) -> list[str]:
@@ -61,7 +64,8 @@ class Splitter:
         except UnicodeEncodeError:
             if self.newer and self.newer.search(text):
                 return [text[slice(*m.span())] for m in self.pattern.finditer(self.newer.sub("\uffff", text))]
-        return self.pattern.findall(text)
+            return self.pattern.findall(text)
+        return self.latin.findall(text)
 
 
 def _compile(pattern: str) -> regex.Pattern:
@@ -115,20 +119,126 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-def _blobs(texts: Iterator[str | None], ranks: dict[bytes, int], split: Splitter, most: int, memory: dict[str, bytes]) -> Iterator[bytes]:
+class Folder:
+    """Folds many words at a time: one step merges the best pair of every word that still has one.
+
+    Pairs of ids are looked up in a hash table of all pairs that join to a ranked piece. Words of over ``most``
+    bytes are folded one by one.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], most: int = 32):
+        self.ranks, self.most = ranks, most
+        self.single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+        pairs = {}
+        for piece, rank in ranks.items():
+            for i in range(1, len(piece)):
+                a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = rank
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        keys, values = np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs))
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, _NONE, np.int64)
+        self.probes = 0
+        slot = self._slot(keys)
+        while len(keys):  # each round seats the first of those that want a free slot, the others go one further
+            self.probes += 1
+            free = np.flatnonzero(self.keys[slot] < 0)
+            _, first = np.unique(slot[free], return_index=True)
+            seat = free[first]
+            self.keys[slot[seat]], self.values[slot[seat]] = keys[seat], values[seat]
+            rest = np.ones(len(keys), bool)
+            rest[seat] = False
+            keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def rank(self, pairs: np.ndarray) -> np.ndarray:
+        """Rank of what each pair joins to; _NONE for pairs that don't join and for negative ones."""
+        slot = self._slot(pairs)
+        out = np.where(self.keys[slot] == pairs, self.values[slot], _NONE)
+        left = np.flatnonzero((out == _NONE) & (self.keys[slot] >= 0) & (pairs >= 0))
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & ((1 << self.bits) - 1)
+            found = self.keys[slot]
+            hit = found == pairs[left]
+            out[left[hit]] = self.values[slot[hit]]
+            more = ~hit & (found >= 0)
+            left, slot = left[more], slot[more]
+        return out
+
+    def fold(self, words: list[bytes]) -> list[bytes]:
+        """Each word's ids as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = [b""] * len(words)
+        todo: list[int] = []
+        for i, w in enumerate(words):
+            whole = self.ranks.get(w)
+            if whole is not None:
+                out[i] = whole.to_bytes(4, "little")
+            elif len(w) > self.most:
+                out[i] = np.array(fold(w, self.ranks), "<u4").tobytes()
+            else:
+                todo.append(i)
+        todo.sort(key=lambda i: len(words[i]))
+        for a in range(0, len(todo), 20_000):
+            part = todo[a : a + 20_000]
+            for i, ids in zip(part, self._together([words[i] for i in part])):
+                out[i] = ids
+        return out
+
+    def _together(self, words: list[bytes]) -> list[bytes]:
+        n, width = len(words), max(map(len, words))
+        lengths = np.fromiter(map(len, words), np.int64, n)
+        ids = np.full((n, width), -1, np.int64)
+        ids[np.arange(width) < lengths[:, None]] = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        rows, now = np.arange(n), ids
+        while len(rows) and now.shape[1] > 1:
+            pairs = np.where(now[:, 1:] >= 0, now[:, :-1] << 32 | now[:, 1:], -1)
+            ranks = self.rank(pairs.ravel()).reshape(pairs.shape)
+            at = ranks.argmin(1)
+            best = ranks[np.arange(len(rows)), at]
+            go = best < _NONE
+            if not go.all():
+                ids[rows[~go], : now.shape[1]] = now[~go]
+                rows, now, at, best = rows[go], now[go], at[go], best[go]
+            # the pair becomes one id, what stands behind it moves up
+            width = now.shape[1] - 1
+            place = np.arange(width)
+            now = np.where(place > at[:, None], now[:, 1:], now[:, :-1])
+            now[np.arange(len(rows)), at] = best
+            ids[rows, width] = -1
+        ids[rows, : now.shape[1]] = now
+        count = (ids >= 0).sum(1)
+        flat = ids[ids >= 0].astype("<u4").tobytes()
+        ends = np.cumsum(count) * 4
+        return [flat[a:b] for a, b in zip((ends - count * 4).tolist(), ends.tolist())]
+
+
+def _blobs(texts: Iterator[str | None], folder: Folder, split: Splitter, most: int, memory: dict[str, bytes]) -> Iterator[bytes]:
     """Each text's ids as little-endian unsigned 32-bit integers; a distinct word is folded once while it is remembered."""
-    for text in texts:
-        words = split.findall(text or "")
-        new = set(words).difference(memory)
+    block: list[list[str]] = []
+    size = 0
+
+    def flush():
+        new = list(set().union(*block).difference(memory))
         if len(memory) + len(new) > most:
             memory.clear()
-            new = set(words)
-        for w in new:
-            memory[w] = np.array(fold(utf8(w), ranks), "<u4").tobytes()
-        yield b"".join(map(memory.__getitem__, words))
+            new = list(set().union(*block))
+        memory.update(zip(new, folder.fold([utf8(w) for w in new])))
+        for words in block:
+            yield b"".join(map(memory.__getitem__, words))
+
+    for text in texts:
+        block.append(split.findall(text or ""))
+        size += len(block[-1])
+        if size >= _BLOCK:
+            yield from flush()
+            block, size = [], 0
+    yield from flush()
 
 
-def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 300_000, column: str = "tokens") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 500_000, column: str = "tokens") -> DataFrame:
     """Return ``docs`` with ``column``: the ids of each whole text, as little-endian unsigned 32-bit integers.
 
     Each match of ``pattern`` is encoded separately and no special tokens are made. Null and
@@ -144,12 +254,12 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
 
     def run(batches):
         ranks, newer = shared.value
-        split, memory = Splitter(pattern, newer), {}
+        folder, split, memory = Folder(ranks), Splitter(pattern, newer), {}
         for b in batches:
             at = b.schema.get_field_index("text")
             for s in range(0, b.num_rows, 500):
                 part = b.slice(s, 500)
-                ids = pa.array(_blobs((t.as_py() for t in part.column(at)), ranks, split, remembered, memory), pa.binary())
+                ids = pa.array(_blobs((t.as_py() for t in part.column(at)), folder, split, remembered, memory), pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -207,10 +317,28 @@ def fold_words(words: DataFrame, path: str, column: str = "word", buckets: int =
     return words.withColumn("ids", F.when(word.isNull(), None).otherwise(F.transform(F.when(rank(word).isNotNull(), F.array(word)).otherwise(folded), rank)))
 
 
-def digest(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text, encoded and decoded."""
-    both = decode(encode(docs.select("doc_id", "text"), path).select("doc_id", "tokens"), path)
-    return both.select("doc_id", (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"), F.sha2("tokens", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+def digest(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 500_000) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text, encoded and decoded.
+
+    The same fold and the same pieces as ``encode`` and ``decode``, in one pass, so that ids needn't leave the task.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((read_ranks(path), newer_letters()))
+    schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("n_tokens long, ids_sha256 string, decoded_sha256 string")])
+
+    def run(batches):
+        ranks, newer = shared.value
+        piece = {i: b for b, i in ranks.items()}.__getitem__
+        folder, split, memory = Folder(ranks), Splitter(pattern, newer), {}
+        for b in batches:
+            for s in range(0, b.num_rows, 500):
+                part = b.slice(s, 500)
+                rows = []
+                for ids in _blobs((t.as_py() for t in part.column(1)), folder, split, remembered, memory):
+                    text = b"".join(map(piece, np.frombuffer(ids, "<u4").tolist()))
+                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in zip(*rows))], names=schema.names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def stage(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from xxhash import xxh3_128_digest
 from quarry.llm.tables import table, utf8
 from quarry.operators.state import cut
 
-SPAN, GRAM, SYMBOL = 200, 32, 8
+SPAN, GRAM, SYMBOL = 200, 48, 8
 RUN = 256  # windows in a block at most
 _SEGMENT = 1 << 20
 _COLLECTION = 1 << 19  # bytes of blocks that are ordered together, unless one minimiser has more
@@ -305,7 +305,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _find_blocks(span: int):
     def run(batches):
-        grams = _Grams(GRAM, 0)
+        grams = _Grams(min(GRAM, span - 8), 0)
         for b in batches:
             for s in range(0, b.num_rows, 500):
                 p = b.slice(s, 500)
@@ -341,7 +341,7 @@ def _keep_shared(batches):
 
 
 def _blocks_with_bytes(span: int):
-    """(key, data, weight): the bytes of documents' blocks, equal ones of a batch once."""
+    """(key, data, weight): the bytes of documents' blocks, equal ones of a part of a batch once."""
 
     def run(batches):
         for b in batches:
@@ -442,9 +442,10 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, held: int = _HELD) -> Data
     shared = cut(found.repartition("key").sortWithinPartitions("key").mapInArrow(_keep_shared, BLOCK))
     own = shared.groupBy("k1", "k2").agg(F.collect_set(F.struct("key", "start", "n")).alias("blocks")).select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), "blocks")
     rows = keyed.join(own, (F.col("k1") == F.col("b1")) & (F.col("k2") == F.col("b2")))
-    blocks = rows.select("text", "blocks").mapInArrow(_blocks_with_bytes(span), "key long, data binary, weight long")
+    # both select doc_id, so that texts are shuffled once for this join and the last
+    blocks = rows.select("text", "blocks", "doc_id").mapInArrow(_blocks_with_bytes(span), "key long, data binary, weight long")
     runs = blocks.repartition("key").sortWithinPartitions("key").mapInArrow(_order_blocks(span, held), "name binary, runs binary")
-    places = rows.select("text", "blocks", "k1", "k2").mapInArrow(_places(span), "name binary, k1 long, k2 long, start long")
+    places = rows.select("text", "blocks", "k1", "k2", "doc_id").mapInArrow(_places(span), "name binary, k1 long, k2 long, start long")
     covered = places.join(runs, "name").groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "runs")).alias("places"))
     covered = covered.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "places")
     whole = keyed.join(covered, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left").select("doc_id", "text", "places")

@@ -49,27 +49,36 @@ def grow(root: Node, weight: float = 1.0) -> Node:
     return Node(root.name, (*root.children, Node(f"r+{new}", (Node(f"k+{new}", (Node(f"s{new}", shard=new, weight=weight),)),))))
 
 
-def _draw(node: Node, key: Column) -> Column:
-    """Exponential with the subtree's weight as its rate: the least of a row of siblings wins in proportion to weight."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), F.lit(node.name), key), 11)
-    return -F.log((bits.cast("double") + 0.5) / F.lit(float(1 << 53))) / F.lit(node.total)
-
-
 def place(root: Node, key: Column) -> Column:
-    """The shard of ``key``: at each level its least weighted draw, down to a leaf."""
-    live = [c for c in root.children if c.total > 0]
-    if root.shard is not None:
-        return F.lit(root.shard)
-    if not live:
-        raise ValueError("a tree without weight holds nothing")
-    if len(live) == 1:
-        return place(live[0], key)
-    draws = F.array(*[_draw(c, key) for c in live])
-    first = F.array_position(draws, F.array_min(draws))
-    chosen = F.when(first == 1, place(live[0], key))
-    for i, c in enumerate(live[1:], 2):
-        chosen = chosen.when(first == i, place(c, key))
-    return chosen
+    """The shard of ``key``: at each level the child of least weighted draw, down to a leaf.
+
+    A draw is exponential with the child's whole weight as its rate, so the least of a row of siblings wins in proportion
+    to weight. The tree is one literal, children by node; a leaf is its own only child, so uneven
+    branches end early. Children without weight hold nothing.
+    """
+    nodes: list[Node] = [root]
+    rows: list[list[tuple[str, float, int]]] = []
+    for n in nodes:  # breadth first; grows as it goes
+        live = [c for c in n.children if c.total > 0]
+        if n.children and not live:
+            raise ValueError(f"{n.name} has no weight below it")
+        at = len(nodes)
+        rows.append([(c.name, c.total, at + i) for i, c in enumerate(live)] or [(n.name, 1.0, len(rows))])
+        nodes.extend(live)
+
+    def depth(n: Node) -> int:
+        return 1 + max(map(depth, n.children)) if n.children else 0
+
+    children = F.array(*[F.array(*[F.struct(F.lit(a).alias("name"), F.lit(w).alias("weight"), F.lit(k).alias("node")) for a, w, k in row]) for row in rows])
+
+    def draw(c: Column) -> Column:
+        bits = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), c["name"], key), 11)
+        return F.struct((-F.log((bits.cast("double") + 0.5) / F.lit(float(1 << 53))) / c["weight"]).alias("draw"), c["node"].alias("node"))
+
+    node = F.lit(0)
+    for _ in range(depth(root)):
+        node = F.array_min(F.transform(F.get(children, node), draw))["node"]
+    return F.get(F.array(*[F.lit(n.shard).cast("int") for n in nodes]), node)
 
 
 def shard_rows(docs: DataFrame, root: Node, grown: Node, slot_buckets: int = 256) -> DataFrame:

@@ -8,8 +8,9 @@ its neighbours are one more than the least on the way between theirs.
 
 Texts are cut into blocks first, so that collections are independent of each other: a block is
 a run of windows of ``span`` bytes with one minimiser, equal windows have equal minimisers, and so
-all places of a window come to one collection. Blocks whose minimiser no other block has can
-hold no repeated window and stay behind.
+all places of a window come to one collection. A block whose minimiser no other block has can
+hold a repeated window only if its minimiser stands in it twice, as in a line of dashes; the others
+of these stay behind.
 """
 
 from __future__ import annotations
@@ -72,8 +73,20 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(tail[: n - width + 1], head[width - 1 : n])
 
 
-def blocks_of(texts: list[bytes], grams: _Grams, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, start, windows, minimiser) of the blocks of some texts, each window of a text in one block."""
+def _twice(h: np.ndarray, least: np.ndarray, start: np.ndarray, n_windows: np.ndarray) -> np.ndarray:
+    """Whether a block's minimiser stands at two or more places in it, as it does if two of its windows are equal."""
+    width = len(h) - len(least) + 1
+    n = np.zeros(len(start), np.int64)
+    rows = np.lib.stride_tricks.sliding_window_view(h, width)
+    for a in range(0, len(start), 1 << 13):  # places in the first window
+        at = start[a : a + (1 << 13)]
+        n[a : a + len(at)] = (rows[at] == least[at, None]).sum(axis=1)
+    ends = np.r_[0, np.cumsum(h[width - 1 :] == least)]  # and those that a later window ends with
+    return n + ends[start + n_windows] - ends[start + 1] > 1
+
+
+def blocks_of(texts: list[bytes], grams: _Grams, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, windows, minimiser, minimiser there twice) of the blocks of some texts, each window of a text in one block."""
     found: list[tuple[np.ndarray, ...]] = []
     part: list[bytes] = []
     whose: list[tuple[int, int]] = []
@@ -84,7 +97,8 @@ def blocks_of(texts: list[bytes], grams: _Grams, span: int = SPAN) -> tuple[np.n
         lengths = np.array([len(p) for p in part])
         ends = np.cumsum(lengths)
         n = len(data) - span + 1
-        least = _least(grams.of(data), span - grams.gram + 1)
+        h = grams.of(data)
+        least = _least(h, span - grams.gram + 1)
         piece = np.repeat(np.arange(len(part)), lengths)[:n]
         inside = np.arange(n) + span <= ends[piece]
         new = inside.copy()
@@ -98,7 +112,8 @@ def blocks_of(texts: list[bytes], grams: _Grams, span: int = SPAN) -> tuple[np.n
         start = at[rep] + nth * RUN
         p = piece[start]
         text, base = np.array(whose).T
-        found.append((text[p], start - (ends - lengths)[p] + base[p], np.minimum(n_windows[rep] - nth * RUN, RUN), least[start].view(np.int64)))
+        held = np.minimum(n_windows[rep] - nth * RUN, RUN)
+        found.append((text[p], start - (ends - lengths)[p] + base[p], held, least[start].view(np.int64), _twice(h, least, start, held)))
 
     for i, t in enumerate(texts):
         for s in range(0, len(t) - span + 1, _SEGMENT):
@@ -111,7 +126,7 @@ def blocks_of(texts: list[bytes], grams: _Grams, span: int = SPAN) -> tuple[np.n
     if part:
         flush()
     if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -272,7 +287,7 @@ class _Spool:
         self.files = [open(os.path.join(self.folder, str(i)), "w+b") for i in range(self.FILES)]
 
     def add(self, data: bytes, weight: int, name: bytes, base: int) -> None:
-        _, start, n, key = blocks_of([data], self.grams, self.span)
+        _, start, n, key, _ = blocks_of([data], self.grams, self.span)
         for s, k, w in zip(start.tolist(), key.tolist(), n.tolist()):
             piece = data[s : s + w + self.span - 1]
             self.files[k % self.FILES].write(struct.pack("<qqi16si", k, weight, base + s, name, len(piece)) + piece)
@@ -309,30 +324,30 @@ def _find_blocks(span: int):
         for b in batches:
             for s in range(0, b.num_rows, 500):
                 p = b.slice(s, 500)
-                text, start, n, key = blocks_of([utf8(t.as_py()) for t in p.column(2)], grams, span)
+                text, start, n, key, twice = blocks_of([utf8(t.as_py()) for t in p.column(2)], grams, span)
                 if len(text):
-                    yield pa.RecordBatch.from_arrays([pa.array(key), p.column(0).take(pa.array(text)), p.column(1).take(pa.array(text)), pa.array(start), pa.array(n)], names=["key", "k1", "k2", "start", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key), p.column(0).take(pa.array(text)), p.column(1).take(pa.array(text)), pa.array(start), pa.array(n), pa.array(twice)], names=["key", "k1", "k2", "start", "n", "twice"])
 
     return run
 
 
-BLOCK = "key long, k1 long, k2 long, start long, n long"
+BLOCK = "key long, k1 long, k2 long, start long, n long, twice boolean"
 
 
 def _keep_shared(batches):
-    """Of rows sorted by minimiser, those that have a neighbour with the same one."""
+    """Of rows sorted by minimiser, those that have a neighbour with the same one, or theirs twice."""
     held = None
     for b in batches:
         if not b.num_rows:
             continue
         if held is not None:
             b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
-            first = shared  # noqa: F821 whether the held row has a neighbour before it
+            first = shared  # noqa: F821 whether the held row stays already
         else:
             first = False
         key = b.column(0).to_numpy()
         equal = key[1:] == key[:-1]
-        keep = np.r_[equal, False] | np.r_[first, equal]
+        keep = np.r_[equal, False] | np.r_[first, equal] | b.column(5).to_numpy(zero_copy_only=False)
         if b.num_rows > 1:
             yield b.filter(pa.array(np.r_[keep[:-1], False]))
         held, shared = b.slice(b.num_rows - 1, 1), bool(keep[-1])

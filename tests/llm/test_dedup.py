@@ -57,6 +57,17 @@ def test_few_letters_and_files(spark, held):
         assert got[i] == (int(g.sum()), as_row(i, t, g)[-1]), i
 
 
+def test_repeats_within_one_stretch(spark):
+    pick = random.Random(9)
+    noise = lambda n: bytes(pick.choice(b"abcdefghijklmnop ") for _ in range(n))
+    sentence = noise(100)
+    texts = [b"a" * 200, b"b" * 201, b"c" * 300, b"d" * 455, noise(500) + b"-" * 300 + noise(500), sentence * 4, noise(90) + noise(153) * 3, noise(40) * 9 + noise(700), noise(3000)]
+    df = spark.createDataFrame(list(enumerate(t.decode() for t in texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_removed, len(r.spans), sha(bytes(r.kept))) for r in suffix_dedup.remove_repeats(df).collect()}
+    want = {i: as_row(i, t, g)[2:] for i, (t, g) in enumerate(zip(texts, brute_windows(texts, 200)))}
+    assert got == want and [got[i][0] for i in (0, 1, 2, 5)] == [0, 201, 300, 400]
+
+
 def test_spans_and_kept_bytes_make_up_the_text(docs, texts):
     for r in suffix_dedup.remove_repeats(docs).collect():
         raw = (texts[r.doc_id] or "").encode()

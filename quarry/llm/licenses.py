@@ -1,4 +1,8 @@
-"""License scans: normalised text against license templates by Dice over word bigrams, sizes pruning first."""
+"""License scans: normalised text against license templates by Dice over word bigrams, sizes pruning first.
+
+The units compared are single lines and the whole text, and TEMPLATES are one-sentence notices. So a
+licence's body or header, a notice inside a longer line, and one wrapped over lines of a longer text are not found.
+"""
 
 from __future__ import annotations
 
@@ -84,6 +88,8 @@ def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     Each line of a text, and the whole text, is compared as a set of word bigrams (ASCII folded to
     lower case, other ASCII signs parting words) with each template whose size allows a Dice of
     ``least``. Templates are a stated, bounded list; those of fewer than two words match nothing.
+    A unit of over (2 - ``least``) / ``least`` times the largest template's bigrams (25 with TEMPLATES) is
+    compared with none, and no part of a unit is compared by itself.
     Null, empty and one-word texts match nothing: no lines, a null license, dice 0. Ties go to the
     license first by name. Repeated rows are scanned each; an empty table gives an empty one;
     extra columns pass through, but one named ``column`` is replaced. One narrow pass.

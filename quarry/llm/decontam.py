@@ -86,18 +86,18 @@ def scan(text: str | None, engines: list[WuManber]) -> tuple[int, list[tuple[int
     return len(seq), merged, items
 
 
-REPORT = "n_words long, spans array<struct<start:long,end:long>>, items array<long>"
-_ARROW = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.int64()))])
+REPORT = "n_words long, spans array<struct<start:long,end:long>>, items array<long>, n_items long"
+_ARROW = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.int64())), ("n_items", pa.int64())])
 
 
-def item_blocks(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[int, str | None]]]:
+def item_blocks(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[int | None, str | None]]]:
     """The stated query set, in blocks of at most ``max_bytes`` of text (an item above that is a block of its own).
 
-    Items with a null item_id have no name to report and are left out.
+    Items with a null item_id are searched like any other.
     """
-    blocks: list[list[tuple[int, str | None]]] = [[]]
+    blocks: list[list[tuple[int | None, str | None]]] = [[]]
     size = 0
-    for r in benchmark.select("item_id", "text").where("item_id IS NOT NULL").toLocalIterator():
+    for r in benchmark.select("item_id", "text").toLocalIterator():
         n = len(utf8(r["text"]))
         if blocks[-1] and size + n > max_bytes:
             blocks.append([])
@@ -108,7 +108,7 @@ def item_blocks(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[int, st
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 32_000_000, report: str = "contamination") -> DataFrame:
-    """Return ``docs`` and a struct ``report`` (n_words, spans of words hit, items found, sorted).
+    """Return ``docs`` and a struct ``report`` (n_words, spans of words hit, items found, sorted, n_items).
 
     Words are runs of bytes that are ASCII digits, ASCII letters (A-Z lower-cased) or not
     ASCII. A pattern is ``width`` consecutive words of an item, or all words of an item that
@@ -116,6 +116,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, b
     each block of at most ``block_bytes`` of benchmark text; blocks after the first are searched
     one after another, with a checkpoint between.
 
+    Items with a null item_id hit like others and are together one of ``n_items``, but none of ``items``.
     Null and wordless texts have no words and no hits; equal items are each reported;
     repeated rows are searched each. Empty tables give what they hold: no rows, or no hits.
     Extra columns pass through; one that has the name of ``report`` is replaced.
@@ -138,8 +139,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, b
                     n, spans, items = scan(text.as_py(), engines)
                     if was:
                         spans = _union(spans, [(s["start"], s["end"]) for s in was["spans"]])
-                        items |= set(was["items"])
-                    rows.append({"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(items)})
+                        items |= {*was["items"], *([None] if was["n_items"] > len(was["items"]) else [])}
+                    rows.append({"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(x for x in items if x is not None), "n_items": len(items)})
                 kept = [f for f in batch.schema.names if f != report]
                 yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(f)) for f in kept], pa.array(rows, _ARROW)], names=[*kept, report])
 
@@ -160,7 +161,7 @@ def _union(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int
 def stage(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The pipeline's stage: documents that hold no passage of an item."""
     found = find_contamination(docs, benchmark, report="__contamination")
-    return found.where("size(__contamination.items) = 0").select(*docs.columns)
+    return found.where("size(__contamination.spans) = 0").select(*docs.columns)
 
 
 def query(spark, sf_dir):
@@ -173,7 +174,7 @@ def query(spark, sf_dir):
                 "doc_id": batch.column(0),
                 "n_words": pa.array([x["n_words"] for x in r], pa.int64()),
                 "n_hit": pa.array([sum(s["end"] - s["start"] for s in x["spans"]) for x in r], pa.int64()),
-                "n_items": pa.array([len(x["items"]) for x in r], pa.int64()),
+                "n_items": pa.array([x["n_items"] for x in r], pa.int64()),
                 "items_sha256": pa.array([hashlib.sha256(",".join(sorted(map(str, x["items"]))).encode()).hexdigest() for x in r], pa.string()),
                 "contaminated": pa.array([bool(x["spans"]) for x in r], pa.bool_()),
             })

@@ -212,6 +212,21 @@ def test_contamination(spark, docs, texts, tables, block_bytes):
             assert (c.n_words, sum(s.end - s.start for s in c.spans), len(c["items"])) == want[r.doc_id][:3]
 
 
+@pytest.mark.parametrize("block_bytes", [32_000_000, 20])
+def test_items_without_an_id_hit_too(spark, tables, block_bytes):
+    duckdb = pytest.importorskip("duckdb")
+    docs = spark.createDataFrame([(1, "x Some text here y"), (2, "other words, some text here"), (3, "clean"), (4, "Other words")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(None, "some text here"), (5, "other words"), (None, "text here")], "item_id long, text string").coalesce(1)
+    found = {r.doc_id: r.contamination for r in decontam.find_contamination(docs, benchmark, block_bytes=block_bytes).collect()}
+    assert {i: (sum(s.end - s.start for s in c.spans), c["items"], c.n_items) for i, c in found.items()} == {1: (3, [], 1), 2: (5, [5], 2), 3: (0, [], 0), 4: (2, [5], 1)}
+    assert [r.doc_id for r in decontam.stage(docs, benchmark).collect()] == [3]
+    d = tables(documents=docs, benchmark=benchmark)
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{d}/{name}.parquet/*.parquet'")
+    assert sorted(map(tuple, decontam.query(spark, d).collect())) == sorted(con.execute(decontam.SQL).fetchall())
+
+
 def test_contamination_of_odd_tables(spark, odd, none):
     nothing = spark.createDataFrame([], "item_id long, text string")
     assert decontam.stage(none, nothing).count() == 0

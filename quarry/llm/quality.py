@@ -91,7 +91,7 @@ def judge(docs: DataFrame, host: str = "source", most: float = 0.5, salts: int =
     """(doc_id, host, counts, base_failed, host_rate, kept) for every row of ``docs``.
 
     The rules run over whole texts; base_failed is n_words < 20 or 100 * n_repeat_words >
-    30 * n_words. A document is kept if neither it nor its host fails. Null and empty texts
+    30 * n_words, and hosts are judged by it alone: the other counts feed no rule. A document is kept if neither it nor its host fails. Null and empty texts
     have no words and fail. Rows with a null host form one host of their own; repeated rows
     count each. An empty table gives an empty one. Extra columns are left out.
 

@@ -36,16 +36,16 @@ def fingerprint(text: str | None, width: int = 3) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint's bits as a signed long."""
+def fingerprints(docs: DataFrame, width: int = 3, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, keys, fp): the fingerprint's bits as a signed long."""
 
     def run(batches):
         for b in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), width) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            fp = np.fromiter((fingerprint(t.as_py(), width) for t in b.column(0)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fp.view(np.int64))], names=["doc_id", *keys, "fp"])
 
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.LongType(), False)])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = T.StructType([*(docs.schema[c] for c in ("doc_id", *keys)), T.StructField("fp", T.LongType(), False)])
+    return docs.select("text", "doc_id", *keys).mapInArrow(run, schema)
 
 
 def masks(bits: tuple[int, ...], blocks: int, agree: int) -> list[int]:
@@ -149,6 +149,15 @@ def near_links(fps: DataFrame, distance: int = 3, blocks: int = 6, most: int = 4
     return one.where("kind = 0").select("a", "b").unionByName(two.select("a", "b")).distinct()
 
 
+def _grouped(docs: DataFrame, width: int, distance: int, keys: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, keys, fp), the groups' fingerprints (fp, least, root), and the groups (root, component_id)."""
+    rows = cut(fingerprints(docs, width, keys))
+    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    member = connected_components(near_links(distinct.select("fp"), distance), "a", "b")
+    names = distinct.join(member, distinct.fp == member.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
+    return rows, names, names.groupBy("root").agg(F.min("least").alias("component_id"))
+
+
 def near_groups(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``.
 
@@ -161,22 +170,24 @@ def near_groups(docs: DataFrame, width: int = 3, distance: int = 3) -> DataFrame
     Rows with a null doc_id belong to a group but never name it, unless it has no other.
     Repeated rows share their group. An empty table gives an empty one. Extra columns are left out.
     """
-    rows = cut(fingerprints(docs, width))
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    member = connected_components(near_links(distinct.select("fp"), distance), "a", "b")
-    names = distinct.join(member, distinct.fp == member.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("root"))
-    named = names.groupBy("root").agg(F.min("least").alias("component_id"))
+    rows, names, named = _grouped(docs, width, distance)
     return rows.join(names.join(named, "root").select("fp", "component_id"), "fp")
 
 
 def stage(docs: DataFrame) -> DataFrame:
     """The pipeline's stage: of each group the document with the smallest doc_id.
 
-    Repeated rows (same doc_id and text) are one document. Rows with a null doc_id can't be
-    told apart by it and stay.
+    A document is a doc_id and a text, known by two 64-bit hashes of both: repeated rows are one,
+    and texts that share a doc_id are judged each. Of documents with the smallest doc_id in a
+    group, or of a group whose doc_ids are all null, the one with the smallest hashes stays.
     """
-    gone = near_groups(docs).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__id"), "left_anti").dropDuplicates(["doc_id", "text"])
+    keyed = docs.withColumns({"__k1": F.xxhash64("doc_id", "text"), "__k2": F.xxhash64(F.lit("document"), F.col("text"), F.col("doc_id"))})
+    rows, names, named = _grouped(keyed, 3, 3, ("__k1", "__k2"))
+    grouped = rows.join(names.join(named, "root").select("fp", "root", "component_id"), "fp")
+    first = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(F.struct("__k1", "__k2")).alias("k"))
+    first = first.select(F.col("k.__k1").alias("__f1"), F.col("k.__k2").alias("__f2"))
+    kept = keyed.join(first, (F.col("__k1") == F.col("__f1")) & (F.col("__k2") == F.col("__f2")), "left_semi")
+    return kept.dropDuplicates(["__k1", "__k2", "doc_id", "text"]).select(*docs.columns)
 
 
 def query(spark, sf_dir):

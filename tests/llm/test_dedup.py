@@ -179,6 +179,16 @@ def test_one_of_each_group_stays(docs, odd, none):
     assert simhash.stage(odd).count() == 2
 
 
+def test_documents_are_told_apart_by_their_text_too(spark):
+    pick = random.Random(4)
+    prose = lambda: " ".join("".join(pick.choice("abcdefghij") for _ in range(5)) for _ in range(80))
+    a, b, c, d, e = (prose() for _ in range(5))
+    rows = [(1, a), (5, a), (5, b), (None, b), (None, c), (None, c), (7, d), (7, d + " "), (8, d), (None, e), (None, e + " ")]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n long").repartition(3)
+    kept = [(r.doc_id, r.text.strip()) for r in simhash.stage(df).collect()]
+    assert Counter(kept) == Counter([(1, a), (5, b), (None, c), (7, d), (None, e)])
+
+
 def test_components(spark, none):
     pairs = [(5, 4), (4, 3), (3, 2), (9, 8), (8, 9), (7, 7), (None, 1), (20, 3), (21, 20), (22, 21), (23, 22), (24, 23)]
     got = {(r.node, r.component) for r in connected_components(spark.createDataFrame(pairs, "src long, dst long")).collect()}

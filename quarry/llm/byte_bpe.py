@@ -1,8 +1,9 @@
 """Byte-level BPE: ranked merges folded over distinct words; decoding concatenates binary pieces.
 
-Two forms of one fold. ``fold_words`` is Spark's own: higher-order functions over byte arrays
-with a literal rank map. ``encode`` folds the distinct words of each Arrow batch in Python.
-The README says with figures why the query takes the second.
+Texts are cut into words in Python, and each distinct word of a task is handed on once, as the array
+of its bytes' ids. ``folded`` is the fold: Spark's higher-order functions over those arrays, with
+the rank map as a literal. Documents follow their words as places in the list of words, so that ids are put together again
+behind the fold without a shuffle.
 """
 
 from __future__ import annotations
@@ -10,10 +11,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import json
 import unicodedata
-import zlib
-from collections.abc import Iterator
+from collections import defaultdict
+from dataclasses import dataclass
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +30,8 @@ RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Code points with the property White_Space, which is what \s means to the library.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _NONE = 1 << 30
-_BLOCK = 200_000  # words that are folded together
+_BLOCK = 50_000  # new words that are handed to the fold together
+_LONG = 255  # bytes of a word that the higher-order fold takes; a longer one is folded with a heap
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -119,150 +120,214 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class Folder:
-    """Folds many words at a time: one step merges the best pair of every word that still has one.
+@dataclass(frozen=True)
+class RankMap:
+    """The ranks as two arrays, for a literal: what a pair of ids joins to is one look-up in each.
 
-    Pairs of ids are looked up in a hash table of all pairs that join to a ranked piece. Words of over ``most``
-    bytes are folded one by one.
+    A pair's key is left << 16 | right. ``shift`` parts the keys into small buckets, and moves
+    each so that no two keys share a cell; a cell holds key << 20 | rank. So cell ^ key << 20 is the rank if
+    the pair joins, and larger than any rank otherwise.
     """
 
-    def __init__(self, ranks: dict[bytes, int], most: int = 32):
-        self.ranks, self.most = ranks, most
-        self.single = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+    single: tuple[int, ...]
+    shift: list[int]
+    cells: list[int]
+
+    #: Two primes, of buckets and of cells, and an odd factor that spreads keys over cells.
+    BUCKETS, CELLS, FACTOR = 32749, 262139, 1103515245
+    #: An id that no pair has: it stands at both ends of a word.
+    EDGE = 65535
+
+    @classmethod
+    def of(cls, ranks: dict[bytes, int]) -> RankMap:
+        if max(ranks.values()) >= cls.EDGE:
+            raise ValueError("ids of over 16 bits")
         pairs = {}
         for piece, rank in ranks.items():
             for i in range(1, len(piece)):
                 a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
                 if a is not None and b is not None:
-                    pairs[a << 32 | b] = rank
-        self.bits = max(4, (4 * len(pairs)).bit_length())
-        keys, values = np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int64, len(pairs))
-        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, _NONE, np.int64)
-        self.probes = 0
-        slot = self._slot(keys)
-        while len(keys):  # each round seats the first of those that want a free slot, the others go one further
-            self.probes += 1
-            free = np.flatnonzero(self.keys[slot] < 0)
-            _, first = np.unique(slot[free], return_index=True)
-            seat = free[first]
-            self.keys[slot[seat]], self.values[slot[seat]] = keys[seat], values[seat]
-            rest = np.ones(len(keys), bool)
-            rest[seat] = False
-            keys, values, slot = keys[rest], values[rest], (slot[rest] + 1) & ((1 << self.bits) - 1)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def rank(self, pairs: np.ndarray) -> np.ndarray:
-        """Rank of what each pair joins to; _NONE for pairs that don't join and for negative ones."""
-        slot = self._slot(pairs)
-        out = np.where(self.keys[slot] == pairs, self.values[slot], _NONE)
-        left = np.flatnonzero((out == _NONE) & (self.keys[slot] >= 0) & (pairs >= 0))
-        slot = slot[left]
-        while len(left):
-            slot = (slot + 1) & ((1 << self.bits) - 1)
-            found = self.keys[slot]
-            hit = found == pairs[left]
-            out[left[hit]] = self.values[slot[hit]]
-            more = ~hit & (found >= 0)
-            left, slot = left[more], slot[more]
-        return out
-
-    def fold(self, words: list[bytes]) -> list[bytes]:
-        """Each word's ids as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = [b""] * len(words)
-        todo: list[int] = []
-        for i, w in enumerate(words):
-            whole = self.ranks.get(w)
-            if whole is not None:
-                out[i] = whole.to_bytes(4, "little")
-            elif len(w) > self.most:
-                out[i] = np.array(fold(w, self.ranks), "<u4").tobytes()
-            else:
-                todo.append(i)
-        todo.sort(key=lambda i: len(words[i]))
-        for a in range(0, len(todo), 20_000):
-            part = todo[a : a + 20_000]
-            for i, ids in zip(part, self._together([words[i] for i in part])):
-                out[i] = ids
-        return out
-
-    def _together(self, words: list[bytes]) -> list[bytes]:
-        n, width = len(words), max(map(len, words))
-        lengths = np.fromiter(map(len, words), np.int64, n)
-        ids = np.full((n, width), -1, np.int64)
-        ids[np.arange(width) < lengths[:, None]] = self.single[np.frombuffer(b"".join(words), np.uint8)]
-        rows, now = np.arange(n), ids
-        while len(rows) and now.shape[1] > 1:
-            pairs = np.where(now[:, 1:] >= 0, now[:, :-1] << 32 | now[:, 1:], -1)
-            ranks = self.rank(pairs.ravel()).reshape(pairs.shape)
-            at = ranks.argmin(1)
-            best = ranks[np.arange(len(rows)), at]
-            go = best < _NONE
-            if not go.all():
-                ids[rows[~go], : now.shape[1]] = now[~go]
-                rows, now, at, best = rows[go], now[go], at[go], best[go]
-            # the pair becomes one id, what stands behind it moves up
-            width = now.shape[1] - 1
-            place = np.arange(width)
-            now = np.where(place > at[:, None], now[:, 1:], now[:, :-1])
-            now[np.arange(len(rows)), at] = best
-            ids[rows, width] = -1
-        ids[rows, : now.shape[1]] = now
-        count = (ids >= 0).sum(1)
-        flat = ids[ids >= 0].astype("<u4").tobytes()
-        ends = np.cumsum(count) * 4
-        return [flat[a:b] for a, b in zip((ends - count * 4).tolist(), ends.tolist())]
-
-
-def _blobs(texts: Iterator[str | None], folder: Folder, split: Splitter, most: int, memory: dict[str, bytes]) -> Iterator[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit integers; a distinct word is folded once while it is remembered."""
-    block: list[list[str]] = []
-    size = 0
-
-    def flush():
-        new = list(set().union(*block).difference(memory))
-        if len(memory) + len(new) > most:
-            memory.clear()
-            new = list(set().union(*block))
-        memory.update(zip(new, folder.fold([utf8(w) for w in new])))
-        for words in block:
-            yield b"".join(map(memory.__getitem__, words))
-
-    for text in texts:
-        block.append(split.findall(text or ""))
-        size += len(block[-1])
-        if size >= _BLOCK:
-            yield from flush()
-            block, size = [], 0
-    yield from flush()
-
-
-def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 500_000, column: str = "tokens") -> DataFrame:
-    """Return ``docs`` with ``column``: the ids of each whole text, as little-endian unsigned 32-bit integers.
-
-    Each match of ``pattern`` is encoded separately and no special tokens are made. Null and
-    empty texts have no ids. The rank file is read once on the driver and sent as a broadcast
-    (its size is the vocabulary's, not the data's). One narrow pass: nothing is shuffled, and at
-    most ``remembered`` folded words are held besides those of one text. Repeated rows are
-    encoded each; an empty table gives an empty one; extra columns pass through, but one named
-    ``column`` is replaced.
+                    pairs[a << 16 | b] = rank
+        groups: dict[int, list[int]] = defaultdict(list)
+        for k in pairs:
+            groups[k % cls.BUCKETS].append(k)
+        shift, cell = [0] * cls.BUCKETS, {}
+        for g, keys in sorted(groups.items(), key=lambda x: (-len(x[1]), x[0])):
+            at, by = [k * cls.FACTOR % cls.CELLS for k in keys], 0
+            while not cell.keys().isdisjoint([x + by for x in at]):
+                by += 1
+            shift[g] = by
+            cell.update((x + by, k << 20 | pairs[k]) for x, k in zip(at, keys))
+        cells = [1 << 62] * (cls.CELLS + max(shift) + 1)
+        for x, v in cell.items():
+            cells[x] = v
+        return cls(tuple(ranks[bytes([b])] for b in range(256)), shift, cells)
+
+
+def fold_sql(letters: str) -> str:
+    """The fold as one SQL expression: an array of ids (name of an array<long>) to the array of ids that are left.
+
+    ``cells`` and ``shifts`` are the rank map's arrays, which ``with_ranks`` binds.
+
+    The state is one array of longs, a part each, with ``EDGE`` at both ends: rank of the pair
+    that a part begins (20 bits), the part's first byte (9 bits), its id (17 bits). So its
+    least element is the leftmost pair of lowest rank, and one step joins that pair and looks two
+    new pairs up. An array of over ``_LONG`` ids stays as it is, and so does one in which nothing joins.
+    """
+    none, edge = 1 << 20, RankMap.EDGE
+    last = ((none << 9) << 17) + edge
+    rank = f"least({none}L, cells[k * {RankMap.FACTOR}L % {RankMap.CELLS}L + shifts[k % {RankMap.BUCKETS}L]] ^ shiftleft(k, 20))"
+    start = f"""concat(transform(zip_with(concat(array({edge}L), {letters}), concat({letters}, array({edge}L)), (a, b) -> a * 65536L + b),
+        (k, i) -> ({rank} * 512L + i) * 131072L + shiftright(k, 16)), array({last}L))"""
+    step = f"""transform(array(array_min(s)), m -> if(m >= {none << 26}L, s, transform(array(int(array_position(s, m))), q -> concat(
+        slice(s, 1, q - 2),
+        transform(array((s[q - 2] & 131071L) * 65536L + shiftright(m, 26), shiftright(m, 26) * 65536L + (s[q + 1] & 131071L)),
+          (k, i) -> ({rank} * 512L + (shiftright(s[q - 2 + i], 17) & 511L)) * 131072L + shiftright(k, 16)),
+        slice(s, q + 2, size(s))))[0]))[0]"""
+    fold_all = f"transform(aggregate(slice({letters}, 2, size({letters})), {start}, (s, x) -> {step}, s -> slice(s, 2, size(s) - 2)), x -> x & 131071L)"
+    return f"if(size({letters}) between 2 and {_LONG}, {fold_all}, {letters})"
+
+
+def with_ranks(body: str, known: RankMap) -> Column:
+    """``body`` with the rank map as literals; arrays of one element bind them, so that each stands in the plan once."""
+    cells, shifts = (f"cast(split('{','.join(map(str, x))}', ',') as array<bigint>)" for x in (known.cells, known.shift))
+    return F.expr(f"transform(array({cells}), cells -> transform(array({shifts}), shifts -> {body})[0])[0]")
+
+
+def _handed_on(at: int, pattern: str, ranks: dict[bytes, int], newer: str, remembered: int):
+    """Rows of the columns, then seq (a document's words, as places in the list of words), words (new ones' byte ids) and restart.
+
+    New words go before the first document that has them. When over ``remembered`` words are
+    listed, the list starts again.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((read_ranks(path), newer_letters()))
-    docs = docs.drop(column)
-    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.BinaryType())])
 
     def run(batches):
-        ranks, newer = shared.value
-        folder, split, memory = Folder(ranks), Splitter(pattern, newer), {}
+        split = Splitter(pattern, newer)
+        single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        place: dict[str, int] = {}
         for b in batches:
-            at = b.schema.get_field_index("text")
             for s in range(0, b.num_rows, 500):
                 part = b.slice(s, 500)
-                ids = pa.array(_blobs((t.as_py() for t in part.column(at)), folder, split, remembered, memory), pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], names=schema.names)
+                new: list[str] = []
+                restart, a, seqs = False, 0, []
+                for i, t in enumerate(part.column(at)):
+                    words = split.findall(t.as_py() or "")
+                    fresh = list(set(words).difference(place))
+                    if len(place) + len(fresh) > remembered and place:
+                        yield from flush(part, a, i, seqs, new, restart, single)
+                        place, new, seqs, a, restart = {}, [], [], i, True
+                        fresh = list(set(words))
+                    place.update(zip(fresh, range(len(place), len(place) + len(fresh))))
+                    new += fresh
+                    seqs.append(np.fromiter(map(place.__getitem__, words), "<u4", len(words)).tobytes())
+                    if len(new) >= _BLOCK:
+                        yield from flush(part, a, i + 1, seqs, new, restart, single)
+                        new, seqs, a, restart = [], [], i + 1, False
+                yield from flush(part, a, part.num_rows, seqs, new, restart, single)
+
+    def flush(part, a, z, seqs, new, restart, single):
+        columns = [c.slice(a, z - a) for c in part.columns]
+        names = [*part.schema.names, "seq", "words", "restart"]
+        kind = pa.list_(pa.list_(pa.int64()))
+        for k in range(0, len(new), _BLOCK):
+            some = [utf8(w) for w in new[k : k + _BLOCK]]
+            ids = [_start(w, ranks) for w in some]
+            flat = single[np.frombuffer(b"".join(w if i is None else b"" for w, i in zip(some, ids)), np.uint8)]
+            size = np.array([len(w) if i is None else len(i) for w, i in zip(some, ids)], np.int64)
+            ends = np.r_[0, np.cumsum(size)]
+            out = np.empty(ends[-1], np.int64)
+            known = np.repeat([i is not None for i in ids], size)
+            out[~known] = flat
+            out[known] = [x for i in ids if i is not None for x in i]
+            words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out))
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.nulls(1, c.type) for c in columns), pa.nulls(1, pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), words), pa.array([restart and not k])], names=names
+            )
+        if z > a:
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(seqs, pa.binary()), pa.nulls(z - a, kind), pa.nulls(z - a, pa.bool_())], names=names)
+
+    return run
+
+
+def _start(word: bytes, ranks: dict[bytes, int]) -> list[int] | None:
+    """A whole piece is one id, and a long word comes folded, which the fold then leaves as it is."""
+    whole = ranks.get(word)
+    return [whole] if whole is not None else _fold_long(word, ranks) if len(word) > _LONG else None
+
+
+class _Ids:
+    """Ids of the words listed so far, laid end to end."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self):
+        self.flat, self.ends, self.n, self.m = np.zeros(1 << 16, "<u4"), np.zeros(1 << 14, np.int64), 0, 0
+
+    def add(self, words: pa.ListArray):
+        size = np.diff(words.offsets.to_numpy())
+        ids = words.flatten().to_numpy()
+        while self.n + len(ids) > len(self.flat):
+            self.flat = np.r_[self.flat, np.zeros_like(self.flat)]
+        while self.m + len(size) + 1 > len(self.ends):
+            self.ends = np.r_[self.ends, np.zeros_like(self.ends)]
+        self.flat[self.n : self.n + len(ids)] = ids
+        self.ends[self.m + 1 : self.m + 1 + len(size)] = self.n + np.cumsum(size)
+        self.n, self.m = self.n + len(ids), self.m + len(size)
+
+    def of(self, seq: bytes) -> np.ndarray:
+        at = np.frombuffer(seq, "<u4")
+        start = self.ends[at]
+        size = self.ends[at + np.uint32(1)] - start
+        ends = np.cumsum(size)
+        return self.flat[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+def _encoded(docs: DataFrame, path: str, pattern: str, remembered: int, finish, schema: T.StructType) -> DataFrame:
+    """``finish(columns, ids of each document)`` of every document, ids coming from the higher-order fold over distinct words."""
+    ranks, spark = read_ranks(path), docs.sparkSession
+    shared = spark.sparkContext.broadcast((ranks, newer_letters()))
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # names that can't clash
+    arrow = T.StructType([*(T.StructField(f.name, f.dataType) for f in plain.schema.fields), *T.StructType.fromDDL("seq binary, words array<array<bigint>>, restart boolean")])
+    at = docs.columns.index("text")
+
+    def split(batches):
+        known, newer = shared.value
+        yield from _handed_on(at, pattern, known, newer, remembered)(batches)
+
+    def gather(batches):
+        ids = _Ids()
+        for b in batches:
+            *columns, seqs, words, restarts = b.columns
+            is_words = words.is_valid().to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero(np.r_[True, is_words[1:] != is_words[:-1], True]) if b.num_rows else []
+            for a, z in zip(edges[:-1], edges[1:]):
+                if not is_words[a]:
+                    yield finish([c.slice(a, z - a) for c in columns], [ids.of(x.as_py()) for x in seqs.slice(a, z - a)])
+                    continue
+                for i in range(a, z):
+                    if restarts[i].as_py():
+                        ids.clear()
+                    ids.add(words[i].values)
+
+    rows = plain.mapInArrow(split, arrow)
+    fold = with_ranks(f"transform(words, w -> {fold_sql('w')})", RankMap.of(ranks))
+    return rows.select(*plain.columns, "seq", fold.alias("words"), "restart").mapInArrow(gather, schema)
+
+
+def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 1_000_000, column: str = "tokens") -> DataFrame:
+    """Return ``docs`` with ``column``: the ids of each whole text, as little-endian unsigned 32-bit integers.
 
-    return docs.mapInArrow(run, schema)
+    Each match of ``pattern`` is encoded separately and no special tokens are made. Null and
+    empty texts have no ids. A task lists its distinct words, up to ``remembered`` of them before the list starts
+    again, and Spark's higher-order functions fold each listed word once; words of over 255 bytes, where
+    a fold over arrays is quadratic, are folded with a heap. Nothing is shuffled. The rank map is a literal, of the
+    vocabulary's size and not the data's. Repeated rows are encoded each; an empty table gives an empty one; extra
+    columns pass through, but one named ``column`` is replaced.
+    """
+    docs = docs.drop(column)
+    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.BinaryType())])
+    return _encoded(docs, path, pattern, remembered, lambda columns, ids: pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for x in ids], pa.binary())], names=schema.names), schema)
 
 
 def decode(tokens: DataFrame, path: str, column: str = "tokens", decoded: str = "decoded") -> DataFrame:
@@ -284,64 +349,42 @@ def decode(tokens: DataFrame, path: str, column: str = "tokens", decoded: str =
     return tokens.mapInArrow(run, schema)
 
 
-def fold_words(words: DataFrame, path: str, column: str = "word", buckets: int = 1 << 16) -> DataFrame:
-    """Return ``words`` with ``ids``: the fold of each word (a binary column) in Spark's higher-order functions.
+def fold_words(words: DataFrame, path: str, column: str = "word", ids: str = "ids") -> DataFrame:
+    """Return ``words`` with ``ids``: the fold of each word (a binary column), as ``encode`` folds them.
 
-    The rank map is one literal: an array of small maps, so that a look-up reads one short
-    bucket and not all ranks. Each step of the fold finds the adjacent pair of lowest rank
-    and joins it. Null words have null ids, empty ones no ids.
+    Null words have null ids, empty ones no ids; words of over 255 bytes are refused with an
+    error. Extra columns pass through, but one named ``ids`` is replaced.
     """
     ranks = read_ranks(path)
-    crc = zlib.crc32
-    literal: list[dict[str, int]] = [{} for _ in range(buckets)]
-    for piece, rank in ranks.items():
-        literal[crc(piece) % buckets][piece.hex().upper()] = rank
-    ranked = F.from_json(F.lit(json.dumps(literal)), "array<map<string,int>>")
-
-    def rank(piece: Column) -> Column:
-        return F.try_element_at(F.get(ranked, F.pmod(F.crc32(piece), F.lit(buckets)).cast("int")), F.hex(piece))
-
-    def step(parts: Column, _: Column) -> Column:
-        pairs = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.struct(F.coalesce(rank(F.concat(F.get(parts, i - 1), F.get(parts, i))), F.lit(_NONE)).alias("r"), i.alias("i")))
-        best = F.when(F.size(parts) > 1, F.array_min(pairs))
-        # a one-element array binds the minimum, so that it is worked out once
-        return F.get(
-            F.transform(F.array(best), lambda b: F.when(b.isNull() | (b["r"] == _NONE), parts).otherwise(
-                F.concat(F.slice(parts, F.lit(1), b["i"] - 1), F.array(F.concat(F.get(parts, b["i"] - 1), F.get(parts, b["i"]))), F.slice(parts, b["i"] + 2, F.size(parts))))),
-            F.lit(0),
-        )
-
-    word = F.col(column)
-    letters = F.when(F.octet_length(word) > 0, F.transform(F.sequence(F.lit(1), F.octet_length(word)), lambda i: F.substring(word, i, F.lit(1)))).otherwise(F.when(word.isNotNull(), F.array().cast("array<binary>")))
-    folded = F.aggregate(F.when(F.octet_length(word) > 1, F.sequence(F.lit(2), F.octet_length(word))).otherwise(F.array().cast("array<int>")), letters, step)
-    return words.withColumn("ids", F.when(word.isNull(), None).otherwise(F.transform(F.when(rank(word).isNotNull(), F.array(word)).otherwise(folded), rank)))
-
-
-def digest(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 500_000) -> DataFrame:
+    known = RankMap.of(ranks)
+    name = f"`{column.replace('`', '``')}`"
+    single = f"array({','.join(f'{i}L' for i in known.single)})"
+    pieces = f"""transform(array({single}), one -> transform(sequence(1, octet_length({name})), i -> one[cast(conv(hex(substring({name}, i, 1)), 16, 10) as int)]))[0]"""
+    letters = f"case when {name} is null then null when octet_length({name}) = 0 then cast(array() as array<bigint>) when octet_length({name}) > {_LONG} then raise_error('a word of over {_LONG} bytes') else {pieces} end"
+    return words.drop(ids).withColumn(ids, with_ranks(f"transform(array({letters}), w -> {fold_sql('w')})[0]", known).cast("array<int>"))
+
+
+def digest(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 1_000_000) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text, encoded and decoded.
 
-    The same fold and the same pieces as ``encode`` and ``decode``, in one pass, so that ids needn't leave the task.
+    The same fold and the same pieces as ``encode`` and ``decode``, in one pass, so that ids needn't leave the task. Null and
+    empty texts have no ids and decode to no bytes; repeated rows and rows without a doc_id have a digest each; an empty table gives an empty
+    one; extra columns are left out.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((read_ranks(path), newer_letters()))
+    pieces = docs.sparkSession.sparkContext.broadcast({i: b for b, i in read_ranks(path).items()})
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("n_tokens long, ids_sha256 string, decoded_sha256 string")])
 
-    def run(batches):
-        ranks, newer = shared.value
-        piece = {i: b for b, i in ranks.items()}.__getitem__
-        folder, split, memory = Folder(ranks), Splitter(pattern, newer), {}
-        for b in batches:
-            for s in range(0, b.num_rows, 500):
-                part = b.slice(s, 500)
-                rows = []
-                for ids in _blobs((t.as_py() for t in part.column(1)), folder, split, remembered, memory):
-                    text = b"".join(map(piece, np.frombuffer(ids, "<u4").tolist()))
-                    rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text).hexdigest()))
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c) for c in zip(*rows))], names=schema.names)
+    def finish(columns, ids):
+        piece = pieces.value.__getitem__
+        text = (b"".join(map(piece, x.tolist())) for x in ids)
+        made = [pa.array([len(x) for x in ids], pa.int64()), pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]), pa.array([hashlib.sha256(x).hexdigest() for x in text])]
+        return pa.RecordBatch.from_arrays([columns[0], *made], names=schema.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return _encoded(docs.select("doc_id", "text"), path, pattern, remembered, finish, schema)
 
 
 def stage(docs: DataFrame) -> DataFrame:
+    """The pipeline's last stage: the token digest of every document, as ``digest`` gives it."""
     return digest(docs, public_tokenizers.path(RANK_FILE))
 
 

@@ -56,7 +56,7 @@ def test_letters_newer_than_the_librarys_tables(library):
 
 
 def test_higher_order_functions_fold_alike(spark):
-    words = [b"", b"a", b" thntblere", b" the", "niño".encode(), b"'s", bytes([255, 254, 0]), b"aaaaaaaaa", b" unhappiness"]
+    words = [b"", b"a", b" thntblere", b" the", "niño".encode(), b"'s", bytes([255, 254, 0]), b"aaaaaaaaa", b" unhappiness", b"ab" * 127, bytes(range(255))]
     ranks = byte_bpe.read_ranks(PATH)
     df = byte_bpe.fold_words(spark.createDataFrame([(w,) for w in [*words, None]], "word binary"), PATH)
     for r in df.collect():

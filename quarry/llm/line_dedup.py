@@ -7,6 +7,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.tables import named, table, unused
+
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -27,46 +29,47 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
 
     Keys are compared by two 64-bit hashes. Counting is a partial aggregate, so a line that
     a third of all documents share shrinks before it is shuffled; the join that finds its
-    places is salted ``salts`` ways. Only places to drop are gathered, within one document.
+    places is salted ``salts`` ways, and where a salt's share is still large, adaptive execution splits it.
+    Only places to drop are gathered, within one document.
 
     Null text is one empty line and comes back as an empty string. Each row is a document: repeated
     rows count each, and lose or keep the same lines. A null ``doc_id`` is smaller than any
-    other. An empty table gives an empty one. Extra columns pass through; one that has the
+    other. An empty table gives an empty one. Extra columns pass through, whatever their names; one that has the
     name of ``report`` is replaced.
     """
+    columns = [c for c in docs.columns if c != report]
+    # the caller's columns travel in one struct, so that no name of theirs meets a name used here
+    base = docs.select(F.struct(*[named(c) for c in columns if c != "text"]).alias("row"), named("doc_id").alias("id"), named("text").alias("text"))
     keys = F.transform(split_lines(F.col("text")), line_key)
-    row = [F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__row")]
-    hashes = [F.xxhash64("__key").alias("__h1"), F.xxhash64(F.lit("line"), F.col("__key")).alias("__h2")]
-
-    once = docs.select("doc_id", F.explode(F.array_distinct(F.filter(keys, lambda k: F.length(k) >= min_chars))).alias("__key"))
-    shared = once.select("doc_id", *hashes).groupBy("__h1", "__h2").agg(F.count("*").alias("__n"), F.max("doc_id").alias("__keep")).where(F.col("__n") >= min_docs)
-    shared = shared.select("__h1", "__h2", "__keep", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
-
-    places = docs.select(*row, F.posexplode(keys).alias("__pos", "__key")).where(F.length("__key") >= min_chars)
-    places = places.select("__id", "__row", "__pos", *hashes).withColumn("__salt", F.pmod(F.xxhash64("__id", "__row"), F.lit(salts)).cast("int"))
-    dropped = (
-        places.join(shared, ["__h1", "__h2", "__salt"])
-        .where(~F.col("__id").eqNullSafe(F.col("__keep")))
-        .groupBy("__id", "__row")
-        .agg(F.collect_set("__pos").alias("__drop"))
-    )
+    hashes = [F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), F.col("key")).alias("h2")]
+
+    once = base.select("id", F.explode(F.array_distinct(F.filter(keys, lambda k: F.length(k) >= min_chars))).alias("key"))
+    shared = once.select("id", *hashes).groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("id").alias("keep")).where(F.col("n") >= min_docs)
+    shared = shared.select("h1", "h2", "keep", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+
+    places = base.select(F.col("id").alias("its"), F.xxhash64("text").alias("hash"), F.posexplode(keys).alias("pos", "key")).where(F.length("key") >= min_chars)
+    places = places.select("its", "hash", "pos", *hashes).withColumn("salt", F.pmod(F.xxhash64("its", "hash"), F.lit(salts)).cast("int"))
+    dropped = places.join(shared, ["h1", "h2", "salt"]).where(~F.col("its").eqNullSafe(F.col("keep"))).groupBy("its", "hash").agg(F.collect_set("pos").alias("gone"))
 
     lines = split_lines(F.col("text"))
-    joined = docs.withColumn("__text", F.xxhash64("text")).join(dropped, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__row")), "left")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__drop")), lambda i: F.get(lines, i))
-    out = joined.withColumn(report, F.struct(F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("n_dropped")))
-    out = out.withColumn("text", F.when(F.col("__drop").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n")))
-    return out.select(*[c for c in docs.columns if c != report], report)
+    joined = base.join(dropped, F.col("id").eqNullSafe(F.col("its")) & (F.xxhash64("text") == F.col("hash")), "left")
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone")), lambda i: F.get(lines, i))
+    text = F.when(F.col("gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(kept, "\n"))
+    counts = F.struct(F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
+    return joined.select(*[text.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in columns], counts.alias(report))
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """The pipeline's stage: the same columns, fewer lines."""
-    return drop_repeated_lines(docs, report="__line_report").select(*docs.columns)
+    """The pipeline's stage: the same rows and columns, fewer lines.
 
+    Null texts come back empty; repeated rows keep the same lines each; an empty table stays empty; a tie of the largest
+    doc_id keeps the line in all rows that have it; extra columns pass through, whatever their names.
+    """
+    report = unused(docs.columns, "line_report")
+    return drop_repeated_lines(docs, report=report).select(*map(named, docs.columns))
 
-def query(spark, sf_dir):
-    from quarry.llm.tables import table
 
+def query(spark, sf_dir):
     out = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "line_report.n_lines", "line_report.n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from quarry.llm.tables import table, utf8
+from quarry.llm.tables import named, table, utf8
 from quarry.operators.components import connected_components
 from quarry.operators.state import cut
 
@@ -179,15 +179,18 @@ def stage(docs: DataFrame) -> DataFrame:
 
     A document is a doc_id and a text, known by two 64-bit hashes of both: repeated rows are one,
     and texts that share a doc_id are judged each. Of documents with the smallest doc_id in a
-    group, or of a group whose doc_ids are all null, the one with the smallest hashes stays.
+    group, or of a group whose doc_ids are all null, the one with the smallest hashes stays. Null and wordless texts are
+    one group; an empty table stays empty; extra columns pass through, whatever their names.
     """
-    keyed = docs.withColumns({"__k1": F.xxhash64("doc_id", "text"), "__k2": F.xxhash64(F.lit("document"), F.col("text"), F.col("doc_id"))})
-    rows, names, named = _grouped(keyed, 3, 3, ("__k1", "__k2"))
-    grouped = rows.join(names.join(named, "root").select("fp", "root", "component_id"), "fp")
-    first = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(F.struct("__k1", "__k2")).alias("k"))
-    first = first.select(F.col("k.__k1").alias("__f1"), F.col("k.__k2").alias("__f2"))
-    kept = keyed.join(first, (F.col("__k1") == F.col("__f1")) & (F.col("__k2") == F.col("__f2")), "left_semi")
-    return kept.dropDuplicates(["__k1", "__k2", "doc_id", "text"]).select(*docs.columns)
+    # the caller's columns travel in one struct, so that no name of theirs meets a name used here
+    key = [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit("document"), F.col("text"), F.col("doc_id")).alias("k2")]
+    keyed = docs.select(F.struct(*[named(c) for c in docs.columns if c != "text"]).alias("row"), named("doc_id").alias("doc_id"), named("text").alias("text"), *key)
+    rows, names, groups = _grouped(keyed.drop("row"), 3, 3, ("k1", "k2"))
+    grouped = rows.join(names.join(groups, "root").select("fp", "root", "component_id"), "fp")
+    first = grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(F.struct("k1", "k2")).alias("k"))
+    first = first.select(F.col("k.k1").alias("f1"), F.col("k.k2").alias("f2"))
+    kept = keyed.join(first, (F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2")), "left_semi")
+    return kept.dropDuplicates(["k1", "k2", "doc_id", "text"]).select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir):

@@ -3,26 +3,27 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch]):
-    """A function for ``mapInArrow`` that treats every batch alone and skips empty ones."""
+def named(column: str) -> Column:
+    """The column of just that name, whatever signs the name has."""
+    return F.col(f"`{column.replace('`', '``')}`")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
 
-    return run
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with as many ``_`` as make it no column's name."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def latin_pattern(pattern: str, space: str) -> re.Pattern:

@@ -44,6 +44,19 @@ def odd(spark):
     return spark.createDataFrame([(None, "Some text here.\nSome text here.", "x", 1, 2), (7, None, None, None, None)], "doc_id long, text string, fp string, key long, n long")
 
 
+#: Names that operators used, or might use, for themselves.
+CLASHES = ("row", "id", "its", "hash", "gone", "salt", "h1", "h2", "k1", "k2", "f1", "fp", "root", "component_id", "pos", "keep", "seq", "words", "restart", "c0", "batch", "__id", "__text", "__row", "__drop", "__key", "a b", "x`y", "u.v")
+
+
+@pytest.fixture(scope="session")
+def clashing(spark):
+    """Three rows that share a long line, the first two equal, with every clashing name as a further column."""
+    line = "This line of many letters is in each of them."
+    texts = [f"{line}\nalpha beta gamma delta epsilon", f"{line}\nalpha beta gamma delta epsilon", f"{line}\nquite other words stand in this third row here"]
+    kind = ", ".join(f"`{c.replace('`', '``')}` string" for c in CLASHES)
+    return spark.createDataFrame([(i, t, *(f"{c}{i}" for c in CLASHES)) for i, t in enumerate(texts)], f"doc_id long, text string, {kind}")
+
+
 @pytest.fixture(scope="session")
 def none(spark):
     return spark.createDataFrame([], DOCUMENTS)

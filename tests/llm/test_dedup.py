@@ -204,3 +204,15 @@ def test_empty_tables(none):
 def test_words_part_at_ascii_blanks_only():
     text = "a\x0bb\x1cc\x85d e f"
     assert text.encode().split() == [x.encode() for x in re.findall(r"[^\x20\x09-\x0D]+", text)]
+
+
+def test_stages_leave_columns_of_any_name_alone(clashing):
+    def others(rows):
+        return {tuple(v for c, v in r.asDict().items() if c != "text") for r in rows}
+
+    before = clashing.collect()
+    lines = line_dedup.stage(clashing)
+    assert lines.columns == clashing.columns and others(lines.collect()) == others(before)
+    assert sorted(len(r.text.split("\n")) for r in lines.collect()) == [1, 1, 2]
+    near = simhash.stage(clashing)
+    assert near.columns == clashing.columns and others(near.collect()) == others([before[0], before[2]])

@@ -6,11 +6,13 @@ import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.tables import table, utf8
+from quarry.llm.tables import named, table, unused, utf8
 from quarry.operators.state import cut
 
 #: Bytes of a word stay, A-Z are lower-cased, every other ASCII byte parts words.
@@ -21,100 +23,167 @@ def words(text: str | None) -> list[bytes]:
     return utf8(text).translate(_FOLD).split()
 
 
+class Patterns:
+    """The items of one block as word numbers, end to end: what a search engine is built from.
+
+    ``number`` numbers the block's distinct words from 1; ``ids`` are the items' words, ``item`` says whose each word is,
+    and ``first`` holds for each pattern length the places where a window starts.
+    """
+
+    def __init__(self, items: list[tuple[int | None, str | None]], width: int):
+        self.names = [name for name, _ in items]
+        self.number: dict[bytes, int] = {}
+        parts, at, first = [], 0, defaultdict(list)
+        for _, text in items:
+            seq = words(text)
+            number = self.number
+            parts.append(np.fromiter((number.setdefault(w, len(number) + 1) for w in seq), np.int32, len(seq)))
+            if seq:
+                m = min(width, len(seq))
+                first[m].append(np.arange(at, at + len(seq) - m + 1, dtype=np.int32))
+            at += len(seq)
+        self.ids = np.concatenate([np.zeros(0, np.int32), *parts])
+        self.item = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) for p in parts])
+        self.engines = [WuManber(self.ids, self.item, np.concatenate(x), m) for m, x in sorted(first.items())]
+
+
 class WuManber:
-    """Many patterns of one length over a sequence of words.
+    """Many patterns of one length over sequences of word numbers.
 
-    A block is the last two words of a window. ``shift`` tells how far the window may move
-    when a block stands at its end: as far as the block's nearest place before a pattern's
-    end, and past the block altogether if no pattern has it. Where the shift is 0, the
-    bucket of that suffix block has the patterns that end so; they are compared word by word.
+    A block is the last two words of a window, known by a hash. ``shift`` tells for each hash how far the window may move
+    when a block stands at its end: as far as the block's nearest place before a pattern's end, and past the
+    block altogether if no pattern has it. Blocks that share a hash share the lesser shift, which is never too far.
+    Where the shift is 0, the bucket of that suffix hash has the patterns that end so; they are compared word by word.
+    Equal patterns are one, with the items that have it. All tables are arrays of fixed width.
     """
 
-    def __init__(self, patterns: dict[tuple[bytes, ...], frozenset[int]], length: int):
-        self.length, self.block = length, min(2, length)
-        self.shift: dict[tuple[bytes, ...], int] = {}
-        self.bucket: dict[tuple[bytes, ...], list[tuple[tuple[bytes, ...], frozenset[int]]]] = defaultdict(list)
-        for p, items in patterns.items():
-            for end in range(self.block, length + 1):
-                b = p[end - self.block : end]
-                self.shift[b] = min(self.shift.get(b, length), length - end)
-            self.bucket[p[-self.block :]].append((p, items))
-
-    def find(self, seq: list[bytes]) -> Iterator[tuple[int, frozenset[int]]]:
-        """Every (start, items) where a pattern occurs, overlaps included."""
-        m, b, n, get = self.length, self.block, len(seq), self.shift.get
-        past, end = m - b + 1, m
-        while end <= n:
-            block = (seq[end - 2], seq[end - 1]) if b == 2 else (seq[end - 1],)
-            move = get(block, past)
-            if move:
-                end += move
-                continue
-            start = end - m
-            window = tuple(seq[start:end])
-            for p, items in self.bucket[block]:
-                if p == window:
-                    yield start, items
-            end += 1
-
-
-def windows(items: list[tuple[int, str | None]], width: int) -> dict[int, dict[tuple[bytes, ...], frozenset[int]]]:
-    """Patterns by their length in words: ``width``, or all of an item that has fewer."""
-    found: dict[int, dict[tuple[bytes, ...], set[int]]] = defaultdict(lambda: defaultdict(set))
-    for item, text in items:
-        w = words(text)
-        m = min(width, len(w))
-        for i in range(len(w) - m + 1) if m else ():
-            found[m][tuple(w[i : i + m])].add(item)
-    return {m: {p: frozenset(s) for p, s in by.items()} for m, by in found.items()}
-
-
-def scan(text: str | None, engines: list[WuManber]) -> tuple[int, list[tuple[int, int]], set[int]]:
-    """The document's words, the spans (from, to) of words hit, merged, and the items found."""
-    seq = words(text)
-    spans, items = [], set()
-    for e in engines:
-        for start, found in e.find(seq):
-            spans.append((start, start + e.length))
-            items |= found
-    merged: list[tuple[int, int]] = []
-    for a, b in sorted(spans):
-        if merged and a <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
-        else:
-            merged.append((a, b))
-    return len(seq), merged, items
+    def __init__(self, ids: np.ndarray, item: np.ndarray, first: np.ndarray, length: int):
+        self.length, self.block, self.ids = length, min(2, length), ids
+        self.bits = max(8, min(24, (4 * len(first)).bit_length()))
+        self.shift = np.full(1 << self.bits, length - self.block + 1, np.uint8 if length < 256 else np.int64)
+        for end in range(self.block, length + 1):
+            np.minimum.at(self.shift, self._hash(ids, first + end), length - end)
+        code = self._hash(ids, first + length)
+        full = np.zeros(len(first), np.uint64)
+        for t in range(length):
+            full = (full ^ ids[first + t].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            full ^= full >> np.uint64(32)
+        order = np.lexsort((item[first], full, code))
+        first, code, full = first[order], code[order], full[order]
+        same = np.r_[False, (full[1:] == full[:-1]) & (code[1:] == code[:-1])]
+        at = np.flatnonzero(same)
+        for t in range(length):  # equal hashes may be of different words
+            same[at] &= ids[first[at] + t] == ids[first[at - 1] + t]
+        group = np.cumsum(~same) - 1
+        pairs = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (item[first[1:]] != item[first[:-1]])])
+        self.first = first[~same]  # one place of each pattern, in the order of their buckets
+        self.items = item[first[pairs]]
+        self.items_of = np.searchsorted(group[pairs], np.arange(len(self.first) + 1)).astype(np.int32)
+        self.bucket = np.searchsorted(code[~same], np.arange((1 << self.bits) + 1)).astype(np.int32)
+
+    def _hash(self, seq: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of the blocks that end before the places ``end``."""
+        x = seq[end - 1].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        if self.block == 2:
+            x = (x ^ x >> np.uint64(31)) + seq[end - 2].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        return ((x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, seq: np.ndarray, stretch: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """(start in ``seq``, number of the pattern) of every occurrence, overlaps included.
+
+        Window ends are walked from many places at once, a stretch of ``stretch`` ends each, so that one step moves many windows.
+        """
+        m, n = self.length, len(seq)
+        end = np.arange(m, n + 1, stretch)
+        last = np.minimum(end + stretch, n + 1)
+        starts, patterns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        while len(end):
+            code = self._hash(seq, end)
+            move = self.shift[code].astype(np.int64)
+            hit = np.flatnonzero(move == 0)
+            if len(hit):
+                which, pattern = _spread(self.bucket, code[hit])
+                start = end[hit][which] - m
+                for t in range(m - 1, -1, -1):  # word by word, as long as all agree
+                    same = seq[start + t] == self.ids[self.first[pattern] + t]
+                    start, pattern = start[same], pattern[same]
+                starts.append(start)
+                patterns.append(pattern)
+            end = end + np.maximum(move, 1)
+            live = end < last
+            end, last = end[live], last[live]
+        return np.concatenate(starts), np.concatenate(patterns)
+
+
+def _spread(ends: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of ``groups``, member) for every member of each of ``groups``; group g has the numbers ends[g] to ends[g + 1]."""
+    low = ends[groups].astype(np.int64)
+    size = ends[groups + 1] - low
+    return np.repeat(np.arange(len(groups)), size), np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def scan(texts: list[str | None], patterns: Patterns) -> list[tuple[int, list[tuple[int, int]], set[int]]]:
+    """For each document its number of words, the spans (from, to) of words hit, merged, and the items found.
+
+    Documents are laid end to end with a number between that no word has, so that no occurrence crosses them.
+    """
+    get = patterns.number.get
+    seqs = [words(t) for t in texts]
+    size = np.array([len(x) for x in seqs], np.int64)
+    base = np.cumsum(size + 1) - size - 1
+    seq = np.zeros(int(size.sum()) + len(seqs), np.int32)
+    for x, at in zip(seqs, base.tolist()):
+        seq[at : at + len(x)] = np.fromiter((get(w, 0) for w in x), np.int32, len(x))
+    found: list[tuple[int, list[tuple[int, int]], set[int]]] = [(n, [], set()) for n in size.tolist()]
+    step = np.zeros(len(seq) + 1, np.int64)
+    for e in patterns.engines:
+        start, pattern = e.find(seq)
+        np.add.at(step, start, 1)
+        np.add.at(step, start + e.length, -1)
+        doc = np.searchsorted(base, start, side="right") - 1
+        if len(doc):
+            once = np.unique(doc << 32 | pattern)
+            which, member = _spread(e.items_of, once & 0xFFFFFFFF)
+            for d, i in zip((once >> 32)[which].tolist(), e.items[member].tolist()):
+                found[d][2].add(patterns.names[i])
+    edge = np.flatnonzero(np.diff(np.r_[False, np.cumsum(step) > 0, False])).reshape(-1, 2)
+    doc = np.searchsorted(base, edge[:, 0], side="right") - 1
+    for d, a, z in zip(doc.tolist(), (edge[:, 0] - base[doc]).tolist(), (edge[:, 1] - base[doc]).tolist()):
+        found[d][1].append((a, z))
+    return found
 
 
 REPORT = "n_words long, spans array<struct<start:long,end:long>>, items array<long>, n_items long"
 _ARROW = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("items", pa.list_(pa.int64())), ("n_items", pa.int64())])
 
 
-def item_blocks(benchmark: DataFrame, max_bytes: int) -> list[list[tuple[int | None, str | None]]]:
+def item_blocks(benchmark: DataFrame, max_bytes: int) -> Iterator[list[tuple[int | None, str | None]]]:
     """The stated query set, in blocks of at most ``max_bytes`` of text (an item above that is a block of its own).
 
-    Items with a null item_id are searched like any other.
+    Items with a null item_id are searched like any other. Rows come to the driver a partition
+    at a time, and no more than one block is held there.
     """
-    blocks: list[list[tuple[int | None, str | None]]] = [[]]
+    block: list[tuple[int | None, str | None]] = []
     size = 0
     for r in benchmark.select("item_id", "text").toLocalIterator():
         n = len(utf8(r["text"]))
-        if blocks[-1] and size + n > max_bytes:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r["item_id"], r["text"]))
+        if block and size + n > max_bytes:
+            yield block
+            block, size = [], 0
+        block.append((r["item_id"], r["text"]))
         size += n
-    return blocks
+    yield block
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 32_000_000, report: str = "contamination") -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, block_bytes: int = 16_000_000, report: str = "contamination") -> DataFrame:
     """Return ``docs`` and a struct ``report`` (n_words, spans of words hit, items found, sorted, n_items).
 
     Words are runs of bytes that are ASCII digits, ASCII letters (A-Z lower-cased) or not
     ASCII. A pattern is ``width`` consecutive words of an item, or all words of an item that
     has fewer but some. Whole documents are searched, in one narrow pass without a shuffle for
     each block of at most ``block_bytes`` of benchmark text; blocks after the first are searched
-    one after another, with a checkpoint between.
+    one after another, with a checkpoint between. A block's tables are built once, on the driver, and a
+    Python worker loads them once for all its tasks.
 
     Items with a null item_id hit like others and are together one of ``n_items``, but none of ``items``.
     Null and wordless texts have no words and no hits; equal items are each reported;
@@ -126,23 +195,24 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, b
     out_schema = T.StructType([*docs.schema.fields, T.StructField(report, T.StructType.fromDDL(REPORT))])
     found = docs
     for k, block in enumerate(item_blocks(benchmark, block_bytes)):
-        patterns = spark.sparkContext.broadcast(windows(block, width))
+        shared = spark.sparkContext.broadcast(Patterns(block, width))
         if k:  # one block at a time in a worker's memory
             found = cut(found)
 
-        def search(batches, patterns=patterns, first=k == 0):
-            engines = [WuManber(p, m) for m, p in sorted(patterns.value.items())]
-            for batch in batches:
-                old = [None] * batch.num_rows if first else batch.column(batch.schema.get_field_index(report)).to_pylist()
-                rows = []
-                for text, was in zip(batch.column(batch.schema.get_field_index("text")), old):
-                    n, spans, items = scan(text.as_py(), engines)
-                    if was:
-                        spans = _union(spans, [(s["start"], s["end"]) for s in was["spans"]])
-                        items |= {*was["items"], *([None] if was["n_items"] > len(was["items"]) else [])}
-                    rows.append({"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(x for x in items if x is not None), "n_items": len(items)})
-                kept = [f for f in batch.schema.names if f != report]
-                yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(f)) for f in kept], pa.array(rows, _ARROW)], names=[*kept, report])
+        def search(batches, shared=shared, first=k == 0):
+            patterns = shared.value
+            for whole in batches:
+                for s in range(0, whole.num_rows, 200):
+                    batch = whole.slice(s, 200)
+                    old = [None] * batch.num_rows if first else batch.column(batch.schema.get_field_index(report)).to_pylist()
+                    rows = []
+                    for (n, spans, items), was in zip(scan(batch.column(batch.schema.get_field_index("text")).to_pylist(), patterns), old):
+                        if was:
+                            spans = _union(spans, [(s["start"], s["end"]) for s in was["spans"]])
+                            items |= {*was["items"], *([None] if was["n_items"] > len(was["items"]) else [])}
+                        rows.append({"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(x for x in items if x is not None), "n_items": len(items)})
+                    kept = [f for f in batch.schema.names if f != report]
+                    yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(f)) for f in kept], pa.array(rows, _ARROW)], names=[*kept, report])
 
         found = found.mapInArrow(search, out_schema)
     return found
@@ -159,9 +229,14 @@ def _union(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int
 
 
 def stage(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The pipeline's stage: documents that hold no passage of an item."""
-    found = find_contamination(docs, benchmark, report="__contamination")
-    return found.where("size(__contamination.spans) = 0").select(*docs.columns)
+    """The pipeline's stage: documents that hold no passage of an item.
+
+    Null and wordless texts stay; repeated rows share their fate; an empty benchmark drops nothing, and an empty table stays
+    empty; extra columns pass through, whatever their names.
+    """
+    report = unused(docs.columns, "contamination")
+    found = find_contamination(docs, benchmark, report=report)
+    return found.where(F.size(named(report)["spans"]) == 0).select(*map(named, docs.columns))
 
 
 def query(spark, sf_dir):
@@ -179,7 +254,8 @@ def query(spark, sf_dir):
                 "contaminated": pa.array([bool(x["spans"]) for x in r], pa.bool_()),
             })
 
-    return found.select("doc_id", "contamination").mapInArrow(digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    kind = T.StructType([found.schema["doc_id"], *T.StructType.fromDDL("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")])
+    return found.select("doc_id", "contamination").mapInArrow(digest, kind)
 
 
 SQL = r"""

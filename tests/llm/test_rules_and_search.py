@@ -144,32 +144,64 @@ def brute_quality(text):
     return n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), r, n < 20 or 100 * r > 30 * n
 
 
+def brute_hosts(docs: list[tuple[str | None, str | None]]) -> dict:
+    """The rules that each host fails, from (host, text), in plain Python."""
+    hits = defaultdict(lambda: defaultdict(int))
+    n = Counter(h for h, _ in docs)
+    for host, text in docs:
+        words, chars, symbols, dup, repeats, _ = brute_quality(text)
+        lines = len([x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)])
+        for rule, hit in (("short", words < 20), ("repeats", 100 * repeats > 30 * words), ("symbols", 10 * symbols > words), ("dup_lines", 100 * dup > 30 * lines), ("word_length", chars < 3 * words)):
+            hits[rule][host] += hit
+    failed = {h: [] for h in n}
+    for rule, by in hits.items():
+        raw = [by[h] / n[h] for h in n]
+        mean, noise = sum(raw) / len(raw), sum(1 / x for x in n.values()) / len(n)
+        own = sum((x - mean) ** 2 for x in raw) / len(raw) - mean * (1 - mean) * noise
+        strength = min(max(mean * (1 - mean) / (own / (1 - noise)) - 1, 1), 1e6) if own > 0 and noise < 1 else 1e6
+        for h in n:
+            a, z = by[h] + mean * strength, n[h] - by[h] + (1 - mean) * strength
+            rate = a / (a + z)
+            if rate - 3 * (a * z / (a + z) ** 2 / (a + z + 1)) ** 0.5 > min(0.5, max(0.1, 3 * mean)):
+                failed[h].append(rule)
+    return failed
+
+
 def test_quality(spark, docs, texts, tables):
     rows = quality.query(spark, tables(documents=docs)).collect()
-    hosts = defaultdict(list)
+    hosts = brute_hosts([(r.host, texts[r.doc_id]) for r in rows])
+    assert len(rows) == len(texts) + 2
     for r in rows:
         assert tuple(r)[1:7] == brute_quality(texts[r.doc_id])
-        hosts[r.host].append(r.base_failed)
-    rates = [sum(v) / len(v) for v in hosts.values()]
-    m, v = np.mean(rates), np.var(rates)
-    s = min(max(m * (1 - m) / v - 1, 1), 1e6)
-    for r in rows:
-        rate = (sum(hosts[r.host]) + m * s) / (len(hosts[r.host]) + s)
-        assert abs(r.host_rate - rate) < 1e-9
-        assert r.kept == (not r.base_failed and rate <= 0.5)
+        assert r.host_failed == ",".join(hosts[r.host])
+        assert r.kept == (not r.base_failed and not hosts[r.host])
 
 
 def test_a_bad_host_takes_its_documents_along(spark):
-    good, bad = " ".join(f"w{i}" for i in range(30)), "short"
-    rows = [(i, bad if i % 10 else good, "bad") for i in range(100)] + [(100 + i, good, "good") for i in range(100)] + [(200 + i, good, None) for i in range(5)] + [(300, bad, "single")]
-    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
-    assert not got[0].base_failed and not got[0].kept
-    assert got[100].kept and got[200].kept and got[200].host is None
+    prose = lambda k: " ".join(f"word{k}x{i}" for i in range(30))
+    bad = {"short": "few words", "symbols": prose(1) + " ####", "lines": "\n".join(["the very same line of text"] * 9 + [prose(2)]), "repeats": " ".join(["one two three four five six seven eight"] * 4), "letters": " ".join("abcdefghijklmnopqrstuvwxyz")}
+    rows = [(h, prose(i)) for h in ("a", "b", "c", "d", "e", "f", None) for i in range(100)]
+    rows += [(h, t if i % 3 else prose(i)) for h, t in bad.items() for i in range(60)] + [("single", "short")]
+    got = quality.judge(spark.createDataFrame([(i, t, h) for i, (h, t) in enumerate(rows)], "doc_id long, text string, source string")).collect()
+    hosts = brute_hosts(rows)
+    assert [hosts[h] for h in bad] == [["short"], ["symbols"], ["repeats", "dup_lines"], ["repeats"], ["word_length"]] and not hosts["a"] and not hosts[None] and not hosts["single"]
+    for r in got:
+        assert r.host_failed == hosts[r.host] and r.kept == (not r.base_failed and not hosts[r.host])
+    assert any(not r.base_failed and not r.kept for r in got)
+
+
+def test_rates_that_differ_by_noise_only_fail_no_host(spark):
+    assert quality.prior(0.1, 0.1 * 0.9 / 20, 1 / 20)[1] == 1e6
+    assert abs(quality.prior(0.2, 0.02, 0.0)[1] - 7) < 1e-9
+    assert quality.prior(0.0, 0.0, 1.0) == (0.0, 1e6)
 
 
 def test_repeated_words_when_codes_collide(monkeypatch):
     words = [b"a", b"b", b"c", b"d", b"e", b"f", b"g", b"h"] * 3 + [b"x"]
-    assert quality.repeated_words(words) == 24
+    other = [bytes([i]) for i in range(65, 91)]
+    assert quality.repeated_words(words) == 24 and quality.repeated_words(other) == 0
+    monkeypatch.setattr(quality, "_codes", lambda ids, width: np.zeros(len(ids) - width + 1, np.uint64))
+    assert quality.repeated_words(words) == 24 and quality.repeated_words(other) == 0
     assert quality.repeated_words(words[:8]) == quality.repeated_words([]) == 0
 
 

@@ -62,20 +62,36 @@ def brute_license(text, templates, least):
     lines = (text or "").split("\n")
     found = [(i, *best(x)) for i, x in enumerate(lines)]
     found = [x for x in found if x[2]]
-    d, name = min([(d, n) for _, d, n in found] + ([best(text)] if len(lines) > 1 and best(text)[1] else []), default=(0.0, None))
-    return [(i, n, -d) for i, d, n in found], name, -d + 0.0
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    windows = []
+    for name, x in templates:
+        n, x, top = len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", x.lower())), grams(x), (0.0, None)
+        for i in range(len(words) - n + 1):
+            g = set(zip(words[i : i + n], words[i + 1 : i + n]))
+            if len(g & x) and (dice := 2 * len(g & x) / (len(g) + len(x))) >= least and dice > top[0]:
+                top = (dice, i)
+        if top[0]:
+            windows.append((top[1], name, top[0]))
+    every = [(d, n) for _, d, n in found] + [(-d, n) for _, n, d in windows]
+    d, name = min(every + ([best(text)] if len(lines) > 1 and best(text)[1] else []), default=(0.0, None))
+    return [(i, n, -d) for i, d, n in found], windows, name, -d + 0.0
 
 
 def test_licenses(spark, texts):
     more = ["Released under the MIT License.", "licensed under THE apache license version 2.0", "This work\nis licensed under the GNU General Public\nLicense, version 3.", "x\n Licensed under CC BY 4.0.\nLicensed under CC BY-NC 4.0.", "under the MIT License Released"]
+    mit = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 100)
+    more += [f"{texts[20]}\n\nCopyright (c) 2020 Some One\n\n{mit}\n{texts[20]}", mit.replace(" ", "\n"), mit.lower().replace("software", "program", 3), "Please note: this was released under the MIT License. More follows on this line.", "It is licensed under CC BY 4.0. So it may be used by all who name us."]
     every = [*texts, *more]
     df = spark.createDataFrame(list(enumerate(every)), "doc_id long, text string")
     found = 0
     for r in licenses.scan_licenses(df).collect():
-        lines, name, dice = brute_license(every[r.doc_id], licenses.TEMPLATES, 0.8)
+        lines, windows, name, dice = brute_license(every[r.doc_id], licenses.TEMPLATES, 0.8)
         assert ([(x.line, x.license, x.dice) for x in r.licenses.lines], r.licenses.license, r.licenses.dice) == (lines, name, dice)
+        assert [(x.word, x.license, x.dice) for x in r.licenses.windows] == windows
         found += bool(name)
-    assert found >= 4
+        if r.doc_id >= len(every) - 5:
+            assert name in ("MIT", "CC-BY-4.0")
+    assert found >= 9
 
 
 def test_licenses_of_odd_tables(odd, none):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from math import isqrt
 
 import numpy as np
 import public_tokenizers
@@ -12,8 +13,9 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from quarry.llm.tables import latin_pattern, table, utf8
+from quarry.llm.tables import latin_pattern, named, table, utf8
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -109,38 +111,39 @@ def _unpack(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarra
     return [blob[a:b] for a, b in zip((stops - lengths).tolist(), stops.tolist())], gaps, docs, counts
 
 
-BLOCK = "batch long, bucket int, block binary"
+BLOCK = "batch long, bucket int, digest long, block binary"
+_NAMES = ["batch", "bucket", "digest", "block"]
 
 
 def postings(docs: DataFrame, definition: str, buckets: int, block_bytes: int) -> DataFrame:
-    """(batch, bucket, block) from (doc_id, text): pre-token frequencies, inverted some documents at a time and dealt by pre-token.
+    """(batch, bucket, digest, block) from (doc_id, text): pre-token frequencies, inverted some documents at a time and dealt by pre-token.
 
     A block lists each pre-token once with the documents that have it, so what is shuffled
     is a few bytes for each document and distinct pre-token. Its size is bounded by the texts
     of one batch; a pre-token that every document has adds no more than one list to each.
-    Bucket -1 holds a batch's documents (doc_id, whether it is null, bytes) and its number of blocks.
+    Bucket -1 holds a batch's documents (doc_id, whether it is null, bytes) and its number of blocks. ``digest`` is a
+    hash of these documents: a block knows them by place alone, so blocks and documents must be of one and the same batch.
     """
 
     def run(batches):
         cut, base, nth = PreTokens(definition), TaskContext.get().partitionId() << 32, 0
         for b in batches:
-            held, size, start = [], 0, 0
+            sizes, held, start, number, posts = [], 0, 0, {}, []
             for i, t in enumerate(b.column(1)):
                 t = t.as_py()
-                held.append((len(utf8(t)), *cut.of(t)))
-                size += held[-1][0]
-                if size >= block_bytes or len(held) >= 50_000 or i == b.num_rows - 1:
-                    yield invert(held, b.column(0).slice(start, len(held)), base + nth)
-                    held, size, start, nth = [], 0, i + 1, nth + 1
-
-    def invert(held, ids, batch):
-        number: dict[str, int] = {}
-        posts = [(np.zeros(0, np.int64),) * 3]
-        for d, (_, special, words) in enumerate(held):
-            found, n = np.unique(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)), return_counts=True)
-            posts.append((found, np.full(len(found), d), n))
-            if special:  # each special string is one token: a pre-token of no text stands for it
-                posts.append((np.array([number.setdefault("", len(number))]), np.array([d]), np.array([special])))
+                special, words = cut.of(t)
+                d = len(sizes)
+                found, n = np.unique(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words)), return_counts=True)
+                posts.append((found, np.full(len(found), d), n))
+                if special:  # each special string is one token: a pre-token of no text stands for it
+                    posts.append((np.array([number.setdefault("", len(number))]), np.array([d]), np.array([special])))
+                sizes.append(len(utf8(t)))
+                held += sizes[-1]
+                if held >= block_bytes or d >= 50_000 or i == b.num_rows - 1:
+                    yield invert(sizes, number, posts, b.column(0).slice(start, len(sizes)), base + nth)
+                    sizes, held, start, number, posts, nth = [], 0, i + 1, {}, [], nth + 1
+
+    def invert(sizes, number, posts, ids, batch):
         token, doc, n = (np.concatenate(x) for x in zip(*posts))
         names = [utf8(w) for w in number]
         home = np.fromiter((zlib.crc32(w) % buckets for w in names), np.int64, len(names))
@@ -153,20 +156,21 @@ def postings(docs: DataFrame, definition: str, buckets: int, block_bytes: int) -
             first = np.flatnonzero(np.r_[True, token[a + 1 : z] != token[a : z - 1]])
             blocks.append(_pack([names[i] for i in token[a:z][first].tolist()], np.r_[first[1:], z - a], doc[a:z], n[a:z]))
             where.append(int(at[a]))
-        key = np.array([len(held), len(blocks)], "<i8").tobytes() + ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes() + ids.is_null().to_numpy(zero_copy_only=False).tobytes() + np.array([x[0] for x in held], "<i8").tobytes()
-        return pa.RecordBatch.from_arrays([pa.array([batch] * (len(blocks) + 1), pa.int64()), pa.array([-1, *where], pa.int32()), pa.array([key, *blocks], pa.binary())], names=["batch", "bucket", "block"])
+        key = np.array([len(sizes), len(blocks)], "<i8").tobytes() + ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes() + ids.is_null().to_numpy(zero_copy_only=False).tobytes() + np.array(sizes, "<i8").tobytes()
+        digest, k = xxh3_64_intdigest(key) >> 1, len(blocks) + 1
+        return pa.RecordBatch.from_arrays([pa.array([batch] * k, pa.int64()), pa.array([-1, *where], pa.int32()), pa.array([digest] * k, pa.int64()), pa.array([key, *blocks], pa.binary())], names=_NAMES)
 
     return docs.mapInArrow(run, BLOCK)
 
 
 def summed(blocks: DataFrame, definition: str) -> DataFrame:
-    """(batch, bucket, block): each posting block as its documents and, for each, pieces times frequency, summed; bucket -1 as it is."""
+    """(batch, bucket, digest, block): each posting block as its documents and, for each, pieces times frequency, summed; bucket -1 as it is."""
 
     def run(batches):
         pieces = Pieces(definition)
         for b in batches:
             out = []
-            for bucket, blob in zip(b.column(1).to_pylist(), b.column(2)):
+            for bucket, blob in zip(b.column(1).to_pylist(), b.column(3)):
                 blob = blob.as_py()
                 if bucket >= 0:
                     words, gaps, docs, counts = _unpack(blob)
@@ -175,15 +179,19 @@ def summed(blocks: DataFrame, definition: str) -> DataFrame:
                     some = np.flatnonzero(total)
                     blob = _narrow(np.diff(some, prepend=0)) + _narrow(total[some])
                 out.append(blob)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["batch", "bucket", "block"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(out, pa.binary())], names=_NAMES)
 
     return blocks.mapInArrow(run, BLOCK)
 
 
 def gathered(sums: DataFrame) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens) from rows sorted by batch and bucket; a batch that lacks a block is an error."""
+    """(doc_id, n_bytes, n_tokens) from rows sorted by batch and bucket; a batch that lacks a block, or has one of other documents, is an error.
 
-    def close(batch, ids, nulls, n_bytes, total, left):
+    The latter happens only if the input came in another order when a lost task was run again, as rows behind a
+    shuffle can; rows read from files, or from a checkpoint, don't.
+    """
+
+    def close(batch, digest, ids, nulls, n_bytes, total, left):
         if left:
             raise ValueError(f"batch {batch} lacks {left} blocks")
         return pa.RecordBatch.from_arrays([pa.array(ids, mask=nulls), pa.array(n_bytes), pa.array(total)], names=["doc_id", "n_bytes", "n_tokens"])
@@ -191,26 +199,41 @@ def gathered(sums: DataFrame) -> DataFrame:
     def run(batches):
         now = None
         for b in batches:
-            for batch, bucket, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+            for batch, bucket, digest, blob in zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3)):
                 blob = blob.as_py()
                 if bucket < 0:
                     if now:
                         yield close(*now)
                     n, blocks = np.frombuffer(blob, "<i8", 2).tolist()
-                    now = [batch, np.frombuffer(blob, "<i8", n, 16), np.frombuffer(blob, bool, n, 16 + 8 * n), np.frombuffer(blob, "<i8", n, 16 + 9 * n), np.zeros(n, np.int64), blocks]
+                    now = [batch, digest, np.frombuffer(blob, "<i8", n, 16), np.frombuffer(blob, bool, n, 16 + 8 * n), np.frombuffer(blob, "<i8", n, 16 + 9 * n), np.zeros(n, np.int64), blocks]
                 elif now is None or now[0] != batch:
                     raise ValueError(f"batch {batch} lacks its documents")
+                elif now[1] != digest:
+                    raise ValueError(f"batch {batch} has a block of other documents: the input's order changed between attempts; checkpoint the input")
                 else:
                     gaps, at = _wide(blob, 0)
-                    now[4][np.cumsum(gaps)] += _wide(blob, at)[0]
-                    now[5] -= 1
+                    now[5][np.cumsum(gaps)] += _wide(blob, at)[0]
+                    now[6] -= 1
         if now:
             yield close(*now)
 
     return sums.repartition("batch").sortWithinPartitions("batch", "bucket").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
 
 
-def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: int = 2_000_000) -> DataFrame:
+def dealing(docs: DataFrame) -> tuple[int, int]:
+    """(buckets, bytes of a batch) for an input as large as the optimizer's estimate of it.
+
+    Both grow with the square root of the input, at 64 buckets for half a GB: what a bucket's task reads and how many
+    blocks there are then grow alike, and a batch of 1 KB a bucket keeps blocks from getting tiny. An input whose
+    size the optimizer doesn't know has as many buckets as the session has shuffle partitions.
+    """
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    known = size < 1 << 60
+    buckets = max(8, isqrt(size // 120_000)) if known else int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return buckets, max(2_000_000, min(buckets << 10, 32_000_000))
+
+
+def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, buckets: int | None = None, block_bytes: int | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for every row of ``docs``, whose doc_id is a long.
 
     Tokens are those of the tokenizer file at ``path`` without begin, end or added special tokens;
@@ -218,14 +241,17 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, block_bytes: in
     and empty texts have none. Ids are never made: pieces are counted once for each distinct
     pre-token of a bucket, and joined to the frequencies that were dealt to the same bucket; the sums go back to
     the batch that the documents came in. Repeated rows and null doc_ids are counted like any. An empty table gives an empty one.
-    Extra columns are left out. Frequencies are inverted for about ``block_bytes`` of text at a time.
+    Extra columns are left out. Frequencies are inverted for about ``block_bytes`` of text at a time and dealt to ``buckets``;
+    both follow ``dealing`` unless they are given. Rows must come in the same order if a task is run again, as from files; else the job fails.
     """
     with open(path, encoding="utf-8") as f:
         definition = f.read()
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = postings(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), definition, buckets, block_bytes)
+    rows = docs.select(named("doc_id").cast("long").alias("doc_id"), named("text").alias("text"))
+    many, large = dealing(rows)
+    many, large = buckets or many, block_bytes or large
+    blocks = postings(rows, definition, many, large)
     # the documents' own rows go to any task, pre-tokens to the one of their bucket
-    dealt = blocks.repartition(buckets, F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("batch"), F.lit(buckets))).otherwise(F.col("bucket")).cast("int"))
+    dealt = blocks.repartition(many, F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("batch"), F.lit(many))).otherwise(F.col("bucket")).cast("int"))
     counted = gathered(summed(dealt, definition))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 

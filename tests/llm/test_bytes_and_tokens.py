@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quarry.llm import byte_bpe, token_counts
@@ -98,3 +99,31 @@ def test_empty_and_odd_tables(odd, none):
     assert byte_bpe.digest(none, PATH).count() == token_counts.count_tokens(none, path).count() == 0
     assert byte_bpe.encode(odd, PATH).columns == [*odd.columns, "tokens"]
     assert {(r.doc_id, r.n_bytes) for r in token_counts.count_tokens(odd, path).collect()} == {(None, 31), (7, 0)}
+
+
+def test_a_block_of_other_documents_is_an_error(spark, docs):
+    path = public_tokenizers.path(token_counts.VOCABULARY)
+    definition = open(path, encoding="utf-8").read()
+    blocks = token_counts.summed(token_counts.postings(docs.select("doc_id", "text"), definition, 4, 500), definition)
+    assert token_counts.gathered(blocks).count() == docs.count()
+    other = blocks.withColumn("digest", F.when(F.col("bucket") == 2, F.col("digest") + 1).otherwise(F.col("digest")))
+    with pytest.raises(Exception, match="other documents"):
+        token_counts.gathered(other).count()
+    with pytest.raises(Exception, match="lacks"):
+        token_counts.gathered(blocks.where("bucket != 2")).count()
+
+
+def test_buckets_grow_with_the_root_of_the_input(spark, tables, docs):
+    known = spark.read.parquet(tables(documents=docs) + "/documents.parquet")
+    assert token_counts.dealing(known) == (8, 2_000_000)
+    assert token_counts.dealing(spark.range(10).rdd.toDF("doc_id long"))[0] == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_texts_longer_than_a_batch(spark, texts, library):
+    """One word of 300 thousand letters, and 400 thousand words: beyond what any step treats at once."""
+    long = "x" * 300_000 + " " + " ".join(f"w{i} the é" for i in range(130_000))
+    got = byte_bpe.digest(spark.createDataFrame([(1, long), (2, "x")], "doc_id long, text string"), PATH, remembered=1000).collect()
+    assert {r.doc_id: (r.n_tokens, r.decoded_sha256) for r in got}[1] == (len(library.encode_ordinary(long)), sha(long.encode()))
+    tok = Tokenizer.from_file(public_tokenizers.path(token_counts.VOCABULARY))
+    counted = token_counts.count_tokens(spark.createDataFrame([(1, long[300_000:])], "doc_id long, text string"), public_tokenizers.path(token_counts.VOCABULARY), buckets=3, block_bytes=1000).first()
+    assert counted.n_tokens == len(tok.encode(long[300_000:], add_special_tokens=False).ids)

@@ -130,6 +130,12 @@ def adjacency(edges: DataFrame) -> DataFrame:
     return real.select(F.col("source").alias("id"), F.col("target").alias("other")).unionByName(real.select(F.col("target").alias("id"), F.col("source").alias("other"))).distinct()
 
 
+def beside(edges: DataFrame, node: str) -> DataFrame:
+    """(id) of a node's neighbours; the filter reaches both sides before anything is shuffled."""
+    real = edges.where("source != target")
+    return real.where(F.col("source") == node).select(F.col("target").alias("id")).unionByName(real.where(F.col("target") == node).select(F.col("source").alias("id"))).distinct()
+
+
 def induced(edges: DataFrame, ids: DataFrame) -> DataFrame:
     """Links with both ends among ``ids`` (column id)."""
     known = ids.select(F.col("id").alias("known")).distinct()
@@ -138,7 +144,7 @@ def induced(edges: DataFrame, ids: DataFrame) -> DataFrame:
 
 def neighbours(edges: DataFrame, node: str, degree: DataFrame, cap: int = 150, more: int = 0, kind: DataFrame | None = None) -> DataFrame:
     """(id, degree, pos): a node's neighbours, the best linked first, at most ``cap`` x (1 + ``more``)."""
-    near = adjacency(edges).where(F.col("id") == node).select(F.col("other").alias("id"))
+    near = beside(edges, node)
     near = near.join(kind.select("id"), "id", "left_semi") if kind is not None else near
     top = near.join(degree, "id").orderBy(F.desc("degree"), "id").limit(cap * (1 + more))
     return top.withColumn("pos", F.row_number().over(Window.orderBy(F.desc("degree"), "id")))
@@ -146,7 +152,7 @@ def neighbours(edges: DataFrame, node: str, degree: DataFrame, cap: int = 150, m
 
 def ego(edges: DataFrame, node: str) -> DataFrame:
     """Links among a node and its neighbours."""
-    near = adjacency(edges).where(F.col("id") == node).select(F.col("other").alias("id"))
+    near = beside(edges, node)
     return induced(edges, near.unionByName(near.sparkSession.createDataFrame([(node,)], "id string")))
 
 

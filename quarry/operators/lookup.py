@@ -69,8 +69,8 @@ def resolve_exact_alias_prefix(labels: DataFrame, terms: DataFrame, aliases: dic
     keyed = labels.select("key", F.lower(alias(F.col("key"), aliases)).alias("other"))
     exact = keyed.join(t, F.col("key") == F.col("name"), "left").select("key", "other", F.col("value").alias("v1"))
     by_alias = exact.join(t, F.col("other") == F.col("name"), "left").select("key", "v1", F.col("value").alias("v2"))
-    # prefixes as an equi-join: every prefix of a term, of the lengths that labels have
-    lengths = [r[0] for r in labels.select(F.length("key")).distinct().limit(1000).collect()]
-    heads = t.select(F.explode(F.array_distinct(F.array(*[F.when(F.length("name") >= n, F.substring("name", 1, n)) for n in lengths] or [F.lit(None).cast("string")]))).alias("key"), "value").where("key IS NOT NULL")
+    # prefixes as an equi-join: every prefix of a term, of which the semi-join keeps those that are labels
+    every = t.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("name")), lambda n: F.substring(F.col("name"), F.lit(1), n))).alias("key"), "value")
+    heads = every.join(labels.select("key").distinct(), "key", "left_semi")
     one = heads.groupBy("key").agg(F.countDistinct("value").alias("n"), F.first("value").alias("v3")).where("n = 1").select("key", "v3")
     return by_alias.join(one, "key", "left").select("key", F.coalesce("v1", "v2", "v3").alias("value"))

@@ -135,18 +135,23 @@ TAGS_SQL = "SELECT doc_id, concat_ws(',', " + ", ".join(f"CASE WHEN {' OR '.join
 EVIDENCE_SQL = "WITH e AS (" + " UNION ALL ".join(f"SELECT doc_id, '{v}' AS value, concat_ws('|', {', '.join(f"nullif(regexp_extract(text, '{_term_sql(t)}', 1), '')" for t in found)}) AS evidence FROM documents" for v, found in TERMS.items()) + ") SELECT * FROM e WHERE evidence <> ''"
 
 
+def _with_item(spark: SparkSession, d: str) -> DataFrame:
+    """Documents, each with an item: the one of its number modulo the number of items, so that all items are asked for."""
+    docs, items = read(spark, d, "documents"), read(spark, d, "benchmark")
+    n = max(items.count(), 1)
+    return docs.join(items.select("item_id", F.col("text").alias("item")), F.col("doc_id") % n == F.col("item_id") % n)
+
+
 def evidence_guard(spark: SparkSession, d: str) -> DataFrame:
     """Which documents bear out a benchmark item of their own number: the item's first ten words, and a word alone."""
-    docs, items = read(spark, d, "documents"), read(spark, d, "benchmark")
-    n = 40
-    j = docs.join(items.where(F.col("item_id") < n).select("item_id", F.col("text").alias("item")), F.col("doc_id") % n == F.col("item_id"))
+    j = _with_item(spark, d)
     quote = text.first_words(F.col("item"), 4)
     return j.select("doc_id", guards.evidenced(quote, F.concat_ws(" ", "text", F.when(F.col("doc_id") % 3 == 0, F.col("item")))).alias("ok"), guards.evidenced(text.first_words(F.col("item"), 1), F.col("item")).alias("word_ok"))
 
 
 EVIDENCED_SQL = r"""WITH j AS (
   SELECT d.doc_id, lower(array_to_string(list_filter(regexp_split_to_array(b.text, '\s+'), lambda x: x <> '')[1:4], ' ')) AS q,
-    lower(trim(regexp_replace(d.text || CASE WHEN d.doc_id % 3 = 0 THEN ' ' || b.text ELSE '' END, '\s+', ' ', 'g'))) AS t FROM documents d JOIN benchmark b ON d.doc_id % 40 = b.item_id WHERE b.item_id < 40
+    lower(trim(regexp_replace(d.text || CASE WHEN d.doc_id % 3 = 0 THEN ' ' || b.text ELSE '' END, '\s+', ' ', 'g'))) AS t FROM documents d JOIN benchmark b ON d.doc_id % (SELECT count(*) FROM benchmark) = b.item_id % (SELECT count(*) FROM benchmark)
 ) SELECT doc_id, length(q) >= 10 AND contains(q, ' ') AND contains(t, q) AS ok, false AS word_ok FROM j"""
 
 
@@ -164,13 +169,12 @@ NUMBER_SQL = "WITH c AS (SELECT doc_id, 'about ' || format('{:,}', n_chars) || '
 
 def grounding_guard(spark: SparkSession, d: str) -> DataFrame:
     """Whether a document bears out the first sentence of an item, and its own beginning."""
-    docs, items = read(spark, d, "documents"), read(spark, d, "benchmark").where("item_id < 40")
-    j = docs.join(items.select("item_id", F.col("text").alias("item")), F.col("doc_id") % 40 == F.col("item_id"))
+    j = _with_item(spark, d)
     return j.select("doc_id", guards.grounded(F.col("item"), F.col("text"), 0.25).alias("by_item"), guards.summary_ok(text.first_words(F.col("text"), 30), F.col("text")).alias("by_self"))
 
 
 _CONTENT = r"list_distinct(list_filter(regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+'), lambda x: length(x) >= 4))"
-GROUNDING_SQL = "WITH j AS (SELECT d.doc_id, " + _CONTENT.format("b.text") + " AS a, " + _CONTENT.format("d.text") + " AS b FROM documents d JOIN benchmark b ON d.doc_id % 40 = b.item_id WHERE b.item_id < 40) SELECT doc_id, len(a) = 0 OR len(list_intersect(a, b)) >= 0.25 * len(a) AS by_item, true AS by_self FROM j"
+GROUNDING_SQL = "WITH j AS (SELECT d.doc_id, " + _CONTENT.format("b.text") + " AS a, " + _CONTENT.format("d.text") + " AS b FROM documents d JOIN benchmark b ON d.doc_id % (SELECT count(*) FROM benchmark) = b.item_id % (SELECT count(*) FROM benchmark)) SELECT doc_id, len(a) = 0 OR len(list_intersect(a, b)) >= 0.25 * len(a) AS by_item, true AS by_self FROM j"
 
 
 def _cluster_keys():
@@ -415,17 +419,19 @@ RETAINED_SQL = "SELECT source || ':' || doc_id AS id, CASE WHEN source IN ('src1
 
 
 def quality_score(spark: SparkSession, d: str) -> DataFrame:
-    """Labels as findings: the lens by number, the severity by what they say."""
-    rows = read(spark, d, "labels").where("doc_id % 50 < 3").select(
-        F.when(F.col("doc_id") % 2 == 0, "data").otherwise("code").alias("lens"), F.when(F.col("toxic") == 1, "high").when(F.col("quality") == 0, "medium").otherwise("low").alias("severity"), F.when(F.col("doc_id") % 3 == 0, "open").otherwise("fixed").alias("status")
+    """Labels as findings, all of them: fifty lenses by number, the severity by what they say."""
+    rows = read(spark, d, "labels").select(
+        F.concat(F.lit("l"), F.col("doc_id") % 50).alias("lens"), F.when(F.col("toxic") == 1, "high").when(F.col("quality") == 0, "medium").otherwise("low").alias("severity"), F.when(F.col("doc_id") % 3 == 0, "open").otherwise("fixed").alias("status")
     )
-    out = validate.quality_score(rows, {"high": 10, "medium": 3, "low": 1}, {"data": 2.0, "code": 1.0, "dod": 1.0}, {"high": 84.0})
-    return out.select(F.col("data").cast("long").alias("data"), F.col("code").cast("long").alias("code"), "open_high", "overall")
+    lenses = [f"l{i}" for i in range(50)]
+    out = validate.quality_score(rows, {"high": 10, "medium": 3, "low": 1}, {**dict.fromkeys(lenses, 1.0), "dod": 10.0}, {"high": 84.0})
+    return out.select(sum((F.col(x).cast("long") for x in lenses), F.lit(0)).alias("lenses"), F.least(*lenses).cast("long").alias("worst"), "open_high", "overall")
 
 
-QUALITY_SQL = """WITH f AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'data' ELSE 'code' END AS lens, CASE WHEN toxic = 1 THEN 10 WHEN quality = 0 THEN 3 ELSE 1 END AS cost FROM labels WHERE doc_id % 50 < 3 AND doc_id % 3 = 0),
-s AS (SELECT greatest(0, 100 - coalesce(sum(cost) FILTER (WHERE lens = 'data'), 0)) AS data, greatest(0, 100 - coalesce(sum(cost) FILTER (WHERE lens = 'code'), 0)) AS code, count(*) FILTER (WHERE cost = 10) AS open_high FROM f)
-SELECT CAST(data AS BIGINT) AS data, CAST(code AS BIGINT) AS code, open_high, round(CASE WHEN open_high > 0 THEN least((2.0 * data + code + 100) / 4, 84.0) ELSE (2.0 * data + code + 100) / 4 END, 1)::DOUBLE AS overall FROM s"""
+QUALITY_SQL = """WITH f AS (SELECT doc_id % 50 AS lens, CASE WHEN toxic = 1 THEN 10 WHEN quality = 0 THEN 3 ELSE 1 END AS cost FROM labels WHERE doc_id % 3 = 0),
+l AS (SELECT i, greatest(0, 100 - coalesce(sum(cost), 0)) AS score FROM range(50) r(i) LEFT JOIN f ON f.lens = i GROUP BY i),
+s AS (SELECT (SELECT CAST(sum(score) AS BIGINT) FROM l) AS lenses, (SELECT CAST(min(score) AS BIGINT) FROM l) AS worst, (SELECT count(*) FROM f WHERE cost = 10) AS open_high)
+SELECT lenses, worst, open_high, round(CASE WHEN open_high > 0 THEN least((lenses + 1000) / 60.0, 84.0) ELSE (lenses + 1000) / 60.0 END, 1)::DOUBLE AS overall FROM s"""
 
 
 def seeded_sample(spark: SparkSession, d: str) -> DataFrame:

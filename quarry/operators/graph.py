@@ -115,9 +115,29 @@ def backbone_links(edges: DataFrame, hubs: DataFrame, min_weight: int = 2, keep:
     """
     place = rank(F.col("type"), TYPES)
     own = edges.join(hubs.select(F.col("id").alias("target"), "type", place.alias("place")), "target").select("source", F.struct("place", F.col("target").alias("hub"), F.col("type").alias("kind")).alias("h"))
-    lists = own.groupBy("source").agg(F.array_sort(F.collect_set("h")).alias("hs"))
+    return _strongest(_weights(own.groupBy("source").agg(F.array_sort(F.collect_set("h")).alias("hs"))), min_weight, keep)
+
+
+def record_backbone(records: DataFrame, domains: Sequence[str], hubs: DataFrame | None = None, institutions: int = 3, min_weight: int = 2, keep: int = 3) -> DataFrame:
+    """``backbone_links`` straight from records (as ``nodes`` takes them): pairs form within a record's own row, so only weights are shuffled.
+
+    With ``hubs`` (column id) both ends must be among them.
+    """
+    entry = lambda a: F.struct(rank(a["type"], TYPES).alias("place"), a["node"].alias("hub"), a["type"].alias("kind"))
+    weights = _weights(_own(records, domains, institutions).select(F.array_sort(F.transform("attributes", entry)).alias("hs")))
+    if hubs is not None:
+        known = hubs.select(F.col("id").alias("known")).distinct()
+        weights = weights.join(known, F.col("source") == F.col("known"), "left_semi").join(known, F.col("target") == F.col("known"), "left_semi")
+    return _strongest(weights, min_weight, keep)
+
+
+def _weights(lists: DataFrame) -> DataFrame:
+    """(source, target, first, weight) of the pairs within lists ``hs`` of struct(place, hub, kind), sorted."""
     pairs = lists.select(F.explode(F.flatten(F.transform("hs", lambda a, i: F.transform(F.slice(F.col("hs"), i + 2, F.size("hs")), lambda b: F.struct(a["hub"].alias("source"), b["hub"].alias("target"), (a["kind"] == "source").alias("first")))))).alias("p")).select("p.*")
-    weights = pairs.groupBy("source", "target", "first").agg(F.count("*").alias("weight"))
+    return pairs.groupBy("source", "target", "first").agg(F.count("*").alias("weight"))
+
+
+def _strongest(weights: DataFrame, min_weight: int, keep: int) -> DataFrame:
     rest = weights.where(~F.col("first") & (F.col("weight") >= min_weight))
     sides = rest.select(F.col("source").alias("own"), F.col("target").alias("other"), "source", "target", "weight").unionByName(rest.select(F.col("target").alias("own"), F.col("source").alias("other"), "source", "target", "weight"))
     best = sides.withColumn("k", F.row_number().over(Window.partitionBy("own").orderBy(F.desc("weight"), "other"))).where(F.col("k") <= keep)
@@ -169,7 +189,9 @@ def label_budget(found: DataFrame, budgets: dict[str, int]) -> DataFrame:
     """Nodes that get a label: of each type with a budget its best linked, the smaller id first of equals."""
     cap = F.create_map(*[F.lit(x) for kv in budgets.items() for x in kv])
     k = F.row_number().over(Window.partitionBy("type").orderBy(F.desc("degree"), "id"))
-    return found.where(F.col("type").isin(*budgets)).withColumn("k", k).where(F.col("k") <= F.try_element_at(cap, F.col("type")))
+    # the largest budget is a limit that every task applies before its rows are shuffled
+    top = found.where(F.col("type").isin(*budgets)).withColumn("k", k).where(F.col("k") <= max(budgets.values(), default=0))
+    return top.where(F.col("k") <= F.try_element_at(cap, F.col("type")))
 
 
 def dimmed(chosen: Sequence[str]) -> Column:

@@ -4,16 +4,25 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset
-    (a local session in a test) a temporary folder is taken instead.
+    Where that is unset a local session, as in a test, takes a temporary folder; on a cluster that is an error, as
+    executors could not read each other's files.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
+    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quarry-"))
+        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="quarry-"))
+    return found or sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and read it back."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -158,13 +158,11 @@ SELECT target AS node, domain FROM (
 
 
 def backbone(spark: SparkSession, d: str) -> DataFrame:
-    edges = graph.links(order_catalog(spark, d), DOMAINS).where("type != 'has_condition'").cache()
-    hubs = edges.select(F.col("target").alias("id"), F.substring("type", 5, 100).alias("type")).distinct()
-    return graph.backbone_links(edges.select("source", "target"), hubs)
+    return graph.record_backbone(order_catalog(spark, d), DOMAINS)
 
 
 BACKBONE_SQL = f"""WITH {ORDER_SQL}, {_LINKS}, e AS (
-  SELECT source AS d, target AS h, substr(type, 5) AS t, CASE substr(type, 5) WHEN 'source' THEN 1 WHEN 'modality' THEN 2 WHEN 'condition' THEN 3 ELSE 4 END AS r FROM links WHERE type <> 'has_condition'
+  SELECT source AS d, target AS h, substr(type, 5) AS t, CASE substr(type, 5) WHEN 'source' THEN 1 WHEN 'modality' THEN 2 WHEN 'condition' THEN 3 ELSE 4 END AS r FROM links
 ), w AS (
   SELECT a.h AS source, b.h AS target, a.t = 'source' AS first, count(*) AS weight FROM e a JOIN e b ON a.d = b.d AND (a.r < b.r OR (a.r = b.r AND a.h < b.h)) GROUP BY ALL
 ), s AS (

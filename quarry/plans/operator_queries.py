@@ -500,7 +500,7 @@ QUERIES = {
     "normalize_openneuro": normalize_openneuro, "normalize_physionet": normalize_physionet, "normalize_gdc": normalize_gdc, "normalize_tcia": normalize_tcia, "rule_hits": rule_hits, "dedupe_stage": dedupe_stage, "diff_lists": pointer_diff,
     "changelog_document": changelog_document, "raw_scan": raw_scan, "raw_point_read": raw_point_read, "volatile_hash": volatile_hash, "key_collisions": key_collisions, "removed_filter": removed_filter, "search_index": search_index,
     "domain_dimming": domain_dimming, "status_histogram": status_histogram, "listing_errors": listing_errors, "codes_and_years": codes_and_years, "html_escape": html_escape, "guarded_answers": guarded_answers, "any_member_status": any_member_status,
-    "panel_merge": panel_merge, "hub_collapse": hub_collapse, "graph_contract": graph_contract, "source_metrics": source_metrics, "manifest_results": manifest_results, "stale_rows": stale_rows, "unknown_values": unknown_values, "ledger_upsert": ledger_upsert,
+    "panel_merge": panel_merge, "hub_collapse": hub_collapse, "graph_contract_seeded": graph_contract, "source_metrics": source_metrics, "manifest_results": manifest_results, "stale_rows": stale_rows, "unknown_values": unknown_values, "ledger_upsert": ledger_upsert,
     "prompt_inputs": prompt_inputs, "call_batches": call_batches, "snapshot_diff_pointers": user_pointers,
 }
 
@@ -508,6 +508,6 @@ ORACLES = {
     "normalize_openneuro": OPENNEURO_SQL, "normalize_physionet": PHYSIONET_SQL, "normalize_gdc": GDC_SQL, "normalize_tcia": TCIA_SQL, "rule_hits": RULES_SQL, "dedupe_stage": DEDUPE_SQL, "diff_lists": POINTER_SQL, "changelog_document": DOCUMENT_SQL,
     "raw_scan": "SELECT source, CAST(doc_id AS VARCHAR) AS native_id, n_chars AS payload FROM documents WHERE doc_id % 2 = 0", "raw_point_read": "SELECT source, CAST(doc_id AS VARCHAR) AS native_id, n_chars AS payload FROM documents WHERE source = 'src3' AND doc_id IN (43, 44)",
     "volatile_hash": VOLATILE_SQL, "key_collisions": COLLISIONS_SQL, "removed_filter": REMOVED_SQL, "search_index": INDEX_SQL, "domain_dimming": DIMMING_SQL, "status_histogram": STATUS_SQL, "listing_errors": LISTING_SQL, "codes_and_years": CODES_SQL,
-    "html_escape": ESCAPE_SQL, "guarded_answers": ANSWERS_SQL, "any_member_status": MEMBER_SQL, "panel_merge": PANEL_SQL, "hub_collapse": COLLAPSE_SQL, "graph_contract": CONTRACT_SQL, "source_metrics": METRICS_SQL, "manifest_results": MANIFEST_SQL,
+    "html_escape": ESCAPE_SQL, "guarded_answers": ANSWERS_SQL, "any_member_status": MEMBER_SQL, "panel_merge": PANEL_SQL, "hub_collapse": COLLAPSE_SQL, "graph_contract_seeded": CONTRACT_SQL, "source_metrics": METRICS_SQL, "manifest_results": MANIFEST_SQL,
     "stale_rows": STALE_SQL, "unknown_values": UNKNOWN_SQL, "ledger_upsert": LEDGER_SQL, "prompt_inputs": INPUTS_SQL, "call_batches": BATCHES_SQL, "snapshot_diff_pointers": USER_POINTERS_SQL,
 }

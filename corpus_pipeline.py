@@ -7,13 +7,13 @@ rejects are gone for the next.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import byte_bpe, decontam, langid, line_dedup, simhash
 from quarry.llm.tables import table
+from quarry.operators.state import shared_folder
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,17 +49,22 @@ STAGES = [
     ("byte_bpe", tokens),
 ]
 
-#: XXH64 fingerprints, Viterbi labels and byte-pair merges have no SQL; tests hold each stage against plain Python.
+#: XXH64 fingerprints, Viterbi labels and byte-pair merges have no SQL; tests hold each stage, and the whole run, against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``. A stage's table goes when the next one's is written; the last stays, as the result reads it."""
     docs = table(spark, sf_dir, "documents")
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quarry-")
-    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    written: list[str] = []
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs.write.parquet(f"{folder}/{k}-{name}")
-            docs = spark.read.parquet(f"{folder}/{k}-{name}")
+            written.append(f"{folder}/{k}-{name}")
+            docs.write.parquet(written[-1])
+            docs = spark.read.parquet(written[-1])
+            for old in written[:-1]:
+                path(old).getFileSystem(spark._jsc.hadoopConfiguration()).delete(path(old), True)
     return docs

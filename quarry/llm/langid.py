@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.tables import table
+from quarry.llm.tables import named, table, unused
 
 #: Scripts by ranges of code points, both ends included; letters elsewhere are one further script.
 SCRIPTS = {
@@ -93,14 +93,15 @@ class Model:
 def fit(docs: DataFrame, most_rows: int = 4000, smooth: float = 0.5, script_share: float = 0.01) -> Model:
     """Learn from a bounded sample: at most ``most_rows`` labelled rows, those of least hash of doc_id.
 
-    Learned are only rows with a language and a text. The sample is found by ids
+    Learned are only rows with a language and a text; equal rows are one, so the bound holds however often a row is repeated (only
+    different texts under the very last doc_id may exceed it). The sample is found by ids
     alone; its texts are counted on the executors, and what comes to the driver is
     one count for each language, script and trigram bucket. Without any labelled row the model
     has no languages.
     """
-    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("__h", F.xxhash64("doc_id"))
-    last = labelled.select("__h").orderBy("__h").limit(most_rows).agg(F.max("__h"), F.count("*")).first()
-    if not last[1]:
+    labelled = docs.select("text", "lang", F.xxhash64("doc_id").alias("h")).where("lang IS NOT NULL AND text IS NOT NULL")
+    last = labelled.select("h").orderBy("h").limit(most_rows).agg(F.max("h").alias("h")).first().h
+    if last is None:
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros((len(SCRIPTS) + 1, 0), bool))
 
     def count(batches):
@@ -114,7 +115,7 @@ def fit(docs: DataFrame, most_rows: int = 4000, smooth: float = 0.5, script_shar
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at])], names=["lang", "bucket", "n"])
 
-    sample = labelled.where(F.col("__h") <= last[0]).select("text", "lang")
+    sample = labelled.where(F.col("h") <= last).dropDuplicates(["h", "text"]).select("text", "lang")
     counts = sample.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = tuple(sorted(counts["lang"].unique()))
     n = np.zeros((BUCKETS + len(SCRIPTS) + 1, len(langs)))
@@ -246,9 +247,15 @@ def held_out() -> Column:
 
 
 def stage(docs: DataFrame, min_score: float = 0.25) -> DataFrame:
-    """The pipeline's stage: documents whose language is known and has ``min_score`` of their letters."""
-    found = identify(docs, fit(docs.where(~F.coalesce(held_out(), F.lit(False)))), column="__language")
-    return found.where((F.col("__language.lang") != "und") & (F.col("__language.score") >= min_score)).select(*docs.columns)
+    """The pipeline's stage: documents whose language is known and has ``min_score`` of their letters.
+
+    Null texts and texts without letters go; repeated rows share their fate; an empty table stays empty; extra columns pass through,
+    whatever their names. The model is learned from the rows outside the held-out quarter that have a language.
+    """
+    column = unused(docs.columns, "language")
+    found = identify(docs, fit(docs.where(~F.coalesce(held_out(), F.lit(False)))), column=column)
+    language = named(column)
+    return found.where((language["lang"] != "und") & (language["score"] >= min_score)).select(*map(named, docs.columns))
 
 
 def query(spark, sf_dir):

@@ -18,6 +18,17 @@ def test_stages_keep_the_columns_and_the_clean(spark, docs, none, tables):
     assert sorted(r.doc_id for r in last.collect()) == sorted(r.doc_id for r in now.collect())
 
 
+def test_stages_leave_columns_of_any_name_alone(spark, clashing, tables):
+    from pyspark.sql import functions as F
+
+    named = clashing.select("*", F.lit("en").alias("lang"), F.lit(1).alias("language"), F.lit(2).alias("contamination"), F.lit(3).alias("line_report"))
+    d = tables(benchmark=spark.createDataFrame([(1, "nothing like this is anywhere at all in here you see now")], "item_id long, text string"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, named, d)
+        assert out.columns == named.columns
+        assert {(r["__id"], r["u.v"], r["x`y"], r["language"], r["contamination"], r["line_report"]) for r in out.collect()} <= {(f"__id{i}", f"u.v{i}", f"x`y{i}", 1, 2, 3) for i in range(3)}, name
+
+
 def test_run_drops_what_the_stages_reject(spark):
     d = "/root/testdata/sf0.001"
     rows = corpus_pipeline.run(spark, d).collect()

@@ -1,7 +1,7 @@
 """Byte-level BPE: ranked merges folded over distinct words; decoding concatenates binary pieces.
 
 Texts are cut into words in Python, and each distinct word of a task is handed on once, as the array
-of its bytes' ids. ``folded`` is the fold: Spark's higher-order functions over those arrays, with
+of its bytes. ``fold_sql`` is the fold: Spark's higher-order functions over those arrays, with
 the rank map as a literal. Documents follow their words as places in the list of words, so that ids are put together again
 behind the fold without a shuffle.
 """
@@ -19,7 +19,6 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
-import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +29,7 @@ RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Code points with the property White_Space, which is what \s means to the library.
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _NONE = 1 << 30
-_BLOCK = 50_000  # new words that are handed to the fold together
+_BLOCK = 20_000  # new words that are handed to the fold together
 _LONG = 255  # bytes of a word that the higher-order fold takes; a longer one is folded with a heap
 
 
@@ -45,6 +44,8 @@ def newer_letters() -> str:
     Only what Python's own tables call unassigned can differ; the library is asked about
     those. It parts "'s" from a letter, but not from a code point that is none.
     """
+    import tiktoken
+
     ranks = {bytes([b]): b for b in range(256)} | {b"'s": 256}
     library = tiktoken.Encoding("probe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     unassigned = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) == "Cn")
@@ -122,14 +123,15 @@ def _fold_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 @dataclass(frozen=True)
 class RankMap:
-    """The ranks as two arrays, for a literal: what a pair of ids joins to is one look-up in each.
+    """The ranks as arrays, for a literal: what a pair of ids joins to is one look-up in two of them.
 
     A pair's key is left << 16 | right. ``shift`` parts the keys into small buckets, and moves
     each so that no two keys share a cell; a cell holds key << 20 | rank. So cell ^ key << 20 is the rank if
-    the pair joins, and larger than any rank otherwise.
+    the pair joins, and larger than any rank otherwise. ``begin`` has for each byte and the byte after it (256 for none)
+    what the fold starts with: the pair's rank << 25 | the byte's id.
     """
 
-    single: tuple[int, ...]
+    begin: list[int]
     shift: list[int]
     cells: list[int]
 
@@ -137,6 +139,8 @@ class RankMap:
     BUCKETS, CELLS, FACTOR = 32749, 262139, 1103515245
     #: An id that no pair has: it stands at both ends of a word.
     EDGE = 65535
+    #: The rank of pairs that don't join.
+    NONE = 1 << 20
 
     @classmethod
     def of(cls, ranks: dict[bytes, int]) -> RankMap:
@@ -161,41 +165,71 @@ class RankMap:
         cells = [1 << 62] * (cls.CELLS + max(shift) + 1)
         for x, v in cell.items():
             cells[x] = v
-        return cls(tuple(ranks[bytes([b])] for b in range(256)), shift, cells)
+        ids = [ranks[bytes([b])] for b in range(256)]
+        begin = [(pairs.get(a << 16 | b, cls.NONE) if b is not None else cls.NONE) << 25 | a for a in ids for b in (*ids, None)]
+        return cls(begin, shift, cells)
 
 
-def fold_sql(letters: str) -> str:
-    """The fold as one SQL expression: an array of ids (name of an array<long>) to the array of ids that are left.
+def fold_sql(word: str) -> str:
+    """The fold as one SQL expression: name of an array<long>, a word as ``_starts`` has it, to the array of ids that are left.
 
     ``cells`` and ``shifts`` are the rank map's arrays, which ``with_ranks`` binds.
-
-    The state is one array of longs, a part each, with ``EDGE`` at both ends: rank of the pair
-    that a part begins (20 bits), the part's first byte (9 bits), its id (17 bits). So its
-    least element is the leftmost pair of lowest rank, and one step joins that pair and looks two
-    new pairs up. An array of over ``_LONG`` ids stays as it is, and so does one in which nothing joins.
+    The array holds the word's bytes, a long each, with ``EDGE`` at both ends: rank of the pair that a part begins
+    (21 bits), the part's first byte (9 bits), its id (16 bits). So its least element is the leftmost pair of lowest rank, and one step joins
+    that pair and looks two new pairs up. A step in which nothing joins leaves the array as it is. An array that begins with -1 has ids that are folded already.
     """
-    none, edge = 1 << 20, RankMap.EDGE
-    last = ((none << 9) << 17) + edge
-    rank = f"least({none}L, cells[k * {RankMap.FACTOR}L % {RankMap.CELLS}L + shifts[k % {RankMap.BUCKETS}L]] ^ shiftleft(k, 20))"
-    start = f"""concat(transform(zip_with(concat(array({edge}L), {letters}), concat({letters}, array({edge}L)), (a, b) -> a * 65536L + b),
-        (k, i) -> ({rank} * 512L + i) * 131072L + shiftright(k, 16)), array({last}L))"""
-    step = f"""transform(array(array_min(s)), m -> if(m >= {none << 26}L, s, transform(array(int(array_position(s, m))), q -> concat(
-        slice(s, 1, q - 2),
-        transform(array((s[q - 2] & 131071L) * 65536L + shiftright(m, 26), shiftright(m, 26) * 65536L + (s[q + 1] & 131071L)),
-          (k, i) -> ({rank} * 512L + (shiftright(s[q - 2 + i], 17) & 511L)) * 131072L + shiftright(k, 16)),
-        slice(s, q + 2, size(s))))[0]))[0]"""
-    fold_all = f"transform(aggregate(slice({letters}, 2, size({letters})), {start}, (s, x) -> {step}, s -> slice(s, 2, size(s) - 2)), x -> x & 131071L)"
-    return f"if(size({letters}) between 2 and {_LONG}, {fold_all}, {letters})"
+    none = RankMap.NONE << 25
+    rank = f"least({RankMap.NONE}L, cells[k * {RankMap.FACTOR}L % {RankMap.CELLS}L + shifts[k % {RankMap.BUCKETS}L]] ^ shiftleft(k, 20))"
+
+    def part(own: str, key: str) -> str:  # first byte and id of a part, and the key of the pair it begins, which an aggregate over one element binds
+        return f"aggregate(array({key}), {own}, (z, k) -> shiftleft({rank}, 25) + z)"
+
+    joined = part("(m & 33488896L) + shiftright(m, 25)", "shiftleft(shiftright(m, 25), 16) + (u[q + 1] & 65535L)")
+    before = part("x & 33554431L", "shiftleft(x & 65535L, 16) + shiftright(m, 25)")
+    step = f"""aggregate(array(array_min(s)), s, (t, m) -> if(m >= {none}L, t, aggregate(array(int(array_position(t, m))), t, (u, q) ->
+        transform(filter(u, (x, i) -> i != q), (x, i) -> if(i > q - 1 or i < q - 2, x, if(i = q - 1, {joined}, {before}))))))"""
+    fold_all = f"transform(aggregate(slice({word}, 4, size({word})), {word}, (s, x) -> {step}, s -> slice(s, 2, size(s) - 2)), x -> x & 65535L)"
+    return f"if({word}[0] < 0, slice({word}, 2, size({word})), {fold_all})"
+
 
+def _starts(words: list[bytes], ranks: dict[bytes, int], begin: np.ndarray) -> pa.ListArray:
+    """What the fold takes for words: their bytes, each with the rank of the pair it begins, between two edges.
 
-def with_ranks(body: str, known: RankMap) -> Column:
-    """``body`` with the rank map as literals; arrays of one element bind them, so that each stands in the plan once."""
-    cells, shifts = (f"cast(split('{','.join(map(str, x))}', ',') as array<bigint>)" for x in (known.cells, known.shift))
-    return F.expr(f"transform(array({cells}), cells -> transform(array({shifts}), shifts -> {body})[0])[0]")
+    A whole piece is one id, and a word of over ``_LONG`` bytes has ids folded with a heap; such ids come after a -1.
+    """
+    get, edge = ranks.get, (RankMap.NONE << 25) + RankMap.EDGE
+    ready = [[-1, whole] if (whole := get(w)) is not None else [-1, *_fold_long(w, ranks)] if len(w) > _LONG else None for w in words]
+    size = np.fromiter((len(w) + 2 if r is None else len(r) for w, r in zip(words, ready)), np.int64, len(words))
+    is_ready = np.fromiter((r is not None for r in ready), bool, len(words))
+    left = np.frombuffer(b"".join(w for w, r in zip(words, ready) if r is None), np.uint8).astype(np.int64)
+    ends = np.cumsum(size[~is_ready] - 2)
+    right = np.append(left[1:], 256)[: len(left)]
+    right[ends - 1] = 256  # no byte after the last
+    place = np.arange(1, len(left) + 1) - np.repeat(np.r_[0, ends[:-1]][: len(ends)], size[~is_ready] - 2)
+    inner = np.ones(int(size[~is_ready].sum()), bool)
+    stops = np.cumsum(size[~is_ready])
+    inner[stops - 1] = inner[stops - size[~is_ready]] = False
+    plain = np.full(len(inner), edge)
+    plain[inner] = begin[left * 257 + right] + (place << 16)
+    out = np.empty(int(size.sum()), np.int64)
+    which = np.repeat(is_ready, size)
+    out[~which] = plain
+    out[which] = [x for r in ready if r is not None for x in r]
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(out))
+
+
+def with_ranks(body: str, known: RankMap, kind: str) -> Column:
+    """``body``, of the SQL type ``kind``, with the rank map as literals.
+
+    Aggregates over one element bind them, so that each stands in the plan once and no result is copied.
+    """
+    for name, values in (("cells", known.cells), ("shifts", known.shift)):
+        body = f"aggregate(array(cast(split('{','.join(map(str, values))}', ',') as array<bigint>)), cast(array() as {kind}), (none, {name}) -> {body})"
+    return F.expr(body)
 
 
-def _handed_on(at: int, pattern: str, ranks: dict[bytes, int], newer: str, remembered: int):
-    """Rows of the columns, then seq (a document's words, as places in the list of words), words (new ones' byte ids) and restart.
+def _handed_on(at: int, kept: list[int], pattern: str, ranks: dict[bytes, int], begin: np.ndarray, newer: str, remembered: int):
+    """Rows of the columns in ``kept``, then seq (a document's words, as places in the list of words), words (new ones, as ``_starts`` has them) and restart.
 
     New words go before the first document that has them. When over ``remembered`` words are
     listed, the list starts again.
@@ -203,7 +237,6 @@ def _handed_on(at: int, pattern: str, ranks: dict[bytes, int], newer: str, remem
 
     def run(batches):
         split = Splitter(pattern, newer)
-        single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         place: dict[str, int] = {}
         for b in batches:
             for s in range(0, b.num_rows, 500):
@@ -214,32 +247,24 @@ def _handed_on(at: int, pattern: str, ranks: dict[bytes, int], newer: str, remem
                     words = split.findall(t.as_py() or "")
                     fresh = list(set(words).difference(place))
                     if len(place) + len(fresh) > remembered and place:
-                        yield from flush(part, a, i, seqs, new, restart, single)
+                        yield from flush(part, a, i, seqs, new, restart)
                         place, new, seqs, a, restart = {}, [], [], i, True
                         fresh = list(set(words))
                     place.update(zip(fresh, range(len(place), len(place) + len(fresh))))
                     new += fresh
                     seqs.append(np.fromiter(map(place.__getitem__, words), "<u4", len(words)).tobytes())
                     if len(new) >= _BLOCK:
-                        yield from flush(part, a, i + 1, seqs, new, restart, single)
+                        yield from flush(part, a, i + 1, seqs, new, restart)
                         new, seqs, a, restart = [], [], i + 1, False
-                yield from flush(part, a, part.num_rows, seqs, new, restart, single)
+                yield from flush(part, a, part.num_rows, seqs, new, restart)
 
-    def flush(part, a, z, seqs, new, restart, single):
-        columns = [c.slice(a, z - a) for c in part.columns]
-        names = [*part.schema.names, "seq", "words", "restart"]
+    def flush(part, a, z, seqs, new, restart):
+        columns = [part.column(i).slice(a, z - a) for i in kept]
+        names = [*(part.schema.names[i] for i in kept), "seq", "words", "restart"]
         kind = pa.list_(pa.list_(pa.int64()))
         for k in range(0, len(new), _BLOCK):
             some = [utf8(w) for w in new[k : k + _BLOCK]]
-            ids = [_start(w, ranks) for w in some]
-            flat = single[np.frombuffer(b"".join(w if i is None else b"" for w, i in zip(some, ids)), np.uint8)]
-            size = np.array([len(w) if i is None else len(i) for w, i in zip(some, ids)], np.int64)
-            ends = np.r_[0, np.cumsum(size)]
-            out = np.empty(ends[-1], np.int64)
-            known = np.repeat([i is not None for i in ids], size)
-            out[~known] = flat
-            out[known] = [x for i in ids if i is not None for x in i]
-            words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(out))
+            words = _starts(some, ranks, begin)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.nulls(1, c.type) for c in columns), pa.nulls(1, pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), words), pa.array([restart and not k])], names=names
             )
@@ -249,19 +274,15 @@ def _handed_on(at: int, pattern: str, ranks: dict[bytes, int], newer: str, remem
     return run
 
 
-def _start(word: bytes, ranks: dict[bytes, int]) -> list[int] | None:
-    """A whole piece is one id, and a long word comes folded, which the fold then leaves as it is."""
-    whole = ranks.get(word)
-    return [whole] if whole is not None else _fold_long(word, ranks) if len(word) > _LONG else None
-
-
 class _Ids:
-    """Ids of the words listed so far, laid end to end."""
+    """Ids of the words listed so far, laid end to end, and if ``pieces`` are given what the ids decode to, each word's pieces concatenated."""
 
-    def __init__(self):
+    def __init__(self, pieces: dict[int, bytes] | None):
+        self.pieces = pieces
         self.clear()
 
     def clear(self):
+        self.decoded: list[bytes] = []
         self.flat, self.ends, self.n, self.m = np.zeros(1 << 16, "<u4"), np.zeros(1 << 14, np.int64), 0, 0
 
     def add(self, words: pa.ListArray):
@@ -274,6 +295,12 @@ class _Ids:
         self.flat[self.n : self.n + len(ids)] = ids
         self.ends[self.m + 1 : self.m + 1 + len(size)] = self.n + np.cumsum(size)
         self.n, self.m = self.n + len(ids), self.m + len(size)
+        if self.pieces is not None:
+            each, ends = list(map(self.pieces.__getitem__, ids.tolist())), np.cumsum(size).tolist()
+            self.decoded += [b"".join(each[a:z]) for a, z in zip([0, *ends], ends)]
+
+    def text(self, seq: bytes) -> bytes:
+        return b"".join(map(self.decoded.__getitem__, np.frombuffer(seq, "<u4").tolist()))
 
     def of(self, seq: bytes) -> np.ndarray:
         at = np.frombuffer(seq, "<u4")
@@ -283,27 +310,29 @@ class _Ids:
         return self.flat[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def _encoded(docs: DataFrame, path: str, pattern: str, remembered: int, finish, schema: T.StructType) -> DataFrame:
-    """``finish(columns, ids of each document)`` of every document, ids coming from the higher-order fold over distinct words."""
+def _encoded(docs: DataFrame, kept: list[str], path: str, pattern: str, remembered: int, finish, schema: T.StructType, decoded: bool = False) -> DataFrame:
+    """``finish(columns in kept, ids of each document, and what they decode to)`` of every document, ids coming from the higher-order fold over distinct words."""
     ranks, spark = read_ranks(path), docs.sparkSession
-    shared = spark.sparkContext.broadcast((ranks, newer_letters()))
+    rank_map = RankMap.of(ranks)
+    shared = spark.sparkContext.broadcast((ranks, np.array(rank_map.begin), newer_letters()))
     plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # names that can't clash
-    arrow = T.StructType([*(T.StructField(f.name, f.dataType) for f in plain.schema.fields), *T.StructType.fromDDL("seq binary, words array<array<bigint>>, restart boolean")])
-    at = docs.columns.index("text")
+    at, places = docs.columns.index("text"), [docs.columns.index(c) for c in kept]
+    names = [f"c{i}" for i in places]
+    arrow = T.StructType([*(T.StructField(c, plain.schema[c].dataType) for c in names), *T.StructType.fromDDL("seq binary, words array<array<bigint>>, restart boolean")])
 
     def split(batches):
-        known, newer = shared.value
-        yield from _handed_on(at, pattern, known, newer, remembered)(batches)
+        yield from _handed_on(at, places, pattern, *shared.value, remembered)(batches)
 
     def gather(batches):
-        ids = _Ids()
+        ids = _Ids({i: b for b, i in shared.value[0].items()} if decoded else None)
         for b in batches:
             *columns, seqs, words, restarts = b.columns
             is_words = words.is_valid().to_numpy(zero_copy_only=False)
             edges = np.flatnonzero(np.r_[True, is_words[1:] != is_words[:-1], True]) if b.num_rows else []
             for a, z in zip(edges[:-1], edges[1:]):
                 if not is_words[a]:
-                    yield finish([c.slice(a, z - a) for c in columns], [ids.of(x.as_py()) for x in seqs.slice(a, z - a)])
+                    some = [x.as_py() for x in seqs.slice(a, z - a)]
+                    yield finish([c.slice(a, z - a) for c in columns], [ids.of(x) for x in some], [ids.text(x) for x in some] if decoded else [])
                     continue
                 for i in range(a, z):
                     if restarts[i].as_py():
@@ -311,11 +340,11 @@ def _encoded(docs: DataFrame, path: str, pattern: str, remembered: int, finish,
                     ids.add(words[i].values)
 
     rows = plain.mapInArrow(split, arrow)
-    fold = with_ranks(f"transform(words, w -> {fold_sql('w')})", RankMap.of(ranks))
-    return rows.select(*plain.columns, "seq", fold.alias("words"), "restart").mapInArrow(gather, schema)
+    fold = with_ranks(f"transform(words, w -> {fold_sql('w')})", rank_map, "array<array<bigint>>")
+    return rows.select(*names, "seq", fold.alias("words"), "restart").mapInArrow(gather, schema)
 
 
-def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 1_000_000, column: str = "tokens") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 500_000, column: str = "tokens") -> DataFrame:
     """Return ``docs`` with ``column``: the ids of each whole text, as little-endian unsigned 32-bit integers.
 
     Each match of ``pattern`` is encoded separately and no special tokens are made. Null and
@@ -327,7 +356,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
     """
     docs = docs.drop(column)
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.BinaryType())])
-    return _encoded(docs, path, pattern, remembered, lambda columns, ids: pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for x in ids], pa.binary())], names=schema.names), schema)
+    return _encoded(docs, docs.columns, path, pattern, remembered, lambda columns, ids, _: pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for x in ids], pa.binary())], names=schema.names), schema)
 
 
 def decode(tokens: DataFrame, path: str, column: str = "tokens", decoded: str = "decoded") -> DataFrame:
@@ -357,30 +386,31 @@ def fold_words(words: DataFrame, path: str, column: str = "word", ids: str = "id
     """
     ranks = read_ranks(path)
     known = RankMap.of(ranks)
-    name = f"`{column.replace('`', '``')}`"
-    single = f"array({','.join(f'{i}L' for i in known.single)})"
-    pieces = f"""transform(array({single}), one -> transform(sequence(1, octet_length({name})), i -> one[cast(conv(hex(substring({name}, i, 1)), 16, 10) as int)]))[0]"""
-    letters = f"case when {name} is null then null when octet_length({name}) = 0 then cast(array() as array<bigint>) when octet_length({name}) > {_LONG} then raise_error('a word of over {_LONG} bytes') else {pieces} end"
-    return words.drop(ids).withColumn(ids, with_ranks(f"transform(array({letters}), w -> {fold_sql('w')})[0]", known).cast("array<int>"))
+    name, edge = f"`{column.replace('`', '``')}`", (RankMap.NONE << 25) + RankMap.EDGE
+    begins = f"cast(split('{','.join(map(str, known.begin))}', ',') as array<bigint>)"
+    byte = lambda i: f"coalesce(cast(conv(hex(substring({name}, {i}, 1)), 16, 10) as int), 256)"  # noqa: E731 none past the end
+    letters = f"transform(sequence(1, octet_length({name})), i -> begins[{byte('i')} * 257 + {byte('if(i < octet_length(' + name + '), i + 1, null)')}] + i * 65536L)"
+    start = f"concat(array({edge}L), aggregate(array({begins}), cast(array() as array<bigint>), (none, begins) -> {letters}), array({edge}L))"
+    whole = f"case when octet_length({name}) > {_LONG} then raise_error('a word of over {_LONG} bytes') else {start} end"
+    fold = f"case when {name} is null then null when octet_length({name}) = 0 then cast(array() as array<bigint>) else transform(array({whole}), w -> {fold_sql('w')})[0] end"
+    return words.drop(ids).withColumn(ids, with_ranks(fold, known, "array<bigint>").cast("array<int>"))
 
 
-def digest(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 1_000_000) -> DataFrame:
+def digest(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 500_000) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text, encoded and decoded.
 
-    The same fold and the same pieces as ``encode`` and ``decode``, in one pass, so that ids needn't leave the task. Null and
+    The same fold and the same pieces as ``encode`` and ``decode``, in one pass, so that ids needn't leave the task; a word's pieces are
+    concatenated once, and a text from its words. Null and
     empty texts have no ids and decode to no bytes; repeated rows and rows without a doc_id have a digest each; an empty table gives an empty
     one; extra columns are left out.
     """
-    pieces = docs.sparkSession.sparkContext.broadcast({i: b for b, i in read_ranks(path).items()})
     schema = T.StructType([docs.schema["doc_id"], *T.StructType.fromDDL("n_tokens long, ids_sha256 string, decoded_sha256 string")])
 
-    def finish(columns, ids):
-        piece = pieces.value.__getitem__
-        text = (b"".join(map(piece, x.tolist())) for x in ids)
+    def finish(columns, ids, text):
         made = [pa.array([len(x) for x in ids], pa.int64()), pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]), pa.array([hashlib.sha256(x).hexdigest() for x in text])]
         return pa.RecordBatch.from_arrays([columns[0], *made], names=schema.names)
 
-    return _encoded(docs.select("doc_id", "text"), path, pattern, remembered, finish, schema)
+    return _encoded(docs.select("doc_id", "text"), ["doc_id"], path, pattern, remembered, finish, schema, decoded=True)
 
 
 def stage(docs: DataFrame) -> DataFrame:

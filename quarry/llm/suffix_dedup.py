@@ -10,13 +10,13 @@ Texts are cut into blocks first, so that collections are independent of each oth
 a run of windows of ``span`` bytes with one minimiser, equal windows have equal minimisers, and so
 all places of a window come to one collection. A block whose minimiser no other block has can
 hold a repeated window only if its minimiser stands in it twice, as in a line of dashes; the others
-of these stay behind.
+of these stay behind. A collection's order and common prefixes are kept in files, which every round
+reads and writes from end to end.
 """
 
 from __future__ import annotations
 
 import os
-import shutil
 import struct
 import tempfile
 from collections.abc import Iterator
@@ -30,11 +30,12 @@ from xxhash import xxh3_128_digest
 from quarry.llm.tables import table, utf8
 from quarry.operators.state import cut
 
-SPAN, GRAM, SYMBOL = 200, 48, 8
+SPAN, GRAM = 200, 48
 RUN = 256  # windows in a block at most
 _SEGMENT = 1 << 20
 _COLLECTION = 1 << 19  # bytes of blocks that are ordered together, unless one minimiser has more
-_HELD = 1 << 25  # bytes of one minimiser's blocks that are held in memory
+_HELD = 1 << 22  # bytes of one minimiser's blocks that are held in memory
+_LEVELS = 64  # rounds of dealing by a further minimiser; by then blocks are single windows, and different ones have parted
 
 
 class _Grams:
@@ -144,59 +145,197 @@ def _least_between(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.
     return out
 
 
-def repeated_windows(blocks: list[bytes], weights: list[int], span: int = SPAN) -> list[np.ndarray]:
+def local_folder() -> str | None:
+    """A folder for a task's own files: one of those that Spark itself spills to (None: the system's, outside of a task)."""
+    return next(filter(os.path.isdir, os.environ.get("SPARK_LOCAL_DIRS", "").split(",")), None)
+
+
+class Scratch:
+    """The order of a growing collection of suffixes, in files that are read and written from end to end each round.
+
+    For each suffix, in order, ``key`` has its first symbol << 32 | the place of the rest of it, which is the transform as
+    a list of where each suffix's rest is; ``where`` the byte at which it starts; ``common`` the symbols
+    that it shares with the suffix before it. Every round reads the old files in chunks and writes new ones, so memory is
+    a chunk's, and what the collection's documents need. The files have no names, and go with the task.
+    """
+
+    TYPES = {"key": np.dtype("<i8"), "where": np.dtype("<i4"), "common": np.dtype("u1")}
+
+    def __init__(self, chunk: int = 1 << 18):
+        self.chunk = chunk
+        self.files = {c: [tempfile.TemporaryFile(dir=local_folder(), buffering=0) for _ in range(2)] for c in self.TYPES}
+        self.now = 0
+
+    def _chunks(self, column: str) -> Iterator[np.ndarray]:
+        f, kind = self.files[column][self.now], self.TYPES[column]
+        f.seek(0)
+        while raw := f.read(self.chunk * kind.itemsize):
+            yield np.frombuffer(raw, kind)
+
+    def _write(self, column: str, values: np.ndarray) -> None:
+        self.files[column][1 - self.now].write(memoryview(np.ascontiguousarray(values, self.TYPES[column])))
+
+    def _turn(self) -> None:
+        """What was written is read from now on."""
+        self.now = 1 - self.now
+        for pair in self.files.values():
+            pair[1 - self.now].seek(0)
+            pair[1 - self.now].truncate()
+
+    def start(self, empty: int) -> None:
+        """``empty`` suffixes of no symbol, which come first."""
+        self._turn()
+        self._write("key", np.arange(-empty, 0, dtype=np.int64))
+        self._write("where", np.full(empty, -1))
+        self._write("common", np.zeros(empty))
+        self._turn()
+        self.size, self.moved = empty, None
+
+    def insert(self, new: np.ndarray, at: np.ndarray, need: int) -> np.ndarray:
+        """Insert sorted keys (first symbol << 32 | place of the rest), which start at bytes ``at``; their places in the new order.
+
+        A suffix and the one before it share one symbol more than their rests do, if they begin alike: the
+        least of ``common`` on the way between the rests.
+        """
+        low = np.int64((1 << 32) - 1)
+        to, n_old, done = np.empty(len(new), np.int64), 0, 0
+        previous, after_new = np.int64(-1), False
+        near, left, right, parts = [], [], [], []
+        for old in self._chunks("key"):
+            if self.moved is not None:  # the last round's insertions moved the rests; empty suffixes have none
+                real = old >= 0
+                old = np.where(real, old + self.moved[np.where(real, old & low, 0)], old)
+            end = len(new) if n_old + len(old) == self.size else int(np.searchsorted(new, old[-1]))
+            here = np.searchsorted(old, new[done:end]) + np.arange(end - done)
+            is_old = np.ones(len(old) + end - done, bool)
+            is_old[here] = False
+            merged = np.empty(len(is_old), np.int64)
+            merged[here], merged[is_old] = new[done:end], old
+            self._write("key", merged)
+            beside = np.flatnonzero(~is_old | np.r_[after_new, ~is_old[:-1]])  # new suffixes, and those right behind one
+            near.append(beside + n_old + done)
+            left.append(np.r_[previous, merged[:-1]][beside])
+            right.append(merged[beside])
+            to[done:end] = here + n_old + done
+            previous, after_new = merged[-1], not is_old[-1]
+            parts.append((done, end))
+            n_old, done = n_old + len(old), end
+        near, a, b = np.concatenate(near), np.concatenate(left), np.concatenate(right)
+        alike = (a >> 32 == b >> 32) & (a >= 0)
+        shared = np.zeros(len(near), np.int64)
+        shared[alike] = np.minimum(need, self._least((a[alike] & low) + 1, b[alike] & low) + 1)
+        self._merge(parts, to, at, near, shared)
+        ins = to - np.arange(len(to))  # old places that the new ones stand before
+        self.moved = np.cumsum(np.bincount(ins, minlength=n_old + 1))[:n_old]
+        self.size = n_old + len(new)
+        return to
+
+    def _least(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Least of ``common`` from first to last, both included, for many ranges; empty ranges have 255."""
+        out, begin = np.full(len(first), 255, np.int64), 0
+        for chunk in self._chunks("common"):
+            here = np.flatnonzero((first < begin + len(chunk)) & (last >= begin) & (first <= last))
+            if len(here):
+                out[here] = np.minimum(out[here], _least_between(chunk, np.maximum(first[here] - begin, 0), np.minimum(last[here] - begin, len(chunk) - 1)))
+            begin += len(chunk)
+        return out
+
+    def _merge(self, parts: list[tuple[int, int]], to: np.ndarray, at: np.ndarray, near: np.ndarray, shared: np.ndarray) -> None:
+        """Write where and common with the new suffixes at ``to``, those of ``parts`` in each chunk, and ``shared`` at the places ``near``."""
+        begin = 0
+        for (a, z), where, common in zip(parts, self._chunks("where"), self._chunks("common")):
+            n = len(where) + z - a
+            is_old = np.ones(n, bool)
+            here = to[a:z] - begin
+            is_old[here] = False
+            w, c = np.empty(n, np.int32), np.empty(n, np.uint8)
+            w[here], w[is_old], c[is_old] = at[a:z], where, common
+            k = slice(*np.searchsorted(near, (begin, begin + n)))
+            c[near[k] - begin] = shared[k]
+            self._write("where", w)
+            self._write("common", c)
+            begin += n
+        self._turn()
+
+    def finished(self, empty: int) -> tuple[np.ndarray, np.ndarray]:
+        """(where, common) without the empty suffixes."""
+        return tuple(np.concatenate(list(self._chunks(c)))[empty:] for c in ("where", "common"))
+
+
+def symbol_bytes(span: int) -> int:
+    """Bytes of a symbol: the largest part of a window that goes into it five times or more."""
+    return max(d for d in range(1, span // 5 + 1) if span % d == 0)
+
+
+def symbols(data: np.ndarray, wide: int) -> np.ndarray:
+    """A number for the ``wide`` bytes at each place, equal for equal bytes and in one order; past the last whole symbol, 0.
+
+    Hashes give the order, and the bytes of equal ones are compared: a hash that two different symbols share is left for another.
+    """
+    n = len(data) - wide + 1
+    out = np.zeros(len(data), np.int64)
+    if n < 1:
+        return out
+    eight = np.zeros(len(data) + 8, np.uint64)
+    padded = np.r_[data, np.zeros(8, np.uint8)]
+    for t in range(8):
+        eight[: len(data)] |= padded[t : t + len(data)].astype(np.uint64) << np.uint64(8 * t)
+    steps = [*range(0, wide - 7, 8)] + ([wide - 8] if wide > 8 and wide % 8 else [])
+    for seed in range(1, 64):
+        h = _grams(wide, seed).of(data)
+        order = np.argsort(h)
+        a, b = order[:-1], order[1:]
+        new = h[b] != h[a]
+        same = np.flatnonzero(~new)
+        a, b = a[same], b[same]
+        if wide < 8:
+            ok = all((data[a + t] == data[b + t]).all() for t in range(wide))
+        else:
+            ok = all((eight[a + t] == eight[b + t]).all() for t in steps)
+        if ok:
+            out[order] = np.r_[0, np.cumsum(new)]
+            return out
+    raise ValueError("no hash tells the symbols apart")
+
+
+_known_grams: dict[tuple[int, int], _Grams] = {}
+
+
+def _grams(wide: int, seed: int) -> _Grams:
+    return _known_grams.setdefault((wide, seed), _Grams(wide, seed))
+
+
+def repeated_windows(blocks: list[bytes], weights: list[int], span: int = SPAN, scratch: Scratch | None = None) -> list[np.ndarray]:
     """For each block, runs (first, last) of windows of ``span`` bytes that weigh 2 or more in the collection.
 
-    A symbol is SYMBOL bytes, and each block gives SYMBOL documents, one for each phase, so that every
-    window is the first span / SYMBOL symbols of one suffix. ``key`` holds for each suffix, in order,
-    its first symbol and the place of the rest of it; ``common`` the symbols that it shares
-    with the suffix before it, as far as a window needs.
+    A symbol is ``symbol_bytes(span)`` bytes, and each block gives as many documents, one for each phase, so that every
+    window is the first few symbols of one suffix. A round inserts one symbol of each document, and
+    transform and common prefixes pass through the files of ``scratch``.
     """
     data = np.frombuffer(b"".join(blocks), np.uint8)
     lengths = np.array([len(b) for b in blocks])
     starts = np.cumsum(lengths) - lengths
-    wide = np.zeros(len(data), np.uint64)
-    for t in range(SYMBOL):
-        wide[: len(data) - t] |= data[t:].astype(np.uint64) << np.uint64(8 * t)
-    symbol = np.unique(wide, return_inverse=True)[1].astype(np.int64) << 32
-    phase = (starts[:, None] + np.arange(SYMBOL)).ravel()
-    rounds = (np.repeat(starts + lengths, SYMBOL) - phase) // SYMBOL
+    wide = symbol_bytes(span)
+    symbol = symbols(data, wide) << 32
+    phase = (starts[:, None] + np.arange(wide)).ravel()
+    rounds = (np.repeat(starts + lengths, wide) - phase) // wide
     order = np.argsort(-rounds, kind="stable")
     phase, rounds = phase[order], rounds[order]
-    last = phase + SYMBOL * (rounds - 1)
-    m, low, need = len(phase), np.int64((1 << 32) - 1), span // SYMBOL
+    last = phase + wide * (rounds - 1)
+    m, low, need = len(phase), np.int64((1 << 32) - 1), span // wide
 
-    key = np.arange(-m, 0, dtype=np.int64)  # the empty suffixes come first
-    where = np.full(m, -1, np.int32)
-    common = np.zeros(m, np.uint8)
+    files = scratch or Scratch()
+    files.start(m)
     place = np.arange(m)
     for r in range(int(rounds[0])):
         live = int(np.searchsorted(-rounds, -r, side="left"))  # documents of over r symbols stand first
-        at = last[:live] - SYMBOL * r
+        at = last[:live] - wide * r
         new = symbol[at] | place[:live]
         by = np.argsort(new)
-        new = new[by]
-        to = np.searchsorted(key, new) + np.arange(live)
-        old = np.ones(len(key) + live, bool)
-        old[to] = False
-        near = ~old
-        near[1:] |= ~old[:-1]
-        near = np.flatnonzero(near)
-        moved = np.flatnonzero(old)
-        key2, where2, common2 = np.empty(len(old), np.int64), np.empty(len(old), np.int32), np.empty(len(old), np.uint8)
-        key2[to], where2[to] = new, at[by]
-        key2[moved], where2[moved], common2[moved] = key, where, common
-        a, b = key2[near - 1], key2[near]
-        same = (a >> 32 == b >> 32) & (a >= 0)
-        common2[near] = 0
-        common2[near[same]] = np.minimum(need, _least_between(common, (a[same] & low) + 1, b[same] & low) + 1)
-        moved -= np.arange(len(moved))
-        rest = key2[m:]
-        rest += moved[rest & low]
-        key, where, common = key2, where2, common2
-        place[by] = to
-
-    where, common = where[m:], common[m:]
+        place[by] = files.insert(new[by], at[by], need)
+        # each document's suffix is where the next one's rest is
+
+    where, common = files.finished(m)
     owner = np.repeat(np.arange(len(blocks)), lengths)
     group = np.cumsum(common < need)
     weight = np.bincount(group, weights=np.array(weights, np.float64)[owner[where]])
@@ -210,7 +349,7 @@ def repeated_windows(blocks: list[bytes], weights: list[int], span: int = SPAN)
     return np.split(runs, np.searchsorted(b, np.arange(1, len(blocks))))
 
 
-def _ordered(rows: list[tuple[bytes, int, bytes, int]], span: int) -> Iterator[tuple[bytes, int, np.ndarray]]:
+def _ordered(rows: list[tuple[bytes, int, bytes, int]], span: int, scratch: Scratch | None) -> Iterator[tuple[bytes, int, np.ndarray]]:
     """(id, first byte in the block, runs) for blocks (bytes, weight, id, first byte); equal blocks are ordered once."""
     number: dict[bytes, int] = {}
     weights: list[int] = []
@@ -219,14 +358,14 @@ def _ordered(rows: list[tuple[bytes, int, bytes, int]], span: int) -> Iterator[t
         if i == len(weights):
             weights.append(0)
         weights[i] += weight
-    runs = repeated_windows(list(number), weights, span)
+    runs = repeated_windows(list(number), weights, span, scratch)
     for data, _, name, base in rows:
         found = runs[number[data]]
         if len(found):
             yield name, base, found
 
 
-def _collections(rows: Iterator[tuple[int, bytes, int, bytes, int]], span: int, level: int = 0, held: int = _HELD) -> Iterator[tuple[bytes, int, np.ndarray]]:
+def _collections(rows: Iterator[tuple[int, bytes, int, bytes, int]], span: int, level: int = 0, held: int = _HELD, scratch: Scratch | None = None) -> Iterator[tuple[bytes, int, np.ndarray]]:
     """Order blocks (minimiser, bytes, weight, id, first byte), which come sorted by minimiser, in collections.
 
     Several minimisers make one collection. One that has over ``held`` bytes of different
@@ -240,7 +379,7 @@ def _collections(rows: Iterator[tuple[int, bytes, int, bytes, int]], span: int,
 
     def spill():
         nonlocal mine, spool
-        spool = spool or _Spool(level + 1, span, held)
+        spool = spool or _Spool(level + 1, span, held, scratch)
         for data, all_of in group.items():
             for w, name, base in all_of:
                 spool.add(data, w, name, base)
@@ -263,28 +402,27 @@ def _collections(rows: Iterator[tuple[int, bytes, int, bytes, int]], span: int,
             yield from close()
             now, spool = minimiser, None
             if size >= _COLLECTION:
-                yield from _ordered(ready, span)
+                yield from _ordered(ready, span, scratch)
                 ready, size = [], 0
         if data not in group:
             mine += len(data)
         group.setdefault(data, []).append((weight, name, base))
-        if mine > held and level < 4:
+        if mine > held and level < _LEVELS:
             spill()
     yield from close()
     if ready:
-        yield from _ordered(ready, span)
+        yield from _ordered(ready, span, scratch)
 
 
 class _Spool:
-    """Files of blocks in a task's own temporary folder, gone when they are read."""
+    """Files of blocks, without names, where Spark itself spills; gone when they are read, or with the task."""
 
     FILES = 64
 
-    def __init__(self, level: int, span: int, held: int):
-        self.level, self.span, self.held = level, span, held
+    def __init__(self, level: int, span: int, held: int, scratch: Scratch | None):
+        self.level, self.span, self.held, self.scratch = level, span, held, scratch
         self.grams = _Grams(16, level)
-        self.folder = tempfile.mkdtemp()
-        self.files = [open(os.path.join(self.folder, str(i)), "w+b") for i in range(self.FILES)]
+        self.files = [tempfile.TemporaryFile(dir=local_folder()) for _ in range(self.FILES)]
 
     def add(self, data: bytes, weight: int, name: bytes, base: int) -> None:
         _, start, n, key, _ = blocks_of([data], self.grams, self.span)
@@ -308,10 +446,11 @@ class _Spool:
                         f.seek(at)
                         yield k, f.read(n), weight, name, base
 
-                yield from _collections(read(), self.span, self.level, self.held)
+                yield from _collections(read(), self.span, self.level, self.held, self.scratch)
                 f.close()
         finally:
-            shutil.rmtree(self.folder, ignore_errors=True)
+            for f in self.files:
+                f.close()
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -325,17 +464,28 @@ def _find_blocks(span: int):
             for s in range(0, b.num_rows, 500):
                 p = b.slice(s, 500)
                 text, start, n, key, twice = blocks_of([utf8(t.as_py()) for t in p.column(2)], grams, span)
-                if len(text):
-                    yield pa.RecordBatch.from_arrays([pa.array(key), p.column(0).take(pa.array(text)), p.column(1).take(pa.array(text)), pa.array(start), pa.array(n), pa.array(twice)], names=["key", "k1", "k2", "start", "n", "twice"])
+                if not len(text):
+                    continue
+                _, group, many = np.unique(key, return_inverse=True, return_counts=True)
+                sure = (many[group] > 1) | twice
+                one = np.full(len(many), -1)
+                one[group[sure]] = np.flatnonzero(sure)
+                one = one[one >= 0]
+                at = pa.array(np.r_[text, text[one]])
+                state = np.r_[np.where(sure, _SURE, _OPEN), np.full(len(one), _WITNESS)].astype(np.int8)
+                columns = [np.r_[key, key[one]], p.column(0).take(at), p.column(1).take(at), np.r_[start, start[one]], np.r_[n, n[one]], state]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=["key", "k1", "k2", "start", "n", "state"])
 
     return run
 
 
-BLOCK = "key long, k1 long, k2 long, start long, n long, twice boolean"
+BLOCK = "key long, k1 long, k2 long, start long, n long, state byte"
+#: A block whose minimiser may be its own alone; one that surely shares it; and a word to the others that such a one is there.
+_OPEN, _SURE, _WITNESS = 0, 1, 2
 
 
 def _keep_shared(batches):
-    """Of rows sorted by minimiser, those that have a neighbour with the same one, or theirs twice."""
+    """Of rows sorted by minimiser, those that have a neighbour with the same one, and those that are sure; witnesses stay behind."""
     held = None
     for b in batches:
         if not b.num_rows:
@@ -347,11 +497,13 @@ def _keep_shared(batches):
             first = False
         key = b.column(0).to_numpy()
         equal = key[1:] == key[:-1]
-        keep = np.r_[equal, False] | np.r_[first, equal] | b.column(5).to_numpy(zero_copy_only=False)
+        state = b.column(5).to_numpy()
+        near = np.r_[equal, False] | np.r_[first, equal]
         if b.num_rows > 1:
+            keep = (near | (state == _SURE)) & (state != _WITNESS)
             yield b.filter(pa.array(np.r_[keep[:-1], False]))
-        held, shared = b.slice(b.num_rows - 1, 1), bool(keep[-1])
-    if held is not None and shared:
+        held, shared = b.slice(b.num_rows - 1, 1), bool(near[-1])
+    if held is not None and (shared or state[-1] == _SURE) and state[-1] != _WITNESS:
         yield held
 
 
@@ -402,7 +554,7 @@ def _order_blocks(span: int, held: int):
 
     def run(batches):
         out: dict[bytes, list[np.ndarray]] = {}
-        for name, base, runs in _collections(rows(batches), span, held=held):
+        for name, base, runs in _collections(rows(batches), span, held=held, scratch=Scratch()):
             out.setdefault(name, []).append(runs + np.int32(base))
             if len(out) >= 20_000:
                 yield pack(out)
@@ -446,22 +598,25 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, held: int = _HELD) -> Data
     places of all texts, the same one included; places may overlap, none crosses documents, and all
     are judged on the input. ``spans`` are the maximal runs of bytes removed, ``kept`` the rest
     joined. Null and empty texts have no bytes; those under ``span`` bytes keep all. Repeated
-    rows repeat each other's strings. An empty table gives an empty one. Extra columns are left out.
+    rows repeat each other's strings; a null doc_id is one like any other. An empty table gives an empty one. Extra columns are left out,
+    whatever their names.
 
     Equal blocks are merged in each batch before they are dealt by minimiser; a minimiser
-    with over ``held`` bytes of different blocks is ordered through files. Only the blocks and
+    with over ``held`` bytes of different blocks is dealt again, through files, by further minimisers. Only the blocks and
     runs of one document are gathered, with its text.
     """
-    keyed = _keyed(docs)
+    keyed = _keyed(docs.select("doc_id", "text"))
     found = keyed.select("k1", "k2", "text").mapInArrow(_find_blocks(span), BLOCK)
-    shared = cut(found.repartition("key").sortWithinPartitions("key").mapInArrow(_keep_shared, BLOCK))
+    # a hot minimiser's blocks are sure of it in their own batch: they are spread, and a witness a batch goes to its task
+    to = F.when(F.col("state") == _SURE, F.xxhash64("k1", "k2", "start")).otherwise(F.col("key"))
+    shared = cut(found.repartition(to).sortWithinPartitions("key").mapInArrow(_keep_shared, BLOCK))
     own = shared.groupBy("k1", "k2").agg(F.collect_set(F.struct("key", "start", "n")).alias("blocks")).select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), "blocks")
     rows = keyed.join(own, (F.col("k1") == F.col("b1")) & (F.col("k2") == F.col("b2")))
     # both select doc_id, so that texts are shuffled once for this join and the last
     blocks = rows.select("text", "blocks", "doc_id").mapInArrow(_blocks_with_bytes(span), "key long, data binary, weight long")
     runs = blocks.repartition("key").sortWithinPartitions("key").mapInArrow(_order_blocks(span, held), "name binary, runs binary")
     places = rows.select("text", "blocks", "k1", "k2", "doc_id").mapInArrow(_places(span), "name binary, k1 long, k2 long, start long")
-    covered = places.join(runs, "name").groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "runs")).alias("places"))
+    covered = places.join(runs, "name").groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "runs")).alias("places"))  # equal rows have equal places
     covered = covered.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), "places")
     whole = keyed.join(covered, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left").select("doc_id", "text", "places")
     kind = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -216,3 +217,65 @@ def test_stages_leave_columns_of_any_name_alone(clashing):
     assert sorted(len(r.text.split("\n")) for r in lines.collect()) == [1, 1, 2]
     near = simhash.stage(clashing)
     assert near.columns == clashing.columns and others(near.collect()) == others([before[0], before[2]])
+
+
+def brute_weighted(blocks, weights, span):
+    seen = Counter()
+    for b, w in zip(blocks, weights):
+        for i in range(len(b) - span + 1):
+            seen[b[i : i + span]] += w
+    return [[i for i in range(len(b) - span + 1) if seen[b[i : i + span]] > 1] for b in blocks]
+
+
+@pytest.mark.parametrize("chunk", [3, 50, 1 << 18])
+def test_the_order_passes_through_files_in_chunks(chunk):
+    pick = random.Random(5)
+    blocks = list({bytes(pick.choice(b"ab") for _ in range(pick.randint(40, 90))) for _ in range(12)})
+    blocks += [blocks[0][:45] + blocks[1][3:50], b"a" * 70, blocks[2][10:] + b"c"]
+    weights = [1] * len(blocks)
+    weights[4] = 2
+    for span in (40, 10):
+        runs = suffix_dedup.repeated_windows(blocks, weights, span, suffix_dedup.Scratch(chunk))
+        got = [[i for a, z in r.tolist() for i in range(a, z + 1)] for r in runs]
+        assert got == brute_weighted(blocks, weights, span)
+
+
+def test_symbols_are_equal_where_the_bytes_are(monkeypatch):
+    data = np.frombuffer(b"abcabcabdabcabcabd" * 3, np.uint8)
+    for wide in (1, 2, 7, 8, 10, 16, 40):
+        got = suffix_dedup.symbols(data, wide)
+        text = data.tobytes()
+        names = [text[i : i + wide] for i in range(len(text) - wide + 1)]
+        assert [got[i] == got[j] for i in range(len(names)) for j in range(len(names))] == [a == b for a in names for b in names]
+
+
+def test_repeats_in_texts_over_a_segment(spark):
+    """A text of 3 MiB, a passage that crosses the edge of a segment, and one that only another document has."""
+    pick = random.Random(9)
+    noise = lambda n: "".join(pick.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage, other = noise(500), noise(300)
+    long = noise((1 << 20) - 250) + passage + noise((1 << 20) + 77) + passage + noise(1 << 20) + other
+    texts = [long, noise(400) + other + noise(50), noise(1000)]
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert bytes(got[0].kept).decode() == long.replace(passage, "").replace(other, "")
+    assert bytes(got[1].kept).decode() == texts[1].replace(other, "") and bytes(got[2].kept).decode() == texts[2]
+    assert [s.end - s.start for s in got[0].spans] == [500, 500, 300]
+
+
+def test_many_equal_rows_are_no_slower_than_copies(spark):
+    pick = random.Random(2)
+    text = "".join(pick.choice("abcdefgh ") for _ in range(2100))
+    took = []
+    for ids in (range(3000), [7] * 3000):
+        start = time.perf_counter()
+        rows = suffix_dedup.remove_repeats(spark.createDataFrame([(i, text) for i in ids], "doc_id long, text string")).select("n_removed").collect()
+        took.append(time.perf_counter() - start)
+        assert {r.n_removed for r in rows} == {2100} and len(rows) == 3000
+    assert took[1] < 3 * took[0] + 5
+
+
+def test_repeats_of_odd_tables(odd, none, clashing):
+    assert suffix_dedup.remove_repeats(none).count() == 0
+    assert {(r.doc_id, r.n_bytes, r.n_removed) for r in suffix_dedup.remove_repeats(odd.union(odd)).collect()} == {(None, 31, 0), (7, 0, 0)}
+    got = {r.doc_id: (r.n_removed, r.n_bytes) for r in suffix_dedup.remove_repeats(clashing, span=40).collect()}
+    assert got[0][0] == got[0][1] == got[1][0] and got[2][0] == 46

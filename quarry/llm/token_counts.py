@@ -250,8 +250,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, buckets: int |
     many, large = dealing(rows)
     many, large = buckets or many, block_bytes or large
     blocks = postings(rows, definition, many, large)
-    # the documents' own rows go to any task, pre-tokens to the one of their bucket
-    dealt = blocks.repartition(many, F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("batch"), F.lit(many))).otherwise(F.col("bucket")).cast("int"))
+    # the documents' own rows go to any task, pre-tokens to the one of their bucket, which no other bucket has
+    dealt = blocks.repartitionById(many, F.when(F.col("bucket") < 0, F.pmod(F.xxhash64("batch"), F.lit(many))).otherwise(F.col("bucket")).cast("int"))
     counted = gathered(summed(dealt, definition))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 

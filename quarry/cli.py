@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quarry import schema
 from quarry.operators import diff, graph, validate
 from quarry.plans import refresh
-from quarry.sources import envelopes, normalizers
+from quarry.sources import dictionaries, envelopes, harvest, normalizers
 from quarry.vocab import DOMAINS
 
 
@@ -30,6 +30,21 @@ def parser() -> argparse.ArgumentParser:
         if name == "refresh":
             c.add_argument("--failed", default="")
             c.add_argument("--day")
+            c.add_argument("--terms", help="a JSON file of term tables")
+    h = sub.add_parser("harvest")
+    h.add_argument("out")
+    h.add_argument("--modules", required=True, help="modules with a HARVESTER, by commas")
+    h.add_argument("--fetch", required=True, help="module:function that takes an address and gives (status, body)")
+    h.add_argument("--fast", action="store_true")
+    h.add_argument("--limit", type=int)
+    e = sub.add_parser("enrich")
+    e.add_argument("raw")
+    e.add_argument("out")
+    e.add_argument("--sources", default=",".join(normalizers.REGISTRY))
+    e.add_argument("--terms")
+    u = sub.add_parser("check-urls")
+    u.add_argument("root")
+    u.add_argument("--head", required=True, help="module:function that takes an address and gives (status, final address)")
     for name in ("validate", "graph", "diff", "gates"):
         sub.add_parser(name).add_argument("root")
     return p
@@ -49,8 +64,28 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         envelopes.write_split(records, f"{args.out}/records")
         envelopes.write_jsonl(excluded, f"{args.out}/excluded", ("native_id", "reason"))
         return 0
+    if args.command == "harvest":
+        found, errors = harvest.discover(args.modules.split(","))
+        for name, wrong in errors.items():
+            print(f"{name}: {wrong}")
+        fetch, failed = harvest.Polite(harvest.resolve(args.fetch)), 0
+        for source, one in sorted(found.items()):
+            try:
+                one.probe(fetch)
+                one.harvest(spark, fetch, args.fast, args.limit).write.mode("overwrite").json(f"{args.out}/{source}")
+            except harvest.HarvestError as wrong:
+                failed += 1
+                print(f"{source}: {wrong}")
+        return refresh.OK if found and not failed and not errors else refresh.ALL_FAILED if failed == len(found) else refresh.INVALID
+    if args.command == "enrich":
+        raw = envelopes.read_envelopes(spark, args.raw)
+        records, _ = normalizers.split(normalizers.normalize_all(raw, names))
+        texts = [normalizers.REGISTRY[s][1](raw.where(F.col("source") == s)).withColumn("source", F.lit(s)) for s in names]
+        out = refresh.apply_rules(records, reduce(lambda a, b: a.unionByName(b), texts), dictionaries.load(args.terms) if args.terms else dictionaries.DEFAULT)
+        envelopes.write_split(out, args.out)
+        return refresh.OK
     if args.command == "refresh":
-        out = refresh.run(spark, envelopes.read_envelopes(spark, args.raw), args.out, failed=[s for s in args.failed.split(",") if s], sources=names, day=args.day)
+        out = refresh.run(spark, envelopes.read_envelopes(spark, args.raw), args.out, dictionaries.load(args.terms) if args.terms else None, failed=[s for s in args.failed.split(",") if s], sources=names, day=args.day)
         print(out.changelog or f"errors: {out.errors}, warnings: {out.warnings}")
         return out.code
     store = envelopes.Snapshots(spark, f"{args.root}/catalog")
@@ -58,10 +93,17 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     if rows is None:
         print("no catalog")
         return refresh.MISCONFIGURED
+    if args.command == "check-urls":
+        for r in envelopes.status_histogram(envelopes.probe(rows.select("url").where("url IS NOT NULL"), harvest.resolve(args.head))).orderBy("status").collect():
+            print(f"{r['status']}: {r['n']}")
+        return refresh.OK
     if args.command == "validate":
         found = refresh.check(rows)
-        for r in found.groupBy("severity", "message").count().orderBy("severity", "message").limit(200).collect():
+        kinds = found.groupBy("severity", "message").count()
+        for r in kinds.orderBy("severity", "message").limit(200).collect():
             print(f"{r['severity']}: {r['message']}: {r['count']}")
+        if (more := kinds.count() - 200) > 0:
+            print(f"… and {more} more kinds of message")
         return refresh.INVALID if found.where("severity = 'error'").limit(1).count() else refresh.OK
     if args.command == "graph":
         g = refresh.graph_rows(rows)

@@ -244,3 +244,26 @@ def panel(found: DataFrame, index: DataFrame, records: DataFrame, fields: Sequen
     sides = (("r", records), ("i", index), ("n", found))
     cells = [F.coalesce(*[F.col(f"{a}.{f}") for a, df in sides if f in df.columns]).alias(f) for f in fields]
     return j.select(F.col("n.id").alias("id"), F.col("r.id").isNotNull().alias("full"), *cells)
+
+
+def index_errors(index: DataFrame, record_count: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(kind, id): live records that the search index lacks, index rows of none, and a count (one row, n) that isn't theirs."""
+    live = catalog.where(F.coalesce(F.col("record_status"), F.lit("active")) != "removed").select("id").distinct()
+    rows = index.select("id").distinct()
+    both = live.agg(F.count("*").alias("have")).withColumn("n", F.lit(None).cast("long")).unionByName(record_count.select(F.lit(None).cast("long").alias("have"), F.col("n").cast("long").alias("n")))
+    wrong = both.agg(F.max("have").alias("have"), F.max("n").alias("n")).where("have != n").select(F.lit("record_count").alias("kind"), F.col("n").cast("string").alias("id"))
+    return live.join(rows, "id", "left_anti").select(F.lit("not_indexed").alias("kind"), "id").unionByName(rows.join(live, "id", "left_anti").select(F.lit("index_only").alias("kind"), "id")).unionByName(wrong)
+
+
+def adjacency_index(edges: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, other): neighbours among known nodes, in both directions, each once; loops and links to no node are left out."""
+    return adjacency(induced(edges, ids))
+
+
+def focus(shown: DataFrame, edges: DataFrame, node: str, kind: str, pinned: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(shown ids, pinned ids) when a reader turns to a node: a record brings all its neighbours and is pinned with them, a hub unfolds."""
+    near = beside(edges, node)
+    own = near.sparkSession.createDataFrame([(node,)], "id string")
+    now = shown.select("id").unionByName(near).unionByName(own).distinct()
+    held = pinned.select("id") if pinned is not None else own.limit(0)
+    return now, (held.unionByName(near).unionByName(own).distinct() if kind == "dataset" else held)

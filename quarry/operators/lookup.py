@@ -74,3 +74,20 @@ def resolve_exact_alias_prefix(labels: DataFrame, terms: DataFrame, aliases: dic
     heads = every.join(labels.select("key").distinct(), "key", "left_semi")
     one = heads.groupBy("key").agg(F.countDistinct("value").alias("n"), F.first("value").alias("v3")).where("n = 1").select("key", "v3")
     return by_alias.join(one, "key", "left").select("key", F.coalesce("v1", "v2", "v3").alias("value"))
+
+
+AFFILIATION = "items array<struct<chosen:boolean,score:double,organization:struct<id:string,name:string,locations:array<struct<geonames_details:struct<country_code:string>>>>>>"
+
+
+def affiliations(answers: DataFrame, least: float = 0.9) -> DataFrame:
+    """(key, resolved, ror_id, name, country) from (key, body): a registry's JSON answers to names of institutions.
+
+    Only the first item counts, and only if the registry chose it with a score of ``least``; without one the key is a known negative.
+    A null body is a request that failed: ``resolved`` is false, and nothing may be remembered of it. Bodies that are no
+    such JSON say nothing, as does an answer without items.
+    """
+    top = F.get(F.from_json("body", f"struct<{AFFILIATION.replace(' ', ':', 1)}>")["items"], F.lit(0))
+    sure = F.coalesce(top["chosen"] & (top["score"] >= least), F.lit(False))
+    given = lambda c: F.when(sure, c)
+    place = F.get(top["organization"]["locations"], F.lit(0))
+    return answers.select("key", F.col("body").isNotNull().alias("resolved"), given(top["organization"]["id"]).alias("ror_id"), given(top["organization"]["name"]).alias("name"), given(place["geonames_details"]["country_code"]).alias("country"))

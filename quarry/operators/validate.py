@@ -97,6 +97,15 @@ def age_open(ledger: DataFrame, before: str) -> DataFrame:
     return ledger.withColumn("status", F.when((F.col("status") == "open") & (F.col("last_seen") < before), "stale").otherwise(F.col("status")))
 
 
+def mark(ledger: DataFrame, keys: DataFrame, status: str, known: Sequence[str] = ("open", "fixed", "wontfix", "stale")) -> DataFrame:
+    """The ledger with the status of the entries in ``keys`` (column key) set; keys that it lacks change nothing."""
+    if status not in known:
+        raise ValueError(f"{status!r} is no status")
+    chosen = keys.select(F.col("key").alias("chosen")).distinct()
+    j = ledger.join(chosen, F.col("key") == F.col("chosen"), "left")
+    return j.withColumn("status", F.when(F.col("chosen").isNotNull(), F.lit(status)).otherwise(F.col("status"))).drop("chosen")
+
+
 def gates(counts: Mapping[str, float], required: Mapping[str, tuple[str, float]]) -> list[tuple[str, str, str]]:
     """(name, PASS or FAIL, detail) of acceptance gates; each compares one figure by <= or >=."""
     out = []

@@ -496,12 +496,125 @@ USER_POINTERS_SQL = f"""WITH a AS ({user_snapshot_sql(EARLY)}), b AS ({user_snap
 SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'added' ELSE 'removed' END AS kind, NULL AS path FROM a FULL JOIN b ON a.id = b.id WHERE a.id IS NULL OR b.id IS NULL
 UNION ALL SELECT a.id, 'changed', '/event_type' FROM a JOIN b ON a.id = b.id WHERE a.event_type IS DISTINCT FROM b.event_type UNION ALL SELECT a.id, 'changed', '/props/k' FROM a JOIN b ON a.id = b.id WHERE a.k IS DISTINCT FROM b.k"""
 
+
+def affiliation_choice(spark: SparkSession, d: str) -> DataFrame:
+    """A registry's answers for customers: chosen with a good score, chosen with a bad one, not chosen, nothing, no JSON, no answer."""
+    k = F.col("c_custkey")
+    body = F.when(k % 6 == 5, F.lit(None)).when(k % 6 == 4, "oops").when(k % 6 == 3, '{"items": []}').otherwise(F.concat(F.lit('{"items": [{"chosen": '), F.when(k % 6 == 2, "false").otherwise("true"), F.lit(', "score": '), F.when(k % 6 == 1, "0.5").otherwise("0.95"), F.lit(', "organization": {"id": "https://ror.org/'), k.cast("string"), F.lit('", "name": "'), F.col("c_name"), F.lit('", "locations": [{"geonames_details": {"country_code": "DE"}}]}}, {"chosen": true, "score": 1}]}')))
+    return lookup.affiliations(read(spark, d, "customer").select(k.alias("key"), body.alias("body")))
+
+
+AFFILIATION_SQL = "SELECT c_custkey AS key, c_custkey % 6 <> 5 AS resolved, CASE WHEN c_custkey % 6 = 0 THEN 'https://ror.org/' || c_custkey END AS ror_id, CASE WHEN c_custkey % 6 = 0 THEN c_name END AS name, CASE WHEN c_custkey % 6 = 0 THEN 'DE' END AS country FROM customer"
+
+
+def index_contract(spark: SparkSession, d: str) -> DataFrame:
+    """An index that lacks every tenth order and has every removed one, and a count that is off by one."""
+    cat = read(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 6 == 0, "removed").otherwise("active").alias("record_status"))
+    count = cat.where("k % 6 != 0").agg((F.count("*") + 1).alias("n"))
+    return graph.index_errors(cat.where("k % 10 != 0"), count, cat)
+
+
+INDEX_CONTRACT_SQL = """WITH o AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS id FROM orders) SELECT 'not_indexed' AS kind, id FROM o WHERE k % 10 = 0 AND k % 6 <> 0 UNION ALL SELECT 'index_only', id FROM o WHERE k % 10 <> 0 AND k % 6 = 0
+UNION ALL SELECT 'record_count', CAST(count(*) + 1 AS VARCHAR) FROM o WHERE k % 6 <> 0"""
+
+
+def adjacency_index(spark: SparkSession, d: str) -> DataFrame:
+    """Neighbours of parts and suppliers, of which every third supplier is no node, and a loop."""
+    edges = _supplies(spark, d)
+    ids = edges.select(F.col("source").alias("id")).unionByName(edges.select(F.col("target").alias("id")).where("cast(substring(id, 2) AS int) % 3 != 0")).distinct()
+    loops = edges.select(F.col("source"), F.col("source").alias("target"))
+    return graph.adjacency_index(edges.unionByName(loops), ids).groupBy("id").agg(F.count("*").alias("n"), F.min("other").alias("first"))
+
+
+ADJACENCY_SQL = """WITH e AS (SELECT DISTINCT 'p' || (l_partkey % 50) AS p, 's' || l_suppkey AS s, l_suppkey AS k FROM lineitem), a AS (SELECT p AS id, s AS other FROM e WHERE k % 3 <> 0 UNION ALL SELECT s, p FROM e WHERE k % 3 <> 0)
+SELECT id, count(*) AS n, min(other) AS first FROM a GROUP BY id"""
+
+
+def focus_pins(spark: SparkSession, d: str) -> DataFrame:
+    """A reader turns to a record, then to a hub: what is shown and what is pinned."""
+    edges = _supplies(spark, d)
+    start = edges.select(F.col("source").alias("id")).where("source IN ('p7', 'p8')").distinct()
+    one, held = graph.focus(start, edges, "s4", "dataset")
+    two, still = graph.focus(one, edges, "p9", "source", held)
+    return two.select("id", F.lit("shown").alias("what")).unionByName(still.select("id", F.lit("pinned").alias("what")))
+
+
+FOCUS_SQL = """WITH e AS (SELECT DISTINCT 'p' || (l_partkey % 50) AS p, 's' || l_suppkey AS s FROM lineitem), pin AS (SELECT p AS id FROM e WHERE s = 's4' UNION SELECT 's4'), sh AS (SELECT p AS id FROM e WHERE p IN ('p7', 'p8') UNION SELECT id FROM pin UNION SELECT s FROM e WHERE p = 'p9' UNION SELECT 'p9')
+SELECT id, 'shown' AS what FROM sh UNION ALL SELECT id, 'pinned' FROM pin"""
+
+
+def ledger_mark(spark: SparkSession, d: str) -> DataFrame:
+    ledger = read(spark, d, "labels").select(F.col("doc_id").cast("string").alias("key"), F.when(F.col("toxic") == 1, "open").otherwise("fixed").alias("status"))
+    keys = read(spark, d, "documents").where("doc_id % 4 = 1").select(F.col("doc_id").cast("string").alias("key"))
+    return validate.mark(ledger, keys.unionByName(keys), "wontfix")
+
+
+MARK_SQL = "SELECT CAST(doc_id AS VARCHAR) AS key, CASE WHEN doc_id % 4 = 1 AND doc_id IN (SELECT doc_id FROM documents) THEN 'wontfix' WHEN toxic = 1 THEN 'open' ELSE 'fixed' END AS status FROM labels"
+
+
+def display_labels(spark: SparkSession, d: str) -> DataFrame:
+    """What is shown of orders: counts with units, values of vocabularies, links of DOIs."""
+    k = F.col("o_orderkey")
+    doi = F.when(k % 3 == 0, F.concat(F.lit(" 10.1000/a"), k.cast("string"))).when(k % 3 == 1, F.lit("10.1/x")).otherwise(F.lit("javascript:10.1000/a"))
+    value = F.when(k % 2 == 0, F.lit("critical_care_unit")).otherwise(F.lit("mri"))
+    return read(spark, d, "orders").select("o_orderkey", text.count_label(k * 1001, F.when(k % 2 == 0, F.lit("records"))).alias("size"), text.value_label(value, {"mri": "MRI"}).alias("label"), text.doi_url(doi).alias("link"))
+
+
+LABEL_SQL = "SELECT o_orderkey, format('{:,}', o_orderkey * 1001) || CASE WHEN o_orderkey % 2 = 0 THEN ' records' ELSE '' END AS size, CASE WHEN o_orderkey % 2 = 0 THEN 'Critical care unit' ELSE 'MRI' END AS label, CASE WHEN o_orderkey % 3 = 0 THEN 'https://doi.org/10.1000/a' || o_orderkey END AS link FROM orders"
+
+
+def provenance(spark: SparkSession, d: str) -> DataFrame:
+    """Parts as records: first seen as the manifest says, or today; last seen today; the stored hash, or their own."""
+    p = read(spark, d, "part")
+    rows = p.select(F.lit("s").alias("source"), F.col("p_partkey").cast("string").alias("source_native_id"), F.lit("own").alias("raw_hash"), "p_partkey")
+    manifest = p.where("p_partkey % 3 != 0").select(F.lit("s").alias("source"), F.col("p_partkey").cast("string").alias("native_id"), F.col("p_name").alias("hash"), F.lit("2023-05-06").cast("date").alias("first_seen"))
+    return refresh.provenance(rows, manifest, "api", "2024-01-01").select("p_partkey", "provenance.*")
+
+
+PROVENANCE_SQL = "SELECT p_partkey, 'api' AS harvested_via, CASE WHEN p_partkey % 3 <> 0 THEN '2023-05-06' ELSE '2024-01-01' END AS harvested_at, '2024-01-01' AS last_verified, CASE WHEN p_partkey % 3 <> 0 THEN p_name ELSE 'own' END AS raw_hash FROM part"
+
+
+def attribution(spark: SparkSession, d: str) -> DataFrame:
+    """Who is behind the fields of parts: rules, a model, both, nobody."""
+    k = F.col("p_partkey")
+    none = F.array().cast("array<string>")
+    rows = read(spark, d, "part").select("p_partkey", F.when(k % 2 == 0, F.array(F.lit("domains"), F.lit("species"))).otherwise(none).alias("enriched"), F.when(k % 3 == 0, F.array(F.lit("domains"), F.lit("summary"))).alias("told"))
+    out = refresh.attributed(rows, "enriched", "told", "m1", "v2", "2024-01-01")
+    return out.select("p_partkey", *[F.col(f"enrichment.{c}").alias(c) for c in ("method", "model", "prompt_version", "at")], F.array_join(F.transform(F.array_sort(F.map_entries("enrichment.fields")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("fields"))
+
+
+ATTRIBUTION_SQL = """SELECT p_partkey, CASE WHEN r AND t THEN 'mixed' WHEN t THEN 'llm' WHEN r THEN 'rules' ELSE 'none' END AS method, CASE WHEN t THEN 'm1' END AS model, CASE WHEN t THEN 'v2' END AS prompt_version, CASE WHEN r OR t THEN '2024-01-01' END AS at,
+  concat_ws(',', CASE WHEN r THEN 'domains=rules' WHEN t THEN 'domains=llm' END, CASE WHEN r THEN 'species=rules' END, CASE WHEN t THEN 'summary=llm' END) AS fields FROM (SELECT p_partkey, p_partkey % 2 = 0 AS r, p_partkey % 3 = 0 AS t FROM part)"""
+
+
+def text_join(spark: SparkSession, d: str) -> DataFrame:
+    """Documents' texts by source and id, and how many of each source have none."""
+    docs = read(spark, d, "documents")
+    rows = docs.select("source", F.col("doc_id").cast("string").alias("source_native_id"))
+    have, lack = refresh.with_text(rows, docs.where("doc_id % 7 != 0").select("source", F.col("doc_id").cast("string").alias("native_id"), F.col("lang").alias("text")))
+    return have.groupBy("source").agg(F.count("*").alias("n"), F.count("text").alias("known")).join(lack, "source", "left").na.fill({"missing": 0})
+
+
+TEXT_JOIN_SQL = "SELECT source, count(*) FILTER (WHERE doc_id % 7 <> 0) AS n, count(lang) FILTER (WHERE doc_id % 7 <> 0) AS known, count(*) FILTER (WHERE doc_id % 7 = 0) AS missing FROM documents GROUP BY source HAVING count(*) FILTER (WHERE doc_id % 7 <> 0) > 0"
+
+
+def enrichment_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Calls, hits, drops and failures of a pass over documents."""
+    rows = read(spark, d, "documents").select(F.col("doc_id").cast("string").alias("key"), "doc_id")
+    cache = rows.where("doc_id % 3 = 0").select("key", F.lit("x").alias("output"))
+    return refresh.enrichment_stats(rows, cache, rows.where("doc_id % 3 = 1").select("key"), rows.select((F.col("doc_id") % 4).alias("drops")))
+
+
+STATS_SQL = "SELECT CAST(ceil(count(*) FILTER (WHERE doc_id % 3 <> 0) / 8.0) AS BIGINT) AS calls, count(*) FILTER (WHERE doc_id % 3 = 0) AS cache_hits, CAST(sum(doc_id % 4) AS BIGINT) AS guard_drops, count(*) FILTER (WHERE doc_id % 3 = 2) AS failures FROM documents"
+
 QUERIES = {
     "normalize_openneuro": normalize_openneuro, "normalize_physionet": normalize_physionet, "normalize_gdc": normalize_gdc, "normalize_tcia": normalize_tcia, "rule_hits": rule_hits, "dedupe_stage": dedupe_stage, "diff_lists": pointer_diff,
     "changelog_document": changelog_document, "raw_scan": raw_scan, "raw_point_read": raw_point_read, "volatile_hash": volatile_hash, "key_collisions": key_collisions, "removed_filter": removed_filter, "search_index": search_index,
     "domain_dimming": domain_dimming, "status_histogram": status_histogram, "listing_errors": listing_errors, "codes_and_years": codes_and_years, "html_escape": html_escape, "guarded_answers": guarded_answers, "any_member_status": any_member_status,
     "panel_merge": panel_merge, "hub_collapse": hub_collapse, "graph_contract_seeded": graph_contract, "source_metrics": source_metrics, "manifest_results": manifest_results, "stale_rows": stale_rows, "unknown_values": unknown_values, "ledger_upsert": ledger_upsert,
     "prompt_inputs": prompt_inputs, "call_batches": call_batches, "snapshot_diff_pointers": user_pointers,
+    "affiliation_choice": affiliation_choice, "index_contract": index_contract, "adjacency_index": adjacency_index, "focus_pins": focus_pins, "ledger_mark": ledger_mark, "display_labels": display_labels, "provenance": provenance, "attribution": attribution,
+    "text_join": text_join, "enrichment_stats": enrichment_stats,
 }
 
 ORACLES = {
@@ -510,4 +623,6 @@ ORACLES = {
     "volatile_hash": VOLATILE_SQL, "key_collisions": COLLISIONS_SQL, "removed_filter": REMOVED_SQL, "search_index": INDEX_SQL, "domain_dimming": DIMMING_SQL, "status_histogram": STATUS_SQL, "listing_errors": LISTING_SQL, "codes_and_years": CODES_SQL,
     "html_escape": ESCAPE_SQL, "guarded_answers": ANSWERS_SQL, "any_member_status": MEMBER_SQL, "panel_merge": PANEL_SQL, "hub_collapse": COLLAPSE_SQL, "graph_contract_seeded": CONTRACT_SQL, "source_metrics": METRICS_SQL, "manifest_results": MANIFEST_SQL,
     "stale_rows": STALE_SQL, "unknown_values": UNKNOWN_SQL, "ledger_upsert": LEDGER_SQL, "prompt_inputs": INPUTS_SQL, "call_batches": BATCHES_SQL, "snapshot_diff_pointers": USER_POINTERS_SQL,
+    "affiliation_choice": AFFILIATION_SQL, "index_contract": INDEX_CONTRACT_SQL, "adjacency_index": ADJACENCY_SQL, "focus_pins": FOCUS_SQL, "ledger_mark": MARK_SQL, "display_labels": LABEL_SQL, "provenance": PROVENANCE_SQL, "attribution": ATTRIBUTION_SQL,
+    "text_join": TEXT_JOIN_SQL, "enrichment_stats": STATS_SQL,
 }

@@ -50,6 +50,57 @@ def apply_rules(records: DataFrame, texts: DataFrame, terms: Dictionaries) -> Da
     return j.withColumns({"enriched": marks, "domains": domains, "modalities": modalities, "conditions": conditions, "species": species}).drop("hit_id", "hit_domains", "hit_modalities", "hit_conditions", "hit_species")
 
 
+def provenance(records: DataFrame, manifest: DataFrame, via: str, day: str) -> DataFrame:
+    """Records with ``provenance``: how they came, when they were first seen, when last, and the payload's hash.
+
+    ``manifest`` has source, native_id, hash and first_seen. A record that it lacks is seen first on ``day``.
+    """
+    m = manifest.select(F.col("source").alias("of"), F.col("native_id").alias("known"), F.col("hash").alias("was"), "first_seen")
+    j = records.join(m, (F.col("source") == F.col("of")) & (F.col("source_native_id") == F.col("known")), "left")
+    made = F.struct(F.lit(via).alias("harvested_via"), F.coalesce(F.col("first_seen").cast("string"), F.lit(day)).alias("harvested_at"), F.lit(day).alias("last_verified"), F.coalesce(F.col("was"), F.col("raw_hash")).alias("raw_hash"))
+    return j.withColumn("provenance", made).drop("of", "known", "was", "first_seen")
+
+
+def attributed(records: DataFrame, by_rules: str = "enriched", by_model: str | None = None, model: str | None = None, version: str | None = None, day: str | None = None) -> DataFrame:
+    """Records with ``enrichment``: method (rules, llm, mixed or none), model, prompt version, day, and who is behind each field that changed.
+
+    ``by_rules`` and ``by_model`` are columns that list fields; a field that both changed is the rules'.
+    """
+    none = F.array().cast("array<string>")
+    rules = F.coalesce(F.col(by_rules), none)
+    told = F.array_except(F.coalesce(F.col(by_model), none), rules) if by_model else none
+    of = lambda fields, who: F.transform(fields, lambda f: F.struct(f.alias("field"), F.lit(who).alias("by")))
+    some, more = F.size(rules) > 0, F.size(told) > 0
+    method = F.when(some & more, "mixed").when(more, "llm").when(some, "rules").otherwise("none")
+    made = F.struct(method.alias("method"), F.when(more, F.lit(model)).alias("model"), F.when(more, F.lit(version)).alias("prompt_version"), F.when(some | more, F.lit(day)).alias("at"), F.map_from_entries(F.concat(of(rules, "rules"), of(told, "llm"))).alias("fields"))
+    return records.withColumn("enrichment", made)
+
+
+def with_text(records: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records that have a text, with it; number of those by source that have none) by source and native id."""
+    t = texts.select(F.col("source").alias("of"), F.col("native_id").alias("known"), "text")
+    j = records.join(t, (F.col("source") == F.col("of")) & (F.col("source_native_id") == F.col("known")), "left")
+    return j.where("known IS NOT NULL").drop("of", "known"), j.where("known IS NULL").groupBy("source").agg(F.count("*").alias("missing"))
+
+
+def enrichment_stats(asked: DataFrame, cache: DataFrame, answered: DataFrame, applied: DataFrame, size: int = 8) -> DataFrame:
+    """(calls, cache_hits, guard_drops, failures) of a pass: calls of ``size`` records each, hits of the cache, what guards dropped, misses without an answer.
+
+    ``asked`` and ``cache`` have key, ``answered`` the keys that calls brought, ``applied`` drops. One row, from partial aggregates.
+    """
+    hits, misses = lookup.split_cache(asked, cache)
+    n = misses.agg(F.count("*").alias("misses"))
+    lost = misses.join(answered.select("key").distinct(), "key", "left_anti").agg(F.count("*").alias("failures"))
+    parts = [
+        hits.agg(F.count("*").alias("n")).select(F.lit("cache_hits").alias("what"), "n"),
+        n.select(F.lit("calls").alias("what"), F.ceil(F.col("misses") / size).cast("long").alias("n")),
+        lost.select(F.lit("failures").alias("what"), F.col("failures").alias("n")),
+        applied.agg(F.coalesce(F.sum("drops"), F.lit(0)).cast("long").alias("n")).select(F.lit("guard_drops").alias("what"), "n"),
+    ]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return rows.agg(*[F.max(F.when(F.col("what") == w, F.col("n"))).alias(w) for w in ("calls", "cache_hits", "guard_drops", "failures")])
+
+
 def enrich(records: DataFrame, texts: DataFrame, terms: Dictionaries, answers: DataFrame | None = None, institutions: DataFrame | None = None) -> DataFrame:
     """Rules, then cached answers under their guards, then registry ids of institutions from a dimension with known negatives."""
     out = apply_rules(records, texts, terms)

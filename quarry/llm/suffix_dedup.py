@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import struct
 import tempfile
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,10 +79,11 @@ def _twice(h: np.ndarray, least: np.ndarray, start: np.ndarray, n_windows: np.nd
     """Whether a block's minimiser stands at two or more places in it, as it does if two of its windows are equal."""
     width = len(h) - len(least) + 1
     n = np.zeros(len(start), np.int64)
-    rows = np.lib.stride_tricks.sliding_window_view(h, width)
-    for a in range(0, len(start), 1 << 13):  # places in the first window
-        at = start[a : a + (1 << 13)]
-        n[a : a + len(at)] = (rows[at] == least[at, None]).sum(axis=1)
+    half = h.astype(np.uint32)  # half of the hash will do: a block that is kept for nothing is ordered for nothing
+    rows, value = np.lib.stride_tricks.sliding_window_view(half, width), least.astype(np.uint32)
+    for a in range(0, len(start), 1 << 12):  # places in the first window
+        at = start[a : a + (1 << 12)]
+        n[a : a + len(at)] = np.count_nonzero(rows[at] == value[at, None], axis=1)
     ends = np.r_[0, np.cumsum(h[width - 1 :] == least)]  # and those that a later window ends with
     return n + ends[start + n_windows] - ends[start + 1] > 1
 
@@ -161,7 +163,7 @@ class Scratch:
 
     TYPES = {"key": np.dtype("<i8"), "where": np.dtype("<i4"), "common": np.dtype("u1")}
 
-    def __init__(self, chunk: int = 1 << 18):
+    def __init__(self, chunk: int = 1 << 20):
         self.chunk = chunk
         self.files = {c: [tempfile.TemporaryFile(dir=local_folder(), buffering=0) for _ in range(2)] for c in self.TYPES}
         self.now = 0
@@ -183,13 +185,10 @@ class Scratch:
             pair[1 - self.now].truncate()
 
     def start(self, empty: int) -> None:
-        """``empty`` suffixes of no symbol, which come first."""
+        """No suffix but ``empty`` ones of no symbol, which come first: they have the places below ``empty`` and stand in no file."""
         self._turn()
-        self._write("key", np.arange(-empty, 0, dtype=np.int64))
-        self._write("where", np.full(empty, -1))
-        self._write("common", np.zeros(empty))
         self._turn()
-        self.size, self.moved = empty, None
+        self.empty, self.size, self.moved = empty, 0, None
 
     def insert(self, new: np.ndarray, at: np.ndarray, need: int) -> np.ndarray:
         """Insert sorted keys (first symbol << 32 | place of the rest), which start at bytes ``at``; their places in the new order.
@@ -201,10 +200,9 @@ class Scratch:
         to, n_old, done = np.empty(len(new), np.int64), 0, 0
         previous, after_new = np.int64(-1), False
         near, left, right, parts = [], [], [], []
-        for old in self._chunks("key"):
-            if self.moved is not None:  # the last round's insertions moved the rests; empty suffixes have none
-                real = old >= 0
-                old = np.where(real, old + self.moved[np.where(real, old & low, 0)], old)
+        for old in self._chunks("key") if self.size else (np.zeros(0, np.int64),):
+            if self.moved is not None:  # the last round's insertions moved the rests
+                old = old + self.moved[old & low]
             end = len(new) if n_old + len(old) == self.size else int(np.searchsorted(new, old[-1]))
             here = np.searchsorted(old, new[done:end]) + np.arange(end - done)
             is_old = np.ones(len(old) + end - done, bool)
@@ -212,23 +210,29 @@ class Scratch:
             merged = np.empty(len(is_old), np.int64)
             merged[here], merged[is_old] = new[done:end], old
             self._write("key", merged)
-            beside = np.flatnonzero(~is_old | np.r_[after_new, ~is_old[:-1]])  # new suffixes, and those right behind one
+            mark = np.zeros(len(merged) + 1, bool)  # new suffixes, and those right behind one
+            mark[here] = mark[here + 1] = True
+            mark[0] |= after_new
+            beside = np.flatnonzero(mark[:-1])
             near.append(beside + n_old + done)
-            left.append(np.r_[previous, merged[:-1]][beside])
+            left.append(np.where(beside > 0, merged[beside - 1], previous))
             right.append(merged[beside])
             to[done:end] = here + n_old + done
-            previous, after_new = merged[-1], not is_old[-1]
+            if len(merged):
+                previous, after_new = merged[-1], not is_old[-1]
             parts.append((done, end))
             n_old, done = n_old + len(old), end
         near, a, b = np.concatenate(near), np.concatenate(left), np.concatenate(right)
         alike = (a >> 32 == b >> 32) & (a >= 0)
-        shared = np.zeros(len(near), np.int64)
-        shared[alike] = np.minimum(need, self._least((a[alike] & low) + 1, b[alike] & low) + 1)
+        shared = alike.astype(np.int64)  # an empty rest shares nothing more
+        longer = np.flatnonzero(alike & ((a & low) >= self.empty))
+        shared[longer] = np.minimum(need, self._least((a[longer] & low) + 1 - self.empty, (b[longer] & low) - self.empty) + 1)
         self._merge(parts, to, at, near, shared)
         ins = to - np.arange(len(to))  # old places that the new ones stand before
-        self.moved = np.cumsum(np.bincount(ins, minlength=n_old + 1))[:n_old]
+        self.moved = np.zeros(self.empty + n_old, np.int32)
+        np.cumsum(np.bincount(ins, minlength=n_old + 1)[:n_old], out=self.moved[self.empty :])
         self.size = n_old + len(new)
-        return to
+        return to + self.empty
 
     def _least(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Least of ``common`` from first to last, both included, for many ranges; empty ranges have 255."""
@@ -243,7 +247,8 @@ class Scratch:
     def _merge(self, parts: list[tuple[int, int]], to: np.ndarray, at: np.ndarray, near: np.ndarray, shared: np.ndarray) -> None:
         """Write where and common with the new suffixes at ``to``, those of ``parts`` in each chunk, and ``shared`` at the places ``near``."""
         begin = 0
-        for (a, z), where, common in zip(parts, self._chunks("where"), self._chunks("common")):
+        chunks = zip(self._chunks("where"), self._chunks("common")) if self.size else ((np.zeros(0, np.int32), np.zeros(0, np.uint8)),)
+        for (a, z), (where, common) in zip(parts, chunks):
             n = len(where) + z - a
             is_old = np.ones(n, bool)
             here = to[a:z] - begin
@@ -257,14 +262,14 @@ class Scratch:
             begin += n
         self._turn()
 
-    def finished(self, empty: int) -> tuple[np.ndarray, np.ndarray]:
-        """(where, common) without the empty suffixes."""
-        return tuple(np.concatenate(list(self._chunks(c)))[empty:] for c in ("where", "common"))
+    def finished(self) -> tuple[np.ndarray, np.ndarray]:
+        """(where, common) of all suffixes in order."""
+        return tuple(np.concatenate([np.zeros(0, self.TYPES[c]), *self._chunks(c)]) for c in ("where", "common"))
 
 
 def symbol_bytes(span: int) -> int:
-    """Bytes of a symbol: the largest part of a window that goes into it five times or more."""
-    return max(d for d in range(1, span // 5 + 1) if span % d == 0)
+    """Bytes of a symbol: the largest part of a window that goes into it four times or more."""
+    return max(d for d in range(1, span // 4 + 1) if span % d == 0)
 
 
 def symbols(data: np.ndarray, wide: int) -> np.ndarray:
@@ -335,7 +340,7 @@ def repeated_windows(blocks: list[bytes], weights: list[int], span: int = SPAN,
         place[by] = files.insert(new[by], at[by], need)
         # each document's suffix is where the next one's rest is
 
-    where, common = files.finished(m)
+    where, common = files.finished()
     owner = np.repeat(np.arange(len(blocks)), lengths)
     group = np.cumsum(common < need)
     weight = np.bincount(group, weights=np.array(weights, np.float64)[owner[where]])
@@ -507,21 +512,30 @@ def _keep_shared(batches):
         yield held
 
 
+def _pieces(batch: pa.RecordBatch, span: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(row, minimiser, start, bytes) of the blocks of rows (text, blocks)."""
+    lists = batch.column(1)
+    rows = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+    key, start, n = (x.to_numpy().tolist() for x in lists.flatten().flatten())
+    now, text = -1, b""
+    for row, k, a, w in zip(rows.tolist(), key, start, n):
+        if row != now:
+            now, text = row, utf8(batch.column(0)[row].as_py())
+        yield row, k, a, text[a : a + w + span - 1]
+
+
 def _blocks_with_bytes(span: int):
     """(key, data, weight): the bytes of documents' blocks, equal ones of a part of a batch once."""
 
     def run(batches):
         for b in batches:
             for s in range(0, b.num_rows, 500):
-                p = b.slice(s, 500)
-                found: dict[tuple[int, bytes], int] = {}
-                for text, rows in zip(p.column(0), p.column(1).to_pylist()):
-                    text = utf8(text.as_py())
-                    for r in rows:
-                        k = (r["key"], text[r["start"] : r["start"] + r["n"] + span - 1])
-                        found[k] = found.get(k, 0) + 1
+                found: dict[tuple[int, bytes], int] = defaultdict(int)
+                for _, k, _, data in _pieces(b.slice(s, 500), span):
+                    found[k, data] += 1
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int64()), pa.array([d for _, d in found], pa.binary()), pa.array(list(found.values()), pa.int64())], names=["key", "data", "weight"])
+                    keys, data = zip(*found)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary()), pa.array(list(found.values()), pa.int64())], names=["key", "data", "weight"])
 
     return run
 
@@ -533,13 +547,11 @@ def _places(span: int):
         for b in batches:
             for s in range(0, b.num_rows, 500):
                 p = b.slice(s, 500)
-                rows = []
-                for text, blocks, k1, k2 in zip(p.column(0), p.column(1).to_pylist(), p.column(2).to_pylist(), p.column(3).to_pylist()):
-                    text = utf8(text.as_py())
-                    rows += [(xxh3_128_digest(text[r["start"] : r["start"] + r["n"] + span - 1]), k1, k2, r["start"]) for r in blocks]
-                if rows:
-                    cols = list(zip(*rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["name", "k1", "k2", "start"])
+                found = [(row, a, xxh3_128_digest(data)) for row, _, a, data in _pieces(p, span)]
+                if found:
+                    rows, start, names = zip(*found)
+                    at = pa.array(rows, pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), p.column(2).take(at), p.column(3).take(at), pa.array(start, pa.int64())], names=["name", "k1", "k2", "start"])
 
     return run
 
@@ -569,24 +581,35 @@ def _order_blocks(span: int, held: int):
 
 
 def _cut_text(span: int):
+    """(doc_id, n_bytes, n_removed, spans, kept) of rows (doc_id, text, places with the runs of windows found there)."""
+    names = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
+
     def run(batches):
-        for b in batches:
-            rows = []
-            for text, places in zip(b.column(1), b.column(2).to_pylist()):
-                text = utf8(text.as_py())
-                step = np.zeros(len(text) + 1, np.int32)
-                for p in places or ():
-                    r = np.frombuffer(p["runs"], "<i4").reshape(-1, 2).astype(np.int64) + p["start"]
-                    np.add.at(step, r[:, 0], 1)
-                    np.add.at(step, r[:, 1] + span, -1)
+        for whole in batches:
+            for s in range(0, whole.num_rows, 500):
+                b = whole.slice(s, 500)
+                texts = [utf8(t.as_py()) for t in b.column(1)]
+                n = np.array([len(t) for t in texts], np.int64)
+                base = np.cumsum(n + 1) - n - 1  # texts end to end, a byte between, so that no span crosses them
+                lists = b.column(2)
+                offsets = lists.offsets.to_numpy()
+                doc = np.repeat(np.arange(b.num_rows), np.where(lists.is_valid().to_numpy(zero_copy_only=False), np.diff(offsets), 0))
+                start, runs = lists.flatten().flatten()
+                runs = [r.as_py() for r in runs]
+                windows = np.frombuffer(b"".join(runs), "<i4").reshape(-1, 2).astype(np.int64)
+                windows += np.repeat(start.to_numpy() + base[doc], [len(r) // 8 for r in runs])[:, None]
+                step = np.zeros(int(n.sum()) + len(texts) + 1, np.int32)
+                np.add.at(step, windows[:, 0], 1)
+                np.add.at(step, windows[:, 1] + span, -1)
                 gone = np.cumsum(step[:-1]) > 0
-                edge = np.flatnonzero(np.diff(np.r_[False, gone, False]))
-                spans = edge.reshape(-1, 2)
-                kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                rows.append((len(text), int(gone.sum()), [{"start": int(x), "end": int(y)} for x, y in spans], kept))
-            n, removed, spans, kept = zip(*rows) if rows else ((),) * 4
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
+                edge = np.flatnonzero(np.diff(np.r_[False, gone, False])).reshape(-1, 2)
+                at = np.searchsorted(base, edge[:, 0], side="right") - 1
+                ends = np.searchsorted(at, np.arange(len(texts) + 1))
+                removed = np.bincount(at, weights=edge[:, 1] - edge[:, 0], minlength=len(texts)).astype(np.int64)
+                kept = [t if not r else np.frombuffer(t, np.uint8)[~gone[a : a + len(t)]].tobytes() for t, r, a in zip(texts, removed.tolist(), base.tolist())]
+                edge -= base[at][:, None]
+                spans = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(edge[:, i])) for i in (0, 1)], ["start", "end"]))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(removed), spans, pa.array(kept, pa.binary())], names=names)
 
     return run
 

@@ -25,9 +25,11 @@ FIRST_GIVEN = ("name", "url", "population", "sample_size", "sample_unit", "size_
 
 
 def ordered_union(items: Column, key) -> Column:
-    """Items of an array, the first of each key."""
-    keyed = F.transform(items, lambda x: F.struct(key(x).alias("k"), x.alias("x")))
-    return F.transform(F.filter(keyed, lambda x, i: ~F.exists(F.slice(keyed, 1, i), lambda y: y["k"].eqNullSafe(x["k"]))), lambda x: x["x"])
+    """Items of an array, the first of each key, in the array's order: sorted by key, each beside the one before, then back in order."""
+    keyed = F.array_sort(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))))
+    beside = F.arrays_zip(keyed.alias("a"), F.concat(F.array(F.lit(None)), F.transform(keyed, lambda z: z["k"])).alias("b"))
+    first = F.filter(beside, lambda z, i: z["a"].isNotNull() & ((i == 0) | ~z["a"]["k"].eqNullSafe(z["b"])))
+    return F.transform(F.array_sort(F.transform(first, lambda z: F.struct(z["a"]["i"].alias("i"), z["a"]["x"].alias("x")))), lambda z: z["x"])
 
 
 def _key(records: DataFrame, column: str):

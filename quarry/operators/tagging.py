@@ -23,9 +23,12 @@ def check_terms(terms: Mapping[str, Sequence[str]], vocabulary: Sequence[str] |
 
 
 def evidence(text: Column, terms: Sequence[str]) -> Column:
-    """The first match of each term, in the order of terms, each once."""
+    """The first match of each term, in the order of terms, each once. Terms are looked for one by one only where any of them is."""
+    if not terms:
+        return F.array().cast("array<string>")
     hits = [F.nullif(F.regexp_extract(text, term_pattern(t), 1), F.lit("")) for t in terms]
-    return F.array_distinct(F.filter(F.array(*hits), lambda h: h.isNotNull()))
+    found = F.array_distinct(F.filter(F.array(*hits), lambda h: h.isNotNull()))
+    return F.when(text.rlike("|".join(term_pattern(t) for t in terms)), found).otherwise(F.array().cast("array<string>"))
 
 
 def tag(rows: DataFrame, text: Column, terms: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.tables import latin_pattern, table, utf8
+from quarry.llm.tables import give_back, latin_pattern, table, utf8
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Code points with the property White_Space, which is what \s means to the library.
@@ -188,8 +188,8 @@ def fold_sql(word: str) -> str:
     before = part("x & 33554431L", "shiftleft(x & 65535L, 16) + shiftright(m, 25)")
     step = f"""aggregate(array(array_min(s)), s, (t, m) -> if(m >= {none}L, t, aggregate(array(int(array_position(t, m))), t, (u, q) ->
         transform(filter(u, (x, i) -> i != q), (x, i) -> if(i > q - 1 or i < q - 2, x, if(i = q - 1, {joined}, {before}))))))"""
-    fold_all = f"transform(aggregate(slice({word}, 4, size({word})), {word}, (s, x) -> {step}, s -> slice(s, 2, size(s) - 2)), x -> x & 65535L)"
-    return f"if({word}[0] < 0, slice({word}, 2, size({word})), {fold_all})"
+    fold_all = f"aggregate(slice({word}, 4, size({word})), {word}, (s, x) -> {step}, s -> slice(s, 2, size(s) - 2))"
+    return f"transform(if({word}[0] < 0, slice({word}, 2, size({word})), {fold_all}), x -> int(x & 65535L))"
 
 
 def _starts(words: list[bytes], ranks: dict[bytes, int], begin: np.ndarray) -> pa.ListArray:
@@ -321,9 +321,12 @@ def _encoded(docs: DataFrame, kept: list[str], path: str, pattern: str, remember
     arrow = T.StructType([*(T.StructField(c, plain.schema[c].dataType) for c in names), *T.StructType.fromDDL("seq binary, words array<array<bigint>>, restart boolean")])
 
     def split(batches):
+        give_back()  # of what a reused worker did before
         yield from _handed_on(at, places, pattern, *shared.value, remembered)(batches)
+        give_back()
 
     def gather(batches):
+        give_back()
         ids = _Ids({i: b for b, i in shared.value[0].items()} if decoded else None)
         for b in batches:
             *columns, seqs, words, restarts = b.columns
@@ -338,9 +341,11 @@ def _encoded(docs: DataFrame, kept: list[str], path: str, pattern: str, remember
                     if restarts[i].as_py():
                         ids.clear()
                     ids.add(words[i].values)
+        ids.clear()
+        give_back()
 
     rows = plain.mapInArrow(split, arrow)
-    fold = with_ranks(f"transform(words, w -> {fold_sql('w')})", rank_map, "array<array<bigint>>")
+    fold = with_ranks(f"transform(words, w -> {fold_sql('w')})", rank_map, "array<array<int>>")
     return rows.select(*names, "seq", fold.alias("words"), "restart").mapInArrow(gather, schema)
 
 
@@ -392,8 +397,8 @@ def fold_words(words: DataFrame, path: str, column: str = "word", ids: str = "id
     letters = f"transform(sequence(1, octet_length({name})), i -> begins[{byte('i')} * 257 + {byte('if(i < octet_length(' + name + '), i + 1, null)')}] + i * 65536L)"
     start = f"concat(array({edge}L), aggregate(array({begins}), cast(array() as array<bigint>), (none, begins) -> {letters}), array({edge}L))"
     whole = f"case when octet_length({name}) > {_LONG} then raise_error('a word of over {_LONG} bytes') else {start} end"
-    fold = f"case when {name} is null then null when octet_length({name}) = 0 then cast(array() as array<bigint>) else transform(array({whole}), w -> {fold_sql('w')})[0] end"
-    return words.drop(ids).withColumn(ids, with_ranks(fold, known, "array<bigint>").cast("array<int>"))
+    fold = f"case when {name} is null then null when octet_length({name}) = 0 then cast(array() as array<int>) else transform(array({whole}), w -> {fold_sql('w')})[0] end"
+    return words.drop(ids).withColumn(ids, with_ranks(fold, known, "array<int>"))
 
 
 def digest(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN, remembered: int = 500_000) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.tables import named, table, unused, utf8
+from quarry.llm.tables import give_back, named, table, unused, utf8
 from quarry.operators.state import cut
 
 #: Bytes of a word stay, A-Z are lower-cased, every other ASCII byte parts words.
@@ -213,6 +213,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, b
                         rows.append({"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(x for x in items if x is not None), "n_items": len(items)})
                     kept = [f for f in batch.schema.names if f != report]
                     yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(f)) for f in kept], pa.array(rows, _ARROW)], names=[*kept, report])
+            give_back()
 
         found = found.mapInArrow(search, out_schema)
     return found

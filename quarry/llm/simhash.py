@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
-from quarry.llm.tables import named, table, utf8
+from quarry.llm.tables import give_back, named, table, utf8
 from quarry.operators.components import connected_components
 from quarry.operators.state import cut
 
@@ -43,6 +43,7 @@ def fingerprints(docs: DataFrame, width: int = 3, keys: tuple[str, ...] = ()) ->
         for b in batches:
             fp = np.fromiter((fingerprint(t.as_py(), width) for t in b.column(0)), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fp.view(np.int64))], names=["doc_id", *keys, "fp"])
+        give_back()
 
     schema = T.StructType([*(docs.schema[c] for c in ("doc_id", *keys)), T.StructField("fp", T.LongType(), False)])
     return docs.select("text", "doc_id", *keys).mapInArrow(run, schema)

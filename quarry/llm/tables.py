@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker is reused, and what one stage freed would count beside what the next one needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library can
+        pass
+
+
 def named(column: str) -> Column:
     """The column of just that name, whatever signs the name has."""
     return F.col(f"`{column.replace('`', '``')}`")

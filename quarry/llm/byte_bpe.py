@@ -185,9 +185,9 @@ def fold_sql(word: str) -> str:
         return f"aggregate(array({key}), {own}, (z, k) -> shiftleft({rank}, 25) + z)"
 
     joined = part("(m & 33488896L) + shiftright(m, 25)", "shiftleft(shiftright(m, 25), 16) + (u[q + 1] & 65535L)")
-    before = part("x & 33554431L", "shiftleft(x & 65535L, 16) + shiftright(m, 25)")
+    before = part("u[i] & 33554431L", "shiftleft(u[i] & 65535L, 16) + shiftright(m, 25)")
     step = f"""aggregate(array(array_min(s)), s, (t, m) -> if(m >= {none}L, t, aggregate(array(int(array_position(t, m))), t, (u, q) ->
-        transform(filter(u, (x, i) -> i != q), (x, i) -> if(i > q - 1 or i < q - 2, x, if(i = q - 1, {joined}, {before}))))))"""
+        transform(slice(u, 2, size(u)), (x, i) -> if(i >= q, x, if(i < q - 2, u[i], if(i = q - 1, {joined}, {before})))))))"""
     fold_all = f"aggregate(slice({word}, 4, size({word})), {word}, (s, x) -> {step}, s -> slice(s, 2, size(s) - 2))"
     return f"transform(if({word}[0] < 0, slice({word}, 2, size({word})), {fold_all}), x -> int(x & 65535L))"
 
@@ -228,34 +228,45 @@ def with_ranks(body: str, known: RankMap, kind: str) -> Column:
     return F.expr(body)
 
 
+class _Places(dict):
+    """Each word's place in the list of words; one that is not there yet is put at its end, and among the ``new`` ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 def _handed_on(at: int, kept: list[int], pattern: str, ranks: dict[bytes, int], begin: np.ndarray, newer: str, remembered: int):
     """Rows of the columns in ``kept``, then seq (a document's words, as places in the list of words), words (new ones, as ``_starts`` has them) and restart.
 
-    New words go before the first document that has them. When over ``remembered`` words are
-    listed, the list starts again.
+    New words go before the first document that has them. When ``remembered`` words are
+    listed, the list starts again with the next document.
     """
 
     def run(batches):
         split = Splitter(pattern, newer)
-        place: dict[str, int] = {}
+        place = _Places()
         for b in batches:
             for s in range(0, b.num_rows, 500):
                 part = b.slice(s, 500)
-                new: list[str] = []
+                new = place.new = []
                 restart, a, seqs = False, 0, []
                 for i, t in enumerate(part.column(at)):
                     words = split.findall(t.as_py() or "")
-                    fresh = list(set(words).difference(place))
-                    if len(place) + len(fresh) > remembered and place:
+                    if words and len(place) >= remembered:
                         yield from flush(part, a, i, seqs, new, restart)
-                        place, new, seqs, a, restart = {}, [], [], i, True
-                        fresh = list(set(words))
-                    place.update(zip(fresh, range(len(place), len(place) + len(fresh))))
-                    new += fresh
+                        place = _Places()
+                        new, seqs, a, restart = place.new, [], i, True
                     seqs.append(np.fromiter(map(place.__getitem__, words), "<u4", len(words)).tobytes())
                     if len(new) >= _BLOCK:
                         yield from flush(part, a, i + 1, seqs, new, restart)
-                        new, seqs, a, restart = [], [], i + 1, False
+                        new = place.new = []
+                        seqs, a, restart = [], i + 1, False
                 yield from flush(part, a, part.num_rows, seqs, new, restart)
 
     def flush(part, a, z, seqs, new, restart):
@@ -353,7 +364,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
     """Return ``docs`` with ``column``: the ids of each whole text, as little-endian unsigned 32-bit integers.
 
     Each match of ``pattern`` is encoded separately and no special tokens are made. Null and
-    empty texts have no ids. A task lists its distinct words, up to ``remembered`` of them before the list starts
+    empty texts have no ids. A task lists its distinct words, about ``remembered`` of them before the list starts
     again, and Spark's higher-order functions fold each listed word once; words of over 255 bytes, where
     a fold over arrays is quadratic, are folded with a heap. Nothing is shuffled. The rank map is a literal, of the
     vocabulary's size and not the data's. Repeated rows are encoded each; an empty table gives an empty one; extra

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import re
 
 import pyarrow as pa
@@ -18,7 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def give_back() -> None:
     """Return freed memory to the system: a Python worker is reused, and what one stage freed would count beside what the next one needs."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

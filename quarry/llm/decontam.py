@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.tables import give_back, named, table, unused, utf8
+from quarry.llm.tables import give_back, named, numbered, table, unused, utf8
 from quarry.operators.state import cut
 
 #: Bytes of a word stay, A-Z are lower-cased, every other ASCII byte parts words.
@@ -193,7 +193,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, b
     spark = docs.sparkSession
     docs = docs.drop(report)
     out_schema = T.StructType([*docs.schema.fields, T.StructField(report, T.StructType.fromDDL(REPORT))])
-    found = docs
+    found, at, last = docs, docs.columns.index("text"), len(docs.columns)  # the report comes last
     for k, block in enumerate(item_blocks(benchmark, block_bytes)):
         shared = spark.sparkContext.broadcast(Patterns(block, width))
         if k:  # one block at a time in a worker's memory
@@ -204,18 +204,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, b
             for whole in batches:
                 for s in range(0, whole.num_rows, 200):
                     batch = whole.slice(s, 200)
-                    old = [None] * batch.num_rows if first else batch.column(batch.schema.get_field_index(report)).to_pylist()
+                    old = [None] * batch.num_rows if first else batch.column(last).to_pylist()
                     rows = []
-                    for (n, spans, items), was in zip(scan(batch.column(batch.schema.get_field_index("text")).to_pylist(), patterns), old):
+                    for (n, spans, items), was in zip(scan(batch.column(at).to_pylist(), patterns), old):
                         if was:
                             spans = _union(spans, [(s["start"], s["end"]) for s in was["spans"]])
                             items |= {*was["items"], *([None] if was["n_items"] > len(was["items"]) else [])}
                         rows.append({"n_words": n, "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(x for x in items if x is not None), "n_items": len(items)})
-                    kept = [f for f in batch.schema.names if f != report]
-                    yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(f)) for f in kept], pa.array(rows, _ARROW)], names=[*kept, report])
+                    yield pa.RecordBatch.from_arrays([*batch.columns[:last], pa.array(rows, _ARROW)], names=out_schema.names)
             give_back()
 
-        found = found.mapInArrow(search, out_schema)
+        found = numbered(found).mapInArrow(search, out_schema)
     return found
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.tables import give_back, named, table, unused
+from quarry.llm.tables import give_back, named, numbered, table, unused
 
 #: Scripts by ranges of code points, both ends included; letters elsewhere are one further script.
 SCRIPTS = {
@@ -229,6 +229,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, column: str =
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop(column)
+    at = docs.columns.index("text")
     kind = T.StructType.fromDDL(f"lang string, score double, spans {SPANS}")
     schema = T.StructType([*docs.schema.fields, T.StructField(column, kind)])
     arrow = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])))])
@@ -237,12 +238,12 @@ def identify(docs: DataFrame, model: Model, penalty: float = 12.0, column: str =
         for whole in batches:
             for a in range(0, whole.num_rows, 1000):
                 b = whole.slice(a, 1000)
-                found = _texts(b.column(b.schema.get_field_index("text")).to_pylist(), shared.value, penalty)
+                found = _texts(b.column(at).to_pylist(), shared.value, penalty)
                 rows = [{"lang": x, "score": s, "spans": [{"start": p, "end": q, "lang": y} for p, q, y in spans]} for x, s, spans in found]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, arrow)], names=schema.names)
         give_back()
 
-    return docs.mapInArrow(run, schema)
+    return numbered(docs).mapInArrow(run, schema)
 
 
 def held_out() -> Column:

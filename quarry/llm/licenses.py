@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quarry.llm.tables import table, utf8
+from quarry.llm.tables import numbered, table, utf8
 
 #: Notices that the named licenses, or their stewards, ask for or that are in common use, then licenses' bodies and standard headers.
 TEMPLATES = (
@@ -192,15 +192,16 @@ def scan_licenses(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMP
     extra columns pass through, but one named ``column`` is replaced. One narrow pass.
     """
     docs = docs.drop(column)
+    at = docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.StructType.fromDDL(KIND))])
 
     def run(batches):
         known = Templates(templates, least)
         for b in batches:
-            rows = [scan_text(t.as_py(), known) for t in b.column(b.schema.get_field_index("text"))]
+            rows = [scan_text(t.as_py(), known) for t in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, _ARROW)], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return numbered(docs).mapInArrow(run, schema)
 
 
 def query(spark, sf_dir):

@@ -29,6 +29,11 @@ def named(column: str) -> Column:
     return F.col(f"`{column.replace('`', '``')}`")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with columns c0, c1 and so on: ``mapInArrow`` asks for columns by name, and fails at names with dots or backticks."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def unused(columns: list[str], name: str) -> str:
     """``name``, with as many ``_`` as make it no column's name."""
     taken = {c.lower() for c in columns}

@@ -27,25 +27,28 @@ def _own(records: DataFrame, domains: Sequence[str], institutions: int) -> DataF
     """
     live = records.where(F.coalesce(F.col("record_status"), F.lit("active")) != "removed")
     empty = F.array().cast("array<string>")
-    entry = lambda kind, key, label: F.struct(F.concat_ws(":", F.lit(kind), key).alias("node"), F.lit(kind).alias("type"), label.alias("label"))
-    values = F.concat(
-        F.array(entry("source", F.col("source"), F.col("source"))),
-        F.transform(F.coalesce("modalities", empty), lambda m: entry("modality", m, m)),
-        F.transform(F.coalesce("conditions", empty), lambda c: entry("condition", slugify(c), c)),
-        F.transform(F.slice(F.coalesce(F.col("institutions"), F.array().cast(records.schema["institutions"].dataType)), 1, institutions), lambda i: entry("institution", institution_key(i["ror_id"], i["name"]), i["name"])),
+    entry = lambda kind, key, label, pos: F.struct(F.concat_ws(":", F.lit(kind), key).alias("node"), pos.cast("int").alias("pos"), F.lit(kind).alias("type"), label.alias("label"))
+    modalities, conditions = F.coalesce("modalities", empty), F.coalesce("conditions", empty)
+    placed = F.concat(
+        F.array(entry("source", F.col("source"), F.col("source"), F.lit(0))),
+        F.transform(modalities, lambda m, i: entry("modality", m, m, i + 1)),
+        F.transform(conditions, lambda c, i: entry("condition", slugify(c), c, i + 1 + F.size(modalities))),
+        F.transform(F.slice(F.coalesce(F.col("institutions"), F.array().cast(records.schema["institutions"].dataType)), 1, institutions), lambda n, i: entry("institution", institution_key(n["ror_id"], n["name"]), n["name"], i + 1 + F.size(modalities) + F.size(conditions))),
     )
-    placed = F.array_sort(F.transform(values, lambda v, i: F.struct(v["node"].alias("node"), i.alias("pos"), v["type"].alias("type"), v["label"].alias("label"))))
     rows = live.select("id", "name", ranked(F.col("domains"), domains).alias("domains"), placed.alias("placed"))
-    # each beside the node before it, so that no lambda looks back into the array
-    before = F.concat(F.array(F.lit("")), F.transform("placed", lambda v: v["node"]))
-    pairs = F.arrays_zip("placed", before.alias("before"))
+    # only a row in which a node comes again is sorted, each node then beside the one before it, so that no lambda looks back into the array
+    ordered = F.array_sort("placed")
+    before = F.concat(F.array(F.lit("")), ordered["node"])
+    pairs = F.arrays_zip(ordered.alias("placed"), before.alias("before"))
     first = F.filter(pairs, lambda z: z["placed"].isNotNull() & (z["placed"]["node"] != z["before"]))
-    return rows.select("id", "name", "domains", F.transform(first, lambda z: z["placed"]).alias("attributes"))
+    once = F.when(F.size(F.array_distinct(F.col("placed.node"))) == F.size("placed"), F.col("placed")).otherwise(first["placed"])
+    return rows.select("id", "name", "domains", once.alias("attributes"))
 
 
 def _attributes(records: DataFrame, domains: Sequence[str], institutions: int) -> DataFrame:
     """(id, domains, node, pos, type, label): one row for each record and attribute node."""
-    return _own(records, domains, institutions).select("id", "domains", F.inline("attributes"))
+    # outer, as each record has a source: else the optimizer computes the attributes a second time, to drop rows without any
+    return _own(records, domains, institutions).select("id", "domains", F.inline_outer("attributes"))
 
 
 def related_pairs(records: DataFrame) -> DataFrame:
@@ -75,7 +78,7 @@ def _hubs(own: DataFrame, domains: Sequence[str]) -> DataFrame:
     Records are counted by node and domain, then by node: most common domain, the earlier in
     the vocabulary of equals; the label of the first record, by id and place; links counted at a record's first domain.
     """
-    rows = own.select("id", F.posexplode_outer("domains").alias("nth", "domain"), "attributes").select("id", "nth", "domain", F.inline("attributes"))
+    rows = own.select("id", F.posexplode_outer("domains").alias("nth", "domain"), "attributes").select("id", "nth", "domain", F.inline_outer("attributes"))
     n = rows.groupBy("node", "type", "domain").agg(
         F.count("*").alias("n"), F.count(F.when(F.coalesce("nth", F.lit(0)) == 0, 1)).alias("links"), F.min(F.struct("id", "pos", "label")).alias("first")
     )
@@ -218,13 +221,23 @@ def stats(records: DataFrame) -> DataFrame:
 
 
 def contract_errors(found: DataFrame, edges: DataFrame, catalog: DataFrame) -> DataFrame:
-    """(kind, id): repeated nodes, links to no node, and live records without a node or nodes without a live record."""
-    ids = found.select("id").distinct()
-    twice = found.groupBy("id").count().where("count > 1").select(F.lit("duplicate_node").alias("kind"), "id")
-    loose = edges.select(F.explode(F.array("source", "target")).alias("id")).distinct().join(ids, "id", "left_anti").select(F.lit("dangling_link").alias("kind"), "id")
-    live = catalog.where(F.coalesce(F.col("record_status"), F.lit("active")) != "removed").select("id").distinct()
-    own = found.where("type = 'dataset'").select("id").distinct()
-    return twice.unionByName(loose).unionByName(live.join(own, "id", "left_anti").select(F.lit("missing_node").alias("kind"), "id")).unionByName(own.join(live, "id", "left_anti").select(F.lit("unknown_record").alias("kind"), "id"))
+    """(kind, id): repeated nodes, links to no node, and live records without a node or nodes without a live record.
+
+    Each input is read once; what is known of an id meets in one aggregate that combines before it shuffles. An id of null is no other's.
+    """
+    no, yes = F.lit(False), F.lit(True)
+    seen = lambda rows, nodes, own, linked, live: rows.select("id", nodes.cast("long").alias("nodes"), own.alias("own"), linked.alias("linked"), live.alias("live"))
+    live = catalog.where(F.coalesce(F.col("record_status"), F.lit("active")) != "removed")
+    ends = edges.select(F.explode(F.array("source", "target")).alias("id"))
+    rows = seen(found, F.lit(1), F.coalesce(F.col("type") == "dataset", no), no, no).unionByName(seen(ends, F.lit(0), no, yes, no)).unionByName(seen(live, F.lit(0), no, no, yes))
+    known = rows.groupBy("id").agg(F.sum("nodes").alias("nodes"), *[F.max(c).alias(c) for c in ("own", "linked", "live")])
+    lone = F.col("id").isNull()
+    kinds = {
+        "duplicate_node": F.col("nodes") > 1, "dangling_link": F.col("linked") & ((F.col("nodes") == 0) | lone),
+        "missing_node": F.col("live") & (~F.col("own") | lone), "unknown_record": F.col("own") & (~F.col("live") | lone),
+    }
+    faults = F.filter(F.array(*[F.when(wrong, F.lit(kind)) for kind, wrong in kinds.items()]), lambda k: k.isNotNull())
+    return known.select(F.explode(faults).alias("kind"), "id")
 
 
 INDEX = ("id", "name", "summary", "source", "domains", "modalities", "conditions", "countries", "access", "year_start", "year_end", "sample_size", "sample_unit", "url", "species")

@@ -178,3 +178,30 @@ def test_ledger_and_gates(spark):
     assert {r.key: (r.severity, r.status, r.first_seen, r.last_seen) for r in out.collect()} == {"k1": ("high", "open", "d0", "d1"), "k2": ("low", "wontfix", "d0", "d1"), "k3": ("low", "open", "d0", "d0"), "k4": ("low", "open", "d1", "d1")}
     assert {r.key for r in validate.age_open(out, "d1").where("status = 'stale'").collect()} == {"k3"}
     assert validate.gates({"n": 3}, {"n": (">=", 2), "m": ("<=", 1)}) == [("n", "PASS", "3 >= 2"), ("m", "FAIL", "None <= 1")]
+
+
+def test_contract_reads_each_input_once(spark, tmp_path):
+    tables = {
+        "found": spark.createDataFrame([("a", "dataset"), ("b", "dataset"), ("b", "dataset"), ("c", "dataset"), ("m", "modality"), ("u", None), (None, "dataset"), (None, "source")], "id string, type string"),
+        "edges": spark.createDataFrame([("a", "m"), ("a", "x"), ("b", None), ("y", "m")], "source string, target string"),
+        "catalog": spark.createDataFrame([("a", None), ("b", "active"), ("c", "removed"), ("d", "active"), ("u", "active"), (None, "active")], "id string, record_status string"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{tmp_path}/{name}")
+    wrong = graph.contract_errors(*[spark.read.parquet(f"{tmp_path}/{name}") for name in tables])
+    plan = wrong._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3 and "Join" not in plan
+    assert sorted(map(tuple, wrong.select("kind", "id").collect()), key=str) == sorted([
+        ("duplicate_node", "b"), ("duplicate_node", None), ("dangling_link", "x"), ("dangling_link", "y"), ("dangling_link", None), ("unknown_record", "c"),
+        ("missing_node", "d"), ("missing_node", "u"), ("missing_node", None), ("unknown_record", None),
+    ], key=str)
+
+
+def test_attributes_are_made_once_a_row(spark):
+    rows = spark.createDataFrame([("r", "n", "s", None, ["X"], ["m", "m"], ["Élan", "elan", "É"], [("A b", None), ("a-b", None)])], "id string, name string, source string, record_status string, domains array<string>, modalities array<string>, conditions array<string>, institutions array<struct<name:string,ror_id:string>>")
+    made = graph.links(rows, ("X",))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(" not in "".join(x for x in plan.splitlines() if "Filter" in x)
+    assert sorted(r.target for r in made.collect()) == ["condition:e", "condition:elan", "institution:a-b", "modality:m", "source:s"]
+    labels = {r.id: r.label for r in graph.nodes(rows, ("X",)).collect()}
+    assert (labels["condition:elan"], labels["institution:a-b"]) == ("Élan", "A b")

@@ -32,6 +32,7 @@ def test_titles(spark):
 def test_references_without_semicolon_are_text(spark):
     values = ["<b>a</b> &amp;&amp", "x &eacute;&eacute &#233;&#233 &amp", "&amp;lt; &notit; &amp;eacute;", "&ampx; &copy"]
     want = ["a &&amp", "x é&eacute é&#233 &amp", "&lt; &notit; &eacute;", "&ampx; &copy"]
+    assert apply(spark, text.strip_html, values) == want
     assert apply(spark, text.clean_title, [f"<p>{v}</p>" for v in values]) == want
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import ranked, term_pattern
+from quarry.functions.text import ranked, term_regex
 
 
 def check_terms(terms: Mapping[str, Sequence[str]], vocabulary: Sequence[str] | None = None, min_stem: int = 6) -> None:
@@ -26,9 +26,9 @@ def evidence(text: Column, terms: Sequence[str]) -> Column:
     """The first match of each term, in the order of terms, each once. Terms are looked for one by one only where any of them is."""
     if not terms:
         return F.array().cast("array<string>")
-    hits = [F.nullif(F.regexp_extract(text, term_pattern(t), 1), F.lit("")) for t in terms]
+    hits = [F.nullif(F.regexp_extract(text, term_regex(t), 1), F.lit("")) for t in terms]
     found = F.array_distinct(F.filter(F.array(*hits), lambda h: h.isNotNull()))
-    return F.when(text.rlike("|".join(term_pattern(t) for t in terms)), found).otherwise(F.array().cast("array<string>"))
+    return F.when(text.rlike("|".join(term_regex(t) for t in terms)), found).otherwise(F.array().cast("array<string>"))
 
 
 def tag(rows: DataFrame, text: Column, terms: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -42,13 +42,13 @@ def tag(rows: DataFrame, text: Column, terms: Mapping[str, Sequence[str]]) -> Da
 
 def tagged(text: Column, terms: Mapping[str, Sequence[str]]) -> Column:
     """The values that a text has, in the table's order."""
-    held = F.array(*[F.when(text.rlike("|".join(term_pattern(t) for t in found)), F.lit(v)) for v, found in terms.items()])
+    held = F.array(*[F.when(text.rlike("|".join(term_regex(t) for t in found)), F.lit(v)) for v, found in terms.items()])
     return F.filter(held, lambda v: v.isNotNull())
 
 
 def species(text: Column, animal: Sequence[str], human: Sequence[str]) -> Column:
     """'animal' if the text has animal terms and no human ones, else null."""
-    has = lambda terms: text.rlike("|".join(term_pattern(t) for t in terms))
+    has = lambda terms: text.rlike("|".join(term_regex(t) for t in terms))
     return F.when(has(animal) & ~has(human), "animal")
 
 
@@ -83,7 +83,7 @@ def rule_hits(rows: DataFrame, terms, domains: Sequence[str], modalities: Sequen
     parts = {label: [p for p, x in terms.body_parts.items() if x == label] for label in terms.body_parts.values()}
     lower, upper = lambda k: F.lower(F.trim(k)), lambda k: F.upper(F.trim(k))
     topical = F.coalesce(F.col("source") == terms.topic_source, F.lit(False))
-    tumour = F.coalesce(F.col("source") == terms.part_source, F.lit(False)) & (full.rlike("|".join(term_pattern(t) for t in terms.mentions)) if terms.mentions else F.lit(False))
+    tumour = F.coalesce(F.col("source") == terms.part_source, F.lit(False)) & (full.rlike("|".join(term_regex(t) for t in terms.mentions)) if terms.mentions else F.lit(False))
     species_terms = [*terms.animal, *terms.human]
     seen = evidence(full, species_terms) if species_terms else none
     rows = rows.select(

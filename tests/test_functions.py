@@ -128,3 +128,9 @@ def test_missing_values_sort_last_both_ways(spark):
     assert ids(facets.FacetQuery(sort="years", descending=True)) == ["2", "4", "3", "1"]
     assert ids(facets.FacetQuery(sort="size", descending=True)) == ["2", "4", "1", "3"]
     assert [r.id for r in facets.page(df, facets.FacetQuery(), (), chunk=1, chunks=2, skip=1).orderBy("pos").collect()] == ["4", "1"]
+
+
+def test_terms_of_any_script_in_either_case(spark):
+    terms = {"over": ("über", "élan vi*"), "mid": ("midi",)}
+    values = ["Über uns", "ÜBER", "ÉLAN\nVital, über", "x MIDI", "mıdi m\u0130di", "élan\x0bvital", "\u00fcberall"]
+    assert apply(spark, lambda c: text.F.array_join(tagging.tagged(c, terms), ","), values) == ["over", "over", "over", "mid", "", "", ""]

@@ -134,3 +134,4 @@ def test_terms_of_any_script_in_either_case(spark):
     terms = {"over": ("über", "élan vi*"), "mid": ("midi",)}
     values = ["Über uns", "ÜBER", "ÉLAN\nVital, über", "x MIDI", "mıdi m\u0130di", "élan\x0bvital", "\u00fcberall"]
     assert apply(spark, lambda c: text.F.array_join(tagging.tagged(c, terms), ","), values) == ["over", "over", "over", "mid", "", "", ""]
+    assert apply(spark, lambda c: text.F.array_join(tagging.evidence(c, terms["over"]), "|"), values[:3]) == ["Über", "ÜBER", "über|ÉLAN\nVital"]

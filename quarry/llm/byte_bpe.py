@@ -127,7 +127,8 @@ class RankMap:
 
     A pair's key is left << 16 | right. ``shift`` parts the keys into small buckets, and moves
     each so that no two keys share a cell; a cell holds key << 20 | rank. So cell ^ key << 20 is the rank if
-    the pair joins, and larger than any rank otherwise. ``begin`` has for each byte and the byte after it (256 for none)
+    the pair joins, and larger than any rank otherwise. A cell without a pair is 0, which is short as a literal, but for the
+    one in which pair 0 is looked up. ``begin`` has for each byte and the byte after it (256 for none)
     what the fold starts with: the pair's rank << 25 | the byte's id.
     """
 
@@ -136,7 +137,7 @@ class RankMap:
     cells: list[int]
 
     #: Two primes, of buckets and of cells, and an odd factor that spreads keys over cells.
-    BUCKETS, CELLS, FACTOR = 32749, 262139, 1103515245
+    BUCKETS, CELLS, FACTOR = 32749, 131071, 1103515245
     #: An id that no pair has: it stands at both ends of a word.
     EDGE = 65535
     #: The rank of pairs that don't join.
@@ -162,7 +163,8 @@ class RankMap:
                 by += 1
             shift[g] = by
             cell.update((x + by, k << 20 | pairs[k]) for x, k in zip(at, keys))
-        cells = [1 << 62] * (cls.CELLS + max(shift) + 1)
+        cells = [0] * (cls.CELLS + max(shift) + 1)
+        cells[shift[0]] = 1 << 62
         for x, v in cell.items():
             cells[x] = v
         ids = [ranks[bytes([b])] for b in range(256)]
@@ -357,6 +359,8 @@ def _encoded(docs: DataFrame, kept: list[str], path: str, pattern: str, remember
 
     rows = plain.mapInArrow(split, arrow)
     fold = with_ranks(f"transform(words, w -> {fold_sql('w')})", rank_map, "array<array<int>>")
+    del rank_map
+    give_back()  # of the driver's, what the rank map took
     return rows.select(*names, "seq", fold.alias("words"), "restart").mapInArrow(gather, schema)
 
 

@@ -127,3 +127,21 @@ def test_texts_longer_than_a_batch(spark, texts, library):
     tok = Tokenizer.from_file(public_tokenizers.path(token_counts.VOCABULARY))
     counted = token_counts.count_tokens(spark.createDataFrame([(1, long[300_000:])], "doc_id long, text string"), public_tokenizers.path(token_counts.VOCABULARY), buckets=3, block_bytes=1000).first()
     assert counted.n_tokens == len(tok.encode(long[300_000:], add_special_tokens=False).ids)
+
+
+def test_rank_map_is_short_and_exact():
+    """The literal stands in plans and event logs on the driver many times over; pair 0 may be none, and its cell must say so."""
+    import random
+
+    from quarry.llm import byte_bpe
+
+    ranks = byte_bpe.read_ranks(byte_bpe.public_tokenizers.path(byte_bpe.RANK_FILE))
+    first = next(p for p, r in ranks.items() if r == 0)
+    for some in (ranks, {p: r for p, r in ranks.items() if p != first * 2}):
+        known = byte_bpe.RankMap.of(some)
+        assert len(",".join(map(str, known.cells))) < 2_000_000
+        pairs = {some[p[:i]] << 16 | some[p[i:]]: r for p, r in some.items() for i in range(1, len(p)) if p[:i] in some and p[i:] in some}
+        rng = random.Random(1)
+        for k in [0, *pairs, *(rng.getrandbits(32) for _ in range(100_000))]:
+            cell = known.cells[k * known.FACTOR % known.CELLS + known.shift[k % known.BUCKETS]]
+            assert min(known.NONE, cell ^ k << 20) == pairs.get(k, known.NONE)

@@ -38,11 +38,9 @@ def _key(records: DataFrame, column: str):
     return lambda x: norm(x if bare else x[field])
 
 
-def _first_given(members: Column, name: str) -> Column:
-    """The first member's value that says something: not null, not empty, not zero."""
-    value = lambda m: m[name]
-    said = F.filter(F.transform(members, value), lambda v: v.isNotNull() & ~v.cast("string").isin("", "0"))
-    return F.coalesce(F.get(said, F.lit(0)), F.get(F.transform(members, value), F.lit(0)))
+def _says(value: Column) -> Column:
+    """Not null, not empty, not zero."""
+    return value.isNotNull() & ~value.cast("string").isin("", "0")
 
 
 def merge_clusters(records: DataFrame, priority: Sequence[str], domains: Sequence[str], modalities: Sequence[str], access: Sequence[str]) -> DataFrame:
@@ -53,21 +51,35 @@ def merge_clusters(records: DataFrame, priority: Sequence[str], domains: Sequenc
     what is new, without links into the cluster; a secondary's own DOI becomes a paper. Access is the strictest;
     if that is a secondary's, its notes come along where it has any. Status is needs_review if any
     member's is. Species and each end of the years are the first known ones, other scalars the first that
-    say something. A cluster's records are gathered by one aggregate: a cluster
-    is as large as the number of its copies, and singles pass through it unchanged.
+    say something. Scalars are minima, which combine before they are shuffled, so a cluster may be of any size;
+    only lists and ids are gathered, and not at all if none is asked for. Singles pass through unchanged.
 
     Columns that are absent are left out; those without a rule are the primary's.
     """
     cols = [c for c in records.columns if c != "cluster"]
+    lists = [c for c in cols if isinstance(records.schema[c].dataType, T.ArrayType)]
+    scalars = [c for c in cols if c not in lists]
     place = F.when(rank(F.col("source"), priority) > 0, rank(F.col("source"), priority)).otherwise(len(priority) + 1)
-    primary = F.struct(place.alias("__p"), F.col("id").alias("__i"))
-    gathered = records.withColumn("__order", primary).groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("__order", F.struct(*cols).alias("r")))).alias("__all"))
-    first = gathered.withColumn("__primary", F.get(F.transform("__all", lambda m: m["r"]), F.lit(0)))
+    order = F.struct(place.alias("__p"), F.col("id").alias("__i"))
+    held = F.struct(*[c for c in cols if c in lists or c in ("id", "dataset_doi")])
+    says = {c: _says for c in FIRST_GIVEN} | {"species": lambda v: v != "unknown"} | {c: lambda v: v.isNotNull() for c in ("year_start", "year_end")}
+    says = {c: f for c, f in says.items() if c in scalars}
+    notes = [c for c in ("access", "access_notes", "access_howto") if c in cols]
+
+    made = [F.count("*").alias("__n"), F.min(F.struct("__order", F.struct(*scalars).alias("r"))).alias("__first"), F.array_sort(F.collect_list(F.struct("__order", held.alias("r")))).alias("__all")]
+    made += [F.min(F.when(f(F.col(c)), F.struct("id", "source", F.col(c).alias("v")))).alias(f"__said_{c}") for c, f in says.items()]
+    if "access" in cols:
+        made.append(F.min(F.when(F.col("access").isNotNull(), F.struct((-rank(F.col("access"), access)).alias("k"), "id", "source", F.struct(*notes).alias("r")))).alias("__strict"))
+    if "record_status" in cols:
+        made.append(F.max(F.col("record_status") == "needs_review").alias("__review"))
+    gathered = records.withColumn("__order", order).groupBy("cluster").agg(*made)
+    first = gathered.withColumn("__head", F.get(F.transform("__all", lambda m: m["r"]), F.lit(0)))
     rest = F.sort_array(F.transform(F.slice("__all", 2, F.size("__all")), lambda m: F.struct(m["r"]["id"].alias("i"), m["r"].alias("r"))))
-    m = first.withColumn("__m", F.concat(F.array("__primary"), F.transform(rest, lambda x: x["r"])))
+    m = first.withColumn("__m", F.concat(F.array("__head"), F.transform(rest, lambda x: x["r"])))
     members, ids = F.col("__m"), F.transform("__m", lambda r: r["id"])
 
-    out: dict[str, Column] = {c: F.col("__primary")[c] for c in cols}
+    primary = {c: F.col("__head")[c] if c in lists else F.col("__first")["r"][c] for c in cols}
+    out = dict(primary)
     both = lambda c: F.flatten(F.transform(members, lambda r: F.coalesce(r[c], F.array().cast(records.schema[c].dataType))))
     for c, vocabulary in (("domains", domains), ("modalities", modalities), ("access_tiers", access)):
         if c in cols:
@@ -83,25 +95,18 @@ def merge_clusters(records: DataFrame, priority: Sequence[str], domains: Sequenc
         dois = F.filter(F.transform(F.slice(members, 2, F.size(members)), lambda r: r["dataset_doi"]), lambda d: d.isNotNull())
         described = F.transform(dois, lambda d: F.struct(*[(d if f.name == "doi" else F.lit("describes") if f.name == "relation" else F.lit(None).cast(f.dataType)).alias(f.name) for f in kind]))
         out["papers"] = ordered_union(F.concat(both("papers"), described), _key(records, "papers"))
-    for c in FIRST_GIVEN:
-        if c in cols:
-            out[c] = _first_given(members, c)
-    if "species" in cols:
-        out["species"] = F.coalesce(F.get(F.filter(F.transform(members, lambda r: r["species"]), lambda s: s != "unknown"), F.lit(0)), F.col("__primary")["species"])
-    for c in ("year_start", "year_end"):
-        if c in cols:
-            out[c] = F.get(F.filter(F.transform(members, lambda r: r[c]), lambda y: y.isNotNull()), F.lit(0))
+    for c, f in says.items():
+        out[c] = F.when(f(primary[c]), primary[c]).otherwise(F.coalesce(F.col(f"__said_{c}")["v"], primary[c]))
     if "access" in cols:
-        strictest = F.array_max(F.transform(members, lambda r: rank(r["access"], access)))
-        escalator = F.get(F.filter(members, lambda r: rank(r["access"], access) == strictest), F.lit(0))
-        out["access"] = F.when(strictest > 0, escalator["access"]).otherwise(F.col("__primary")["access"])
-        for c in ("access_notes", "access_howto"):
-            if c in cols:
-                out[c] = F.when(F.col("__primary")["access"] == escalator["access"], F.col("__primary")[c]).otherwise(F.coalesce(F.nullif(escalator[c], F.lit("")), F.col("__primary")[c]))
+        strictest, escalator = -F.col("__strict")["k"], F.col("__strict")["r"]
+        own = rank(primary["access"], access) == strictest
+        out["access"] = F.when(own | (strictest <= 0), primary["access"]).otherwise(escalator["access"])
+        for c in notes[1:]:
+            out[c] = F.when(own, primary[c]).otherwise(F.coalesce(F.nullif(escalator[c], F.lit("")), primary[c]))
     if "record_status" in cols:
-        out["record_status"] = F.when(F.exists(members, lambda r: r["record_status"] == "needs_review"), "needs_review").otherwise(F.col("__primary")["record_status"])
-    single = F.size(members) == 1
-    return m.select("cluster", ids.alias("members"), *[F.when(single, F.col("__primary")[c]).otherwise(out[c]).alias(c) for c in cols])
+        out["record_status"] = F.when(F.col("__review"), "needs_review").otherwise(primary["record_status"])
+    single = F.col("__n") == 1
+    return m.select("cluster", ids.alias("members"), *[F.when(single, primary[c]).otherwise(out[c]).alias(c) for c in cols])
 
 
 def exclusions(merged: DataFrame) -> DataFrame:

@@ -45,6 +45,17 @@ def test_merge_rules(spark):
     assert {(r.native_id, r.reason) for r in gone} == {("tcia:a", "merged_into:openneuro:z"), ("tcia:b", "merged_into:openneuro:z")}
 
 
+def test_scalars_of_large_clusters_are_not_gathered(spark):
+    k = F.col("id")
+    said = {"species": F.when(k % 4 == 3, "human").otherwise("unknown"), "year_start": F.when(k > 8, k.cast("int")), "name": F.when(k > 1, F.concat(F.lit("n"), k)).otherwise(""), "access": F.when(k % 5 == 4, "closed").when(k > 0, "open"), "access_notes": F.when(k != 4, F.concat(F.lit("note "), k)), "record_status": F.when(k == 29999, "needs_review").otherwise("active")}
+    rows = spark.range(30000).select(F.lit("c").alias("cluster"), F.format_string("%05d", k).alias("id"), F.lit("s").alias("source"), *[v.alias(n) for n, v in said.items()])
+    out = merge.merge_clusters(rows, ("s",), (), (), ("open", "closed")).select("id", *said)
+    assert "collect_list" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in out.collect()] == [("00000", "human", 9, "n2", "closed", "note 0", "needs_review")]
+    led = merge.merge_clusters(rows.where("id != '00004'"), ("s",), (), (), ("open", "closed"))
+    assert [(r.access_notes, len(r.members), r.members[:2]) for r in led.collect()] == [("note 9", 29999, ["00000", "00001"])]
+
+
 def test_clusters_chain_and_null_keys_match_nothing(spark):
     df = spark.createDataFrame([("a", "1", None), ("b", "1", "x"), ("c", None, "x"), ("d", None, None), ("e", None, None)], "id string, k string, l string")
     got = {(r.id, r.cluster) for r in links.cluster(df, {"k": F.col("k"), "l": F.col("l")}).collect()}

@@ -63,6 +63,21 @@ def candidates(left: DataFrame, right: DataFrame, left_keys: Sequence[str], righ
     return out.distinct()
 
 
+def best_candidates(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], *order: Column) -> DataFrame:
+    """(left_id, right_id, and the right's other columns): for each left id the first row by ``order`` that agrees on any of several pairs of keys.
+
+    The first of all matches is the first of each key's firsts, so a key keeps one right row before it is joined, and pairs
+    (see ``candidates``) are never made. ``order`` names the right's columns, its id as right_id.
+    """
+    kept = [c for c in right.columns if c not in ("id", *right_keys)]
+    out = None
+    for lk, rk in zip(left_keys, right_keys):
+        firsts = best_match(right.where(F.col(rk).isNotNull()).select(F.col(rk).alias("k"), F.col("id").alias("right_id"), *kept), "k", *order)
+        one = left.select(F.col("id").alias("left_id"), F.col(lk).alias("k")).join(firsts, "k").drop("k")
+        out = one if out is None else out.unionByName(one)
+    return best_match(out, "left_id", *order)
+
+
 def best_match(pairs: DataFrame, key: str, *order: Column) -> DataFrame:
     """The first row of each key by ``order``, which must end in something unique."""
     return pairs.withColumn("__k", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("__k = 1").drop("__k")

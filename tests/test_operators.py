@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import diff, graph, guards, links, lookup, merge, rawstore, validate
+from quarry.plans import record_queries
 from quarry.vocab import ACCESS_ORDER, DOMAINS, MODALITIES, SOURCE_PRIORITY
 
 RECORD = """cluster string, id string, source string, name string, domains array<string>, conditions array<struct<label:string,mesh_id:string>>, keywords array<string>, papers array<struct<doi:string,title:string,relation:string>>,
@@ -76,6 +78,29 @@ def test_best_match_and_shared_winner(spark):
     assert links.shared_winners(best, "k", "w").count() == 0
 
 
+def test_best_candidates_of_hot_keys_make_no_pairs(spark):
+    k = F.col("id")
+    left, right = spark.range(30000).select("id", F.lit("x").alias("a"), (k % 3).alias("b")), spark.range(30000).select("id", F.when(k < 29990, "x").alias("a"), F.when(k >= 29990, k % 2).alias("b"), (k % 1000).alias("s"))
+    out = links.best_candidates(left, right, ("a", "b"), ("a", "b"), F.desc("s"), F.asc("right_id"))
+    got = {(r.left_id % 3, r.right_id, r.s) for r in out.collect()}
+    assert got == {(0, 999, 999), (1, 999, 999), (2, 999, 999)} and out.count() == 30000
+    only = links.best_candidates(left, right.where("b IS NOT NULL"), ("a", "b"), ("a", "b"), F.desc("s"), F.asc("right_id"))
+    assert {(r.left_id % 3, r.right_id) for r in only.collect()} == {(0, 29998), (1, 29999)} and only.count() == 20000
+
+
+def test_best_candidate_query_on_odd_tables_is_its_sql(spark, tmp_path):
+    nan, inf = float("nan"), float("inf")
+    supplier = [(1, "S#001", None, 5200.0), (2, "S#002", 7, 9.5), (3, "S#003", 7, nan), (4, "S#004", 8, None), (5, "S#005", 9, -0.5), (6, "7", 1, 1e300), (None, "S#008", 2, 70.0), (9, None, 3, 4400.0), (10, "S#010", 4, inf), (10, "S#011", 5, 1.0)]
+    customer = [(20, "C#101", None, 5900.0), (21, "C#002", 6, None), (22, "C#102", 7, nan), (23, "C#103", 7, 3.0), (24, "C#004", 8, None), (25, "C#104", 9, -9.0), (26, "7", 2, 1e301), (27, "C#105", 1, 2e300), (28, "C#008", 3, 12.0), (28, "C#008", 3, 12.0), (29, "C#106", 3, 4999.0), (None, "C#010", 5, 9.0), (30, "C#010", 4, 9.0), (31, "C#011", 5, 8.0), (31, "C#011", 5, 9.0)]
+    for name, p, key, rows in (("supplier", "s", "suppkey", supplier), ("customer", "c", "custkey", customer)):
+        spark.createDataFrame(rows, f"{p}_{key} long, {p}_name string, {p}_nationkey int, {p}_acctbal double").write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = sorted(repr(tuple(r)) for r in record_queries.best_candidate(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    for name in ("supplier", "customer"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    assert got == sorted(repr(r) for r in con.execute(record_queries.BEST_SQL).fetchall()) and got
+
+
 RECORDS = "id string, source string, name string, domains array<string>, modalities array<string>, conditions array<string>, institutions array<struct<name:string,ror_id:string>>, access string, record_status string, related array<string>"
 
 
